@@ -23,12 +23,6 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _little_endian(digits: Column, first_byte: Column, count: int) -> Column:
-    """Unsigned value of `count` bytes starting at 0-based `first_byte` of a hex string."""
-    pairs = [F.substr(digits, first_byte * 2 + 1 + 2 * i, F.lit(2)) for i in reversed(range(count))]
-    return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
-
-
 def _mul(value: Column) -> Column:
     return (value * F.lit(MULTIPLIER)).bitwiseAND(F.lit(MASK))
 
@@ -37,33 +31,38 @@ def _xor_shift(value: Column, bits: int) -> Column:
     return value.bitwiseXOR(F.shiftright(value, bits))
 
 
+def _reversed_hex(key: Column) -> Column:
+    """Hex digits of the UTF-8 bytes, last byte first, so that a little-endian word is a plain substring."""
+    octets = F.encode(key, "UTF-8")
+    return F.hex(F.encode(F.reverse(F.decode(octets, "ISO-8859-1")), "ISO-8859-1"))
+
+
 def murmur2(key: Column) -> Column:
     """Signed 32-bit murmur2 of the UTF-8 bytes of a string key; null for a null key."""
-    return _bind(F.hex(F.encode(key, "UTF-8")), _murmur2_of_hex)
+    return _bind(_reversed_hex(key), _murmur2_of_digits)
+
 
+def _murmur2_of_digits(digits: Column) -> Column:
+    length = F.length(digits)  # two digits per byte, eight per word
+    rest = length % 8
 
-def _murmur2_of_hex(digits: Column) -> Column:
-    size = (F.length(digits) / 2).cast("int")
-    blocks = F.floor(size / 4).cast("int")
-    rest = size % 4
+    def unsigned(start: Column, count: Column) -> Column:
+        return F.conv(F.substr(digits, start, count), 16, 10).cast("bigint")
 
-    def mix(state: Column, block: Column) -> Column:
-        word = _bind(_mul(_little_endian(digits, block * 4, 4)), lambda w: _mul(_xor_shift(w, SHIFT)))
+    def mix(state: Column, start: Column) -> Column:
+        word = _bind(_mul(unsigned(start, F.lit(8))), lambda w: _mul(_xor_shift(w, SHIFT)))
         return _mul(state).bitwiseXOR(word)
 
-    def mix_tail(state: Column) -> Column:
-        mixed = state
-        for count in (1, 2, 3):
-            tail = _little_endian(digits, blocks * 4, count)
-            mixed = F.when(rest == count, _mul(state.bitwiseXOR(tail))).otherwise(mixed)
-        return mixed
-
-    start = F.lit(SEED).bitwiseXOR(size.cast("bigint"))
-    indexes = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
-    state = F.aggregate(indexes, start, mix, mix_tail)
-    state = _bind(state, lambda h: _mul(_xor_shift(h, 13)))
-    state = _bind(state, lambda h: _xor_shift(h, 15))
-    return _bind(state, lambda h: F.when(h >= 2**31, h - F.lit(2**32)).otherwise(h).cast("int"))
+    def finish(state: Column) -> Column:
+        tailed = F.when(rest > 0, _mul(state.bitwiseXOR(unsigned(F.lit(1), rest)))).otherwise(state)
+        mixed = _bind(tailed, lambda h: _mul(_xor_shift(h, 13)))
+        hashed = _bind(mixed, lambda h: _xor_shift(h, 15))
+        return _bind(hashed, lambda h: F.when(h >= 2**31, h - F.lit(2**32)).otherwise(h).cast("int"))
+
+    seeded = F.lit(SEED).bitwiseXOR(F.shiftright(length, 1).cast("bigint"))
+    # The first word of the key is the last full one of the reversed digits.
+    starts = F.when(length >= 8, F.sequence(length - 7, rest + 1, F.lit(-8))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(starts, seeded, mix, finish)
 
 
 def key_partition(key: Column, partitions: int, mode: str = "coded") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch import schemas, settings
+from spendwatch.functions.once import with_once
 from spendwatch.operators.quarantine import parse_json
 
 _BODY_COLUMNS = {
@@ -54,7 +55,7 @@ def reject_reasons(df: DataFrame) -> Column:
 def check_payments(df: DataFrame) -> DataFrame:
     """Add `reject_reasons` and `accepted` in one pass over the rows."""
     return (
-        df.withColumn("reject_reasons", reject_reasons(df))
+        with_once(df, "reject_reasons", reject_reasons(df))
         .withColumn("accepted", F.size("reject_reasons") == 0)
     )
 

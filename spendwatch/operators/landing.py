@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch import schemas
 from spendwatch.functions.amounts import decode_amount
+from spendwatch.functions.once import with_once
 from spendwatch.functions.times import from_millis
 from spendwatch.operators.evolution import conform
 from spendwatch.operators.quarantine import parse_json
@@ -30,7 +31,7 @@ def land_binary(df: DataFrame) -> DataFrame:
     initiated_millis, metadata -> typed payment plus `poison_reason`."""
     bad_amount = F.col("amount").isNull() & F.col("amount_bytes").isNotNull()
     typed = (
-        df.withColumn("amount", decode_amount(F.col("amount_bytes")))
+        with_once(df, "amount", decode_amount(F.col("amount_bytes")))
         .withColumn("initiated_ts", from_millis(F.col("initiated_millis")))
         .withColumn("poison_reason", _poison(F.when(bad_amount, "amount:undecodable")))
     )

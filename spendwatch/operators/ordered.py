@@ -22,7 +22,7 @@ _COMBINE = {
 
 def offset_block(position: str | Column, block_offsets: int) -> Column:
     position = F.col(position) if isinstance(position, str) else position
-    return F.floor(position / F.lit(block_offsets)).cast("bigint")
+    return F.call_function("div", position, F.lit(block_offsets))
 
 
 def running(

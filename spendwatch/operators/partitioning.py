@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch import settings
 from spendwatch.functions.hashing import key_partition
-from spendwatch.operators.windows import with_window
+from spendwatch.operators.windows import with_window_end, with_window_start
 
 HIGH_VALUE_PARTITION = 0
 
@@ -58,12 +58,12 @@ def partition_split_audit(
     """Windows whose verdict changes when each partition sums a user's payments on its own."""
     limit = F.lit(Decimal(threshold))
     partial = (
-        with_window(df, ts, size)
-        .groupBy("user_id", "window_start", "window_end", "partition")
+        with_window_start(df, ts, size)
+        .groupBy("user_id", "window_start", "partition")
         .agg(F.sum("amount").alias("_partial"))
     )
-    return (
-        partial.groupBy("user_id", "window_start", "window_end")
+    windows = (
+        partial.groupBy("user_id", "window_start")
         .agg(
             F.sum("_partial").alias("total"),
             F.max("_partial").alias("largest_partial"),
@@ -73,3 +73,4 @@ def partition_split_audit(
         .withColumn("split_alert", F.col("largest_partial") > limit)
         .where(F.col("user_alert") != F.col("split_alert"))
     )
+    return with_window_end(windows, size)

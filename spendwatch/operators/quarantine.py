@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from spendwatch.functions.once import with_once
+
 _BROKEN = "_broken"
 
 
@@ -20,7 +22,7 @@ def parse_json(df: DataFrame, schema: StructType, value: str = "value",
         reason = reason.when(F.col(f"_parsed.{field}").isNull(), f"missing:{field}")
     record = F.struct(*[F.col(f"_parsed.{f}").alias(f) for f in schema.fieldNames()])
     return (
-        df.withColumn("_parsed", parsed)
+        with_once(df, "_parsed", parsed)
         .withColumn("poison_reason", reason)
         .withColumn("record", F.when(F.col("poison_reason").isNull(), record))
         .drop("_parsed")

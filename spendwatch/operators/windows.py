@@ -9,18 +9,20 @@ from spendwatch.functions.times import interval
 from spendwatch.operators import late, ordered
 from spendwatch.operators.dedup import idempotent_first
 
-GROUP = ["user_id", "window_start", "window_end"]
+GROUP = ["user_id", "window_start"]
 
 
-def with_window(df: DataFrame, ts: str = "record_ts", size: str = settings.WINDOW,
-                slide: str | None = None) -> DataFrame:
-    """Add the epoch-aligned [start, end) bounds; a slide multiplies rows by size / slide."""
-    return (
-        df.withColumn("_w", F.window(ts, size, slide))
-        .withColumn("window_start", F.col("_w.start"))
-        .withColumn("window_end", F.col("_w.end"))
-        .drop("_w")
-    )
+def with_window_start(df: DataFrame, ts: str = "record_ts", size: str = settings.WINDOW,
+                      slide: str | None = None) -> DataFrame:
+    """Add the start of the epoch-aligned [start, end) window; a slide multiplies rows by size / slide.
+
+    The end follows from the start, so it is added after aggregation and never shuffled.
+    """
+    return df.withColumn("_w", F.window(ts, size, slide)).withColumn("window_start", F.col("_w.start")).drop("_w")
+
+
+def with_window_end(df: DataFrame, size: str) -> DataFrame:
+    return df.withColumn("window_end", F.col("window_start") + interval(size))
 
 
 def window_spend(
@@ -42,11 +44,12 @@ def window_spend(
     rows = idempotent_first(payments, "payment_id").drop("deliveries") if dedup else payments
     if drop_late:
         rows = late.late_drop(rows, ts, size, grace or settings.GRACE)
-    spend = (
-        with_window(rows, ts, size, slide)
+    sums = (
+        with_window_start(rows, ts, size, slide)
         .groupBy(*GROUP)
         .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("payments"))
     )
+    spend = with_window_end(sums, size).select(*GROUP, "window_end", "total", "payments")
     if closed_only:
         newest = payments.agg(F.max(ts)).scalar()
         spend = spend.where(F.col("window_end") + interval(grace or settings.GRACE) <= newest)
@@ -66,7 +69,7 @@ def payment_id_parts(
     one row per block of `max_ids` offsets; parts increase in arrival order, and together they hold every id, so
     no row and no task ever holds an unbounded list.
     """
-    ids = with_window(payments, ts, size).select(
+    ids = with_window_start(payments, ts, size).select(
         F.col("user_id").alias("_user"), F.col("window_start").alias("_start"),
         "payment_id", "offset", "partition",
     )
@@ -94,6 +97,6 @@ def early_signal(
 ) -> DataFrame:
     """Running total at each payment, before its window closes, and whether it is over the threshold."""
     rows = ordered.running(
-        with_window(payments, ts, size), GROUP, "amount", "running_total", block_offsets=block_offsets)
+        with_window_start(payments, ts, size), GROUP, "amount", "running_total", block_offsets=block_offsets)
     limit = F.lit(threshold).cast("decimal(18,2)")
     return rows.withColumn("over_threshold", F.col("running_total") > limit)

@@ -143,7 +143,7 @@ def partition_assign(spark, sf_dir):
 
 @query("q08_partition_skew")
 def partition_skew(spark, sf_dir):
-    return partitioning.partition_skew(views.payments(spark, sf_dir), high=views.HIGH)
+    return partitioning.partition_skew(views.routed_payments(spark, sf_dir), high=views.HIGH)
 
 
 @query("q09_idempotent_first")
@@ -206,7 +206,7 @@ def spend_without_late(spark, sf_dir):
 
 @query("q16_partition_split_audit")
 def partition_split_audit(spark, sf_dir):
-    return partitioning.partition_split_audit(views.payments(spark, sf_dir), views.THRESHOLD, size="1 day")
+    return partitioning.partition_split_audit(views.routed_payments(spark, sf_dir), views.THRESHOLD, size="1 day")
 
 
 @query("q17_retry_schedule")
@@ -259,7 +259,7 @@ def retention_time(spark, sf_dir):
 @query("q21_retention_bytes")
 def retention_bytes(spark, sf_dir):
     raw = views.table(spark, sf_dir, "events").select("event_id", "props")
-    rows = views.payments(spark, sf_dir).join(raw, "event_id").withColumn(
+    rows = views.routed_payments(spark, sf_dir).join(raw, "event_id").withColumn(
         "bytes", F.octet_length("props") + F.octet_length("user_id"))
     kept = upkeep.retain_bytes(rows, "bytes", max_bytes=10_000)
     return kept.select("payment_id", "partition", "offset", "bytes")
@@ -306,12 +306,12 @@ def processed_defaults(spark, sf_dir):
 
 @query("q25_topic_counts")
 def topic_counts(spark, sf_dir):
-    return progress.topic_counts(views.payments(spark, sf_dir))
+    return progress.topic_counts(views.routed_payments(spark, sf_dir))
 
 
 @query("q26_consumer_lag")
 def consumer_lag(spark, sf_dir):
-    log = views.payments(spark, sf_dir)
+    log = views.routed_payments(spark, sf_dir)
     return progress.consumer_lag(log, views.committed_offsets(log))
 
 

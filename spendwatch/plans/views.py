@@ -29,11 +29,11 @@ def every(n: int, column: str = "event_id") -> Column:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The initiated topic with typed amounts; partitions are assigned by value and key hash."""
+    """The initiated topic with typed amounts; each user's records sit on one of six partitions."""
     method = F.lit(None)
     for event_type, name in METHODS.items():
         method = F.when(F.col("event_type") == event_type, name).otherwise(method)
-    rows = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.concat(F.lit("p-"), "event_id").alias("payment_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.concat(F.lit("m-"), F.col("event_id") % 50).alias("merchant_id"),
@@ -43,10 +43,15 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("record_ts"),
         F.from_json("props", "map<string,string>").alias("metadata"),
         F.lit(settings.TOPIC_INITIATED).alias("topic"),
+        (F.col("user_id") % settings.PARTITIONS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         "event_id", "event_type",
     )
-    return assign_partition(rows, high=HIGH)
+
+
+def routed_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same topic with partitions assigned by value and key hash."""
+    return assign_partition(payments(spark, sf_dir), high=HIGH)
 
 
 def disordered(rows: DataFrame) -> DataFrame:
