@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -70,7 +72,7 @@ def idempotent_ttl(
     rows = rows.withColumn("_bucket", F.floor(F.col("_t") / F.col("_ttl")).cast("bigint"))
     ok = ~F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(True)
     claims = rows.where(ok).select(
-        F.col(key).alias("_key"), "_t", F.col(position).alias("_pos"), "_ttl", "_bucket")
+        F.col(key).alias("_key"), "_t", F.col(position).alias("_pos"), "_ttl", "_bucket", F.col(ts).alias("_ts"))
     accepted = _accepted_claims(claims, array_rows)
 
     # An accepted claim covers [t, t + ttl), hence its own bucket and the next: an equi-join on
@@ -80,7 +82,7 @@ def idempotent_ttl(
         F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_held_bucket"))
     matched = rows.join(
         held,
-        (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_held_bucket"))
+        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_held_bucket"))
         & (F.col("_t") < F.col("_from") + F.col("_ttl"))
         & (F.struct("_t", position) >= F.struct("_from", "_from_pos")),
         "left",
@@ -101,8 +103,11 @@ def _accepted_claims(claims: DataFrame, array_rows: int) -> DataFrame:
     hot_keys = counts.where(F.col("_n") > array_rows).select("_key")
     if hot_keys.isEmpty():
         return _chain_in_array(claims)
+    ensure_checkpoint_dir(claims.sparkSession)
+    hot_keys = hot_keys.checkpoint()
     cold = claims.join(hot_keys, "_key", "left_anti")
-    return _chain_in_array(cold).unionByName(_chain_by_period(claims.join(hot_keys, "_key", "left_semi")))
+    hot = claims.join(hot_keys, "_key", "left_semi")
+    return _chain_in_array(cold).unionByName(_chain_by_period(hot))
 
 
 def _chain_in_array(claims: DataFrame) -> DataFrame:
@@ -125,21 +130,23 @@ def _chain_in_array(claims: DataFrame) -> DataFrame:
 
 def _chain_by_period(claims: DataFrame) -> DataFrame:
     """Two accepted claims are one ttl apart, so each ttl-long period accepts at most one per key:
-    the earliest claim of the period that the last accepted one no longer holds. The state is one
-    row per hot key and is cut from its lineage after each period."""
-    ensure_checkpoint_dir(claims.sparkSession)
-    columns = ["_key", "_t", "_pos", "_ttl", "_bucket"]
-    first, last = claims.agg(F.min("_bucket"), F.max("_bucket")).first()
+    the earliest claim of the period that the last accepted one no longer holds.
+
+    One small job per period: its claims are read through a time range that reaches the scan, and
+    the state, one row per hot key, is checkpointed. Seven days of retention make seven jobs.
+    """
+    first, last, ttl = claims.agg(F.min("_bucket"), F.max("_bucket"), F.max("_ttl")).first()
     claim = F.struct("_t", "_pos", "_ttl", "_bucket")
-    state, accepted = None, None
+    state, accepted = None, []
     for bucket in range(first, last + 1):
-        period = claims.where(F.col("_bucket") == bucket)
+        start, end = (F.timestamp_micros(F.lit(b * ttl)) for b in (bucket, bucket + 1))
+        period = claims.where((F.col("_ts") >= start) & (F.col("_ts") < end)).drop("_ts")
         if state is not None:
-            held = state.select("_key", F.col("_t").alias("_last"))
-            period = period.join(held, "_key", "left").where(
-                F.col("_last").isNull() | (F.col("_t") >= F.col("_last") + F.col("_ttl")))
-        taken = period.groupBy("_key").agg(F.min(claim).alias("_c")).select("_key", "_c.*").checkpoint()
-        accepted = taken if accepted is None else accepted.unionByName(taken)
-        merged = taken if state is None else state.unionByName(taken)
+            free_from = state.select("_key", (F.col("_t") + F.col("_ttl")).alias("_free"))
+            period = period.join(free_from, "_key", "left").where(
+                F.col("_free").isNull() | (F.col("_t") >= F.col("_free"))).drop("_free")
+        taken = period.groupBy("_key").agg(F.min(claim).alias("_c")).select("_key", "_c.*")
+        merged = taken if state is None else taken.unionByName(state)
         state = merged.groupBy("_key").agg(F.max(claim).alias("_c")).select("_key", "_c.*").checkpoint()
-    return accepted.select(*columns)
+        accepted.append(state.where(F.col("_bucket") == bucket))
+    return reduce(DataFrame.unionByName, accepted)

@@ -9,13 +9,20 @@ from spendwatch.operators import ordered
 
 
 def topic_counts(log: DataFrame) -> DataFrame:
-    """Records and end offset per topic partition, with the topic's total (partition null)."""
+    """Records and end offset per topic partition, with the topic's total (partition null).
+
+    The totals come from the per-partition rows, so the log is read and shuffled once.
+    """
     per_partition = log.groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("records"), (F.max("offset") + 1).alias("end_offset"))
-    totals = per_partition.groupBy("topic").agg(
-        F.lit(None).cast("int").alias("partition"), F.sum("records").alias("records"),
-        F.lit(None).cast("bigint").alias("end_offset"))
-    return per_partition.unionByName(totals.select(*per_partition.columns))
+    levels = F.explode(F.array(F.col("partition"), F.lit(None).cast("int"))).alias("_level")
+    return (
+        per_partition.select("topic", levels, "records", "end_offset")
+        .groupBy("topic", F.col("_level").alias("partition"))
+        .agg(F.sum("records").alias("records"), F.max("end_offset").alias("_end"))
+        .withColumn("end_offset", F.when(F.col("partition").isNotNull(), F.col("_end")))
+        .drop("_end")
+    )
 
 
 def consumer_lag(log: DataFrame, commits: DataFrame) -> DataFrame:

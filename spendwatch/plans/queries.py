@@ -89,7 +89,7 @@ def outbox_signalled(spark, sf_dir):
 @query("q04_outbox_state")
 def outbox_state(spark, sf_dir):
     sent = views.table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").select(
-        F.col("l_orderkey").alias("id"), F.col("l_shipdate").cast("timestamp").alias("at"))
+        F.col("l_orderkey").alias("id"), F.col("l_shipdate").alias("at"))
     marks = outbox.published_marks(sent, F.col("at"))
     return outbox.current_outbox(views.outbox(spark, sf_dir), marks).select("id", "status", "published_at")
 

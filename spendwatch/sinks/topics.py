@@ -12,19 +12,14 @@ def initiated_records(payments: DataFrame, topic: str, value: Column) -> DataFra
         F.lit(topic).alias("topic"), "partition", F.col("user_id").alias("key"), value.alias("value"))
 
 
-def write_by_partition(records: DataFrame, path: str, tasks_per_partition: int = 8) -> None:
+def write_by_partition(records: DataFrame, path: str) -> None:
     """Write records under topic / partition folders.
 
-    Partition 0 takes every high-value record, so rows are spread over several tasks per partition
-    by their key before they are clustered.
+    Partition 0 takes every high-value record; rebalancing clusters by partition but lets AQE split
+    a partition that is too large for one task.
     """
-    salt = F.pmod(F.xxhash64("key", "value"), F.lit(tasks_per_partition))
-    (
-        records.withColumn("_salt", salt)
-        .repartition("topic", "partition", "_salt")
-        .drop("_salt")
-        .write.mode("append").partitionBy("topic", "partition").parquet(path)
-    )
+    clustered = records.hint("rebalance", F.col("topic"), F.col("partition"))
+    clustered.write.mode("append").partitionBy("topic", "partition").parquet(path)
 
 
 def relay_records(outbox: DataFrame) -> DataFrame:
