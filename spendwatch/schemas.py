@@ -27,9 +27,12 @@ PAYMENTS_PROCESSED = _table(
     ("risk_score", T.DoubleType()), ("processed_ts", _TS), ("failure_reason", _S),
 )
 
+# A window total is a sum and may outgrow the width of one amount. `part` numbers the rows of an alert
+# whose id list is too long for one (operators/windows.py); it is 0 for a whole list.
 ALERTS = _table(
-    ("user_id", _S), ("total_amount", MONEY), ("window_start", _TS), ("window_end", _TS),
+    ("user_id", _S), ("total_amount", T.DecimalType(28, 2)), ("window_start", _TS), ("window_end", _TS),
     ("alert_generated_ts", _TS), ("triggering_payment_ids", T.ArrayType(_S)), ("risk_level", _S),
+    ("payments", _L), ("part", _L),
 )
 
 PAYMENTS = _table(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spendwatch import settings
+from spendwatch import schemas, settings
 from spendwatch.operators.alerts import risk_alerts
 from spendwatch.operators.ordered import offset_block
 from spendwatch.sinks.transactional import write_batch
@@ -66,8 +66,8 @@ def alerts_from_blocks(blocks: DataFrame, threshold: str = settings.RISK_THRESHO
         .groupBy(*alerts.columns, "part")
         .agg(F.sort_array(F.collect_list(F.struct("block", "ids"))).alias("_blocks"))
         .withColumn("triggering_payment_ids", F.flatten("_blocks.ids"))
-        .drop("_blocks")
         .withColumn("alert_generated_ts", F.current_timestamp())
+        .select(*[F.col(f.name).cast(f.dataType) for f in schemas.ALERTS.fields])
     )
 
 
