@@ -68,21 +68,25 @@ def idempotent_ttl(
     whose processing fails (`failed` is true) releases it at once.
     """
     period = F.unix_micros(F.to_timestamp(F.lit("1970-01-01")) + interval(ttl))
-    rows = df.withColumn("_t", F.unix_micros(ts)).withColumn("_ttl", period)
-    rows = rows.withColumn("_bucket", F.floor(F.col("_t") / F.col("_ttl")).cast("bigint"))
+    rows = (
+        df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        .withColumn("_t", F.unix_micros(ts))
+        .withColumn("_ttl", period)
+        .withColumn("_bucket", F.call_function("div", F.col("_t"), F.col("_ttl")))
+    )
     ok = ~F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(True)
     claims = rows.where(ok).select(
-        F.col(key).alias("_key"), "_t", F.col(position).alias("_pos"), "_ttl", "_bucket", F.col(ts).alias("_ts"))
+        "_key", "_t", F.col(position).alias("_pos"), "_ttl", "_bucket", F.col(ts).alias("_ts"))
     accepted = _accepted_claims(claims, array_rows)
 
     # An accepted claim covers [t, t + ttl), hence its own bucket and the next: an equi-join on
     # (key, bucket) finds the claim that holds each delivery, and at most one does.
     held = accepted.select(
-        F.col("_key"), F.col("_t").alias("_from"), F.col("_pos").alias("_from_pos"),
+        F.col("_key").alias("_held_key"), F.col("_t").alias("_from"), F.col("_pos").alias("_from_pos"),
         F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_held_bucket"))
     matched = rows.join(
         held,
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("_bucket") == F.col("_held_bucket"))
+        (F.col("_key") == F.col("_held_key")) & (F.col("_bucket") == F.col("_held_bucket"))
         & (F.col("_t") < F.col("_from") + F.col("_ttl"))
         & (F.struct("_t", position) >= F.struct("_from", "_from_pos")),
         "left",
@@ -93,21 +97,34 @@ def idempotent_ttl(
     return matched.withColumn("outcome", outcome).select(*df.columns, "outcome")
 
 
+# Most keys a broadcast may hold (some megabytes), and the ways a hot key is split beyond that.
+BROADCAST_KEYS = 100_000
+SALTS = 64
+
+
+def _join_keys(claims: DataFrame, keys: DataFrame, count: int, how: str) -> DataFrame:
+    """Join claims with one row per key without moving all claims of a hot key to one task."""
+    if count <= BROADCAST_KEYS:
+        return claims.join(F.broadcast(keys), "_key", how)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = claims.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)).cast("int"))
+    return salted.join(keys.select("*", salts), ["_key", "_salt"], how).drop("_salt")
+
+
 def _accepted_claims(claims: DataFrame, array_rows: int) -> DataFrame:
     """Greedy chain per key: the first claim, then each first claim at least one ttl later.
 
     Keys with up to `array_rows` claims run the chain over a bounded array. Hotter keys take one
     map-side combined `min` per ttl period instead; both give the same chain.
     """
+    ensure_checkpoint_dir(claims.sparkSession)
     counts = claims.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = counts.where(F.col("_n") > array_rows).select("_key")
-    if hot_keys.isEmpty():
+    hot_keys = counts.where(F.col("_n") > array_rows).select("_key").checkpoint()
+    hot = hot_keys.count()
+    if not hot:
         return _chain_in_array(claims)
-    ensure_checkpoint_dir(claims.sparkSession)
-    hot_keys = hot_keys.checkpoint()
-    cold = claims.join(hot_keys, "_key", "left_anti")
-    hot = claims.join(hot_keys, "_key", "left_semi")
-    return _chain_in_array(cold).unionByName(_chain_by_period(hot))
+    return _chain_in_array(_join_keys(claims, hot_keys, hot, "left_anti")).unionByName(
+        _chain_by_period(_join_keys(claims, hot_keys, hot, "left_semi"), hot))
 
 
 def _chain_in_array(claims: DataFrame) -> DataFrame:
@@ -128,7 +145,7 @@ def _chain_in_array(claims: DataFrame) -> DataFrame:
     )
 
 
-def _chain_by_period(claims: DataFrame) -> DataFrame:
+def _chain_by_period(claims: DataFrame, keys: int) -> DataFrame:
     """Two accepted claims are one ttl apart, so each ttl-long period accepts at most one per key:
     the earliest claim of the period that the last accepted one no longer holds.
 
@@ -143,7 +160,7 @@ def _chain_by_period(claims: DataFrame) -> DataFrame:
         period = claims.where((F.col("_ts") >= start) & (F.col("_ts") < end)).drop("_ts")
         if state is not None:
             free_from = state.select("_key", (F.col("_t") + F.col("_ttl")).alias("_free"))
-            period = period.join(free_from, "_key", "left").where(
+            period = _join_keys(period, free_from, keys, "left").where(
                 F.col("_free").isNull() | (F.col("_t") >= F.col("_free"))).drop("_free")
         taken = period.groupBy("_key").agg(F.min(claim).alias("_c")).select("_key", "_c.*")
         merged = taken if state is None else taken.unionByName(state)

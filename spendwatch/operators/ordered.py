@@ -38,10 +38,12 @@ def running(
 ) -> DataFrame:
     """Add column `into`: `how` over the rows of `keys` up to this one, by `position` then `ties`.
 
-    `exclusive` leaves the row itself out, giving null at the first row of a key.
+    `exclusive` leaves the row itself out, giving null at the first row of a key. Rows with a null
+    key are left out, as keyed aggregation of a stream does.
     """
     aggregate, combine = _COMBINE[how]
-    blocked = df.withColumn("_block", offset_block(position, block_offsets))
+    keyed = df.dropna(subset=keys)
+    blocked = keyed.withColumn("_block", offset_block(position, block_offsets))
     inside = (
         Window.partitionBy(*keys, "_block").orderBy(position, *ties)
         .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
@@ -53,10 +55,10 @@ def running(
         .where(F.col("_carry").isNotNull())
         .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_block").alias("_k_block"), "_carry")
     )
-    # Null-safe equality keeps the group of null keys together, as the window does.
+    # Plain equality on the window's own keys: the join reuses its shuffle and its sort.
     same = F.col("_block") == F.col("_k_block")
     for key in keys:
-        same = same & F.col(key).eqNullSafe(F.col(f"_k_{key}"))
+        same = same & (F.col(key) == F.col(f"_k_{key}"))
     rows = blocked.withColumn("_local", aggregate(value).over(inside))
     return (
         rows.join(carry, same, "left")

@@ -58,7 +58,7 @@ def partition_split_audit(
     """Windows whose verdict changes when each partition sums a user's payments on its own."""
     limit = F.lit(Decimal(threshold))
     partial = (
-        with_window_start(df, ts, size)
+        with_window_start(df.dropna(subset=["user_id"]), ts, size)
         .groupBy("user_id", "window_start", "partition")
         .agg(F.sum("amount").alias("_partial"))
     )

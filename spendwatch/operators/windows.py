@@ -38,6 +38,7 @@ def window_spend(
     """Total and payment count per user and window.
 
     The sum combines map side, so a user holding most of the rows costs one row per task and window.
+    Payments without a user are left out, as keyed aggregation of a stream does.
     `drop_late` applies the per-record grace rule first, `closed_only` keeps windows the newest record
     has closed, `dedup` counts each payment once.
     """
@@ -45,7 +46,7 @@ def window_spend(
     if drop_late:
         rows = late.late_drop(rows, ts, size, grace or settings.GRACE)
     sums = (
-        with_window_start(rows, ts, size, slide)
+        with_window_start(rows.dropna(subset=["user_id"]), ts, size, slide)
         .groupBy(*GROUP)
         .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("payments"))
     )
@@ -78,7 +79,7 @@ def payment_id_parts(
     # The join may be split by AQE when a window is hot; the explicit shuffle on the part keeps
     # the aggregation from pinning the join to one task per window.
     return (
-        spend.join(ids, F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("window_start") == F.col("_start")))
+        spend.join(ids, (F.col("user_id") == F.col("_user")) & (F.col("window_start") == F.col("_start")))
         .withColumn("part", part)
         .repartition("user_id", "window_start", "part")
         .groupBy(*spend.columns, "part")

@@ -258,8 +258,7 @@ def retention_time(spark, sf_dir):
 
 @query("q21_retention_bytes")
 def retention_bytes(spark, sf_dir):
-    raw = views.table(spark, sf_dir, "events").select("event_id", "props")
-    rows = views.routed_payments(spark, sf_dir).join(raw, "event_id").withColumn(
+    rows = views.routed_payments(spark, sf_dir).withColumn(
         "bytes", F.octet_length("props") + F.octet_length("user_id"))
     kept = upkeep.retain_bytes(rows, "bytes", max_bytes=10_000)
     return kept.select("payment_id", "partition", "offset", "bytes")

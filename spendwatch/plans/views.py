@@ -56,7 +56,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(settings.TOPIC_INITIATED).alias("topic"),
         (F.col("user_id") % settings.PARTITIONS).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        "event_id", "event_type",
+        "event_id", "event_type", "props",
     )
 
 

@@ -41,8 +41,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the cluster's shared checkpoint folder; only a local session may fall back to its own."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+    context = spark.sparkContext
+    if context.getCheckpointDir():
         return
-    if not spark.sparkContext.master.startswith("local"):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spendwatch-checkpoint-"))
+    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spendwatch-checkpoint-"))

@@ -24,7 +24,7 @@ def window_spend_stream(payments: DataFrame, ts: str = "record_ts", size: str =
     """Total and count per user and window; append mode emits each window once, when it closes,
     update mode emits it after every micro-batch that touched it."""
     return (
-        payments.withWatermark(ts, grace)
+        payments.dropna(subset=["user_id"]).withWatermark(ts, grace)
         .groupBy(F.window(ts, size, slide).alias("_w"), "user_id")
         .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("payments"))
         .select("user_id", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
@@ -39,7 +39,7 @@ def spend_blocks_stream(payments: DataFrame, ts: str = "record_ts", size: str =
     The block spreads a hot user over the state partitions and bounds the id list of one state row.
     """
     return (
-        payments.withWatermark(ts, grace)
+        payments.dropna(subset=["user_id"]).withWatermark(ts, grace)
         .groupBy(F.window(ts, size).alias("_w"), "user_id", offset_block("offset", max_ids).alias("block"))
         .agg(
             F.sum("amount").alias("block_total"),

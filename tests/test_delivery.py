@@ -80,9 +80,11 @@ def brute_force(rows, ttl):
     return result
 
 
-@pytest.mark.parametrize("array_rows", [0, 20, 10**6])
-def test_hot_and_cold_keys_equal_brute_force(spark, array_rows):
-    """Half of the deliveries share one key; array_rows decides which keys take the hot path."""
+@pytest.mark.parametrize("array_rows,broadcast", [(0, 10), (20, 10), (60, 0), (10**6, 10)])
+def test_hot_and_cold_keys_equal_brute_force(spark, monkeypatch, array_rows, broadcast):
+    """Half of the deliveries share one key; array_rows decides which keys take the hot path,
+    the broadcast limit whether its joins are salted."""
+    monkeypatch.setattr(dedup, "BROADCAST_KEYS", broadcast)
     rng = random.Random(7)
     base = dt.datetime(2026, 1, 1)
     rows = [
