@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from spendwatch import settings
+from spendwatch import session, settings
 from spendwatch.functions.identifiers import dedup_key
 from spendwatch.functions.times import interval
-from spendwatch.session import ensure_checkpoint_dir
 
 
 def idempotent_first(df: DataFrame, key: str = "payment_id",
@@ -97,14 +96,13 @@ def idempotent_ttl(
     return matched.withColumn("outcome", outcome).select(*df.columns, "outcome")
 
 
-# Most keys a broadcast may hold (some megabytes), and the ways a hot key is split beyond that.
-BROADCAST_KEYS = 100_000
+# Ways a hot key is split when there are too many keys to broadcast.
 SALTS = 64
 
 
 def _join_keys(claims: DataFrame, keys: DataFrame, count: int, how: str) -> DataFrame:
     """Join claims with one row per key without moving all claims of a hot key to one task."""
-    if count <= BROADCAST_KEYS:
+    if count <= session.BROADCAST_ROWS:
         return claims.join(F.broadcast(keys), "_key", how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     salted = claims.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)).cast("int"))
@@ -117,9 +115,8 @@ def _accepted_claims(claims: DataFrame, array_rows: int) -> DataFrame:
     Keys with up to `array_rows` claims run the chain over a bounded array. Hotter keys take one
     map-side combined `min` per ttl period instead; both give the same chain.
     """
-    ensure_checkpoint_dir(claims.sparkSession)
     counts = claims.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = counts.where(F.col("_n") > array_rows).select("_key").checkpoint()
+    hot_keys = session.written(counts.where(F.col("_n") > array_rows).select("_key"))
     hot = hot_keys.count()
     if not hot:
         return _chain_in_array(claims)
@@ -150,7 +147,7 @@ def _chain_by_period(claims: DataFrame, keys: int) -> DataFrame:
     the earliest claim of the period that the last accepted one no longer holds.
 
     One small job per period: its claims are read through a time range that reaches the scan, and
-    the state, one row per hot key, is checkpointed. Seven days of retention make seven jobs.
+    the state, one row per hot key, is written out. Seven days of retention make seven jobs.
     """
     first, last, ttl = claims.agg(F.min("_bucket"), F.max("_bucket"), F.max("_ttl")).first()
     claim = F.struct("_t", "_pos", "_ttl", "_bucket")
@@ -164,6 +161,6 @@ def _chain_by_period(claims: DataFrame, keys: int) -> DataFrame:
                 F.col("_free").isNull() | (F.col("_t") >= F.col("_free"))).drop("_free")
         taken = period.groupBy("_key").agg(F.min(claim).alias("_c")).select("_key", "_c.*")
         merged = taken if state is None else taken.unionByName(state)
-        state = merged.groupBy("_key").agg(F.max(claim).alias("_c")).select("_key", "_c.*").checkpoint()
+        state = session.written(merged.groupBy("_key").agg(F.max(claim).alias("_c")).select("_key", "_c.*"))
         accepted.append(state.where(F.col("_bucket") == bucket))
     return reduce(DataFrame.unionByName, accepted)

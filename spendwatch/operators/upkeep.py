@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spendwatch import settings
+from spendwatch import session, settings
 from spendwatch.functions.times import interval
 from spendwatch.operators.ordered import offset_block
 
@@ -49,19 +49,22 @@ def retain_bytes(
     """Newest rows of each partition whose sizes add up to at most `max_bytes`.
 
     Block totals decide whole blocks: newer blocks that fit stay, older ones go, and only the one
-    block the limit falls into is ordered row by row.
+    block the limit falls into is ordered row by row. The decision is one row per partition; it is
+    computed up front so that its size can be checked before it is broadcast to the rows.
     """
     keys = list(partition)
     blocked = df.withColumn("_block", offset_block(position, block_offsets))
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("_block"))
     # One row per partition: the block the limit falls into and the bytes of the newer blocks.
-    edge = (
+    over = F.col("_total") > max_bytes
+    edge_block = F.struct("_block", (F.col("_total") - F.col("_bytes")).alias("_newer"))
+    edge = session.written(
         blocked.groupBy(*keys, "_block").agg(F.sum(size).alias("_bytes"))
         .withColumn("_total", F.sum("_bytes").over(newest_first))
-        .groupBy(*keys)
-        .agg(F.max(F.when(F.col("_total") > max_bytes, F.struct("_block", (F.col("_total") - F.col("_bytes")).alias("_newer")))).alias("_edge"))
+        .groupBy(*keys).agg(F.max(F.when(over, edge_block)).alias("_edge"))
         .select(*keys, F.col("_edge._block").alias("_edge_block"), F.col("_edge._newer").alias("_newer"))
     )
+    edge = session.broadcast_if_small(edge, edge.count())
     placed = blocked.join(edge, keys, "left")
     whole = placed.where(F.col("_edge_block").isNull() | (F.col("_block") > F.col("_edge_block")))
     inside = Window.partitionBy(*keys).orderBy(F.desc(position))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
+from spendwatch import session
 from spendwatch.operators import dedup, progress, retry
 
 D = "2026-01-01 "
@@ -84,7 +85,7 @@ def brute_force(rows, ttl):
 def test_hot_and_cold_keys_equal_brute_force(spark, monkeypatch, array_rows, broadcast):
     """Half of the deliveries share one key; array_rows decides which keys take the hot path,
     the broadcast limit whether its joins are salted."""
-    monkeypatch.setattr(dedup, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast)
     rng = random.Random(7)
     base = dt.datetime(2026, 1, 1)
     rows = [
