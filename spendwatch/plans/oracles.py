@@ -324,6 +324,13 @@ WHERE event_type <> 'error' OR record_ts > TIMESTAMP '2024-01-30'""",
     "q20_retention_time": "WITH" + _PLAIN + """
 SELECT payment_id, record_ts FROM plain WHERE record_ts >= TIMESTAMP '2024-01-24'""",
 
+    "q20_alert_retention": "WITH" + _PLAIN + f""",
+spend AS (
+  SELECT user_id, {_START} AS window_start, {_START} + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
+    count(*) AS payments FROM plain GROUP BY ALL)
+SELECT user_id, window_start, window_end, payments, total::DOUBLE AS total_amount, {_LEVEL} AS risk_level
+FROM spend WHERE total > 150 AND window_end >= TIMESTAMP '2024-01-11'""",
+
     "q21_retention_bytes": "WITH" + _PAYMENTS + """,
 sized AS (SELECT *, strlen(props) + strlen(user_id) AS bytes FROM payments),
 summed AS (

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from spendwatch import schemas
+from spendwatch import schemas, settings
 from spendwatch.functions.identifiers import dedup_key
 from spendwatch.operators import (
     alerts, commits, compatibility, dedup, evolution, intake, landing, late, outbox, partitioning,
@@ -256,6 +256,13 @@ def retention_time(spark, sf_dir):
     return upkeep.retain_time(views.payments(spark, sf_dir), at("2024-01-31 00:00:00")).select("payment_id", "record_ts")
 
 
+@query("q20_alert_retention")
+def alert_retention(spark, sf_dir):
+    graded = alerts.risk_alerts(windows.window_spend(views.payments(spark, sf_dir)), views.THRESHOLD)
+    return upkeep.retain_time(
+        graded, at("2024-02-10 00:00:00"), ts="window_end", max_age=settings.ALERT_RETENTION)
+
+
 @query("q21_retention_bytes")
 def retention_bytes(spark, sf_dir):
     rows = views.routed_payments(spark, sf_dir).withColumn(

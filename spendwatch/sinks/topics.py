@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from spendwatch import settings
+
 
 def initiated_records(payments: DataFrame, topic: str, value: Column) -> DataFrame:
     """Payments with an assigned partition -> records keyed by user."""
@@ -29,6 +31,19 @@ def relay_records(outbox: DataFrame) -> DataFrame:
         F.col("payload").alias("value"))
 
 
+def alert_records(alerts: DataFrame, topic: str = settings.TOPIC_ALERTS) -> DataFrame:
+    """Alerts -> records keyed by user."""
+    return alerts.select(
+        F.lit(topic).alias("topic"), F.col("user_id").alias("key"), F.to_json(F.struct(*alerts.columns)).alias("value"))
+
+
+def write_kafka(records: DataFrame, servers: str) -> None:
+    """Send records to the topics they name. Needs the Kafka connector, which the test image lacks: not
+    covered by the tests. Delivery is at least once; `operators.dedup` removes the copies downstream."""
+    records.select("topic", "key", "value").write.format("kafka").option(
+        "kafka.bootstrap.servers", servers).save()
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, name: str) -> StreamingQuery:
     """Exactly-once file sink: drain what is available, then stop."""
     return (

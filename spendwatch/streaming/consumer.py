@@ -1,8 +1,9 @@
 """Idempotent consumer with retries and dead letters, as a micro-batch function over committed tables.
 
-State is three append-only tables: the ledger of processed keys, the attempts and the dead letters.
-A batch reads only rows of earlier batches, so replaying it after a failure gives the same outputs
-and overwrites them. Copies of one key collapse map side before any shuffle.
+Tables: `processed_messages` (ledger), `attempts` and `dead_letter` (append-only logs) and `waiting`,
+a snapshot of the payments that wait for a retry. A batch reads the snapshot of the batch before it and
+the ledger of earlier batches, so replaying it after a failure gives the same outputs and
+overwrites them. Copies of one key collapse map side before any shuffle.
 """
 
 from __future__ import annotations
@@ -10,74 +11,80 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from spendwatch import schemas, settings
 from spendwatch.functions.identifiers import dedup_key
 from spendwatch.functions.times import interval
 from spendwatch.operators.dedup import idempotent_first, ledger_rows
-from spendwatch.operators.retry import dead_letters, due_attempts, retry_state
+from spendwatch.operators.retry import dead_letters, retry_state
 from spendwatch.sinks.transactional import create_tables, write_batch
 from spendwatch.sources.tables import read_table
 
 # Takes payments, returns them with error_class and exception_message (both null on success).
 Handler = Callable[[DataFrame], DataFrame]
 
+WAITING = StructType([*schemas.ATTEMPTS.fields, StructField("next_attempt_at", TimestampType(), True)])
+
 
 def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
 class PaymentConsumer:
-    """Process each payment once; failed ones come back after a delay, then end as dead letters."""
+    """Process each payment once; failed ones come back after a delay, then end as dead letters.
+
+    `use_ledger=False` is for input that `streaming.dedup` has already freed of repeated deliveries: the
+    ledger is then only written, and no batch has to join with a day of processed keys.
+    """
 
     def __init__(self, spark: SparkSession, root: str, payment_schema: StructType, handler: Handler,
                  ttl: str = settings.DEDUP_TTL, max_attempts: int = settings.MAX_ATTEMPTS,
                  delay_seconds: int = settings.RETRY_DELAY_SECONDS,
-                 multiplier: int = settings.RETRY_MULTIPLIER,
+                 multiplier: int = settings.RETRY_MULTIPLIER, use_ledger: bool = True,
                  now: Callable[[], dt.datetime] = _utc_now):
         self.spark, self.root, self.handler, self.now = spark, root, handler, now
-        self.payment_schema, self.ttl, self.max_attempts = payment_schema, ttl, max_attempts
-        self.schedule = {"delay_seconds": delay_seconds, "multiplier": multiplier}
+        self.payment_schema, self.ttl, self.use_ledger = payment_schema, ttl, use_ledger
+        self.schedule = {
+            "max_attempts": max_attempts, "delay_seconds": delay_seconds, "multiplier": multiplier}
 
     def create(self) -> None:
         create_tables(self.spark, self.root, {
             "processed_messages": schemas.PROCESSED_MESSAGES,
             "attempts": schemas.ATTEMPTS,
             "dead_letter": schemas.DEAD_LETTER,
+            "waiting": WAITING,
         })
 
-    def _earlier(self, name: str, schema: StructType, batch_id: int) -> DataFrame:
-        return read_table(self.spark, self.root, name, schema).where(F.col("batch_id") < batch_id).drop("batch_id")
+    def _fresh(self, batch: DataFrame, batch_id: int, waiting: DataFrame, at: Column) -> DataFrame:
+        """First deliveries of payments that are neither processed already nor waiting for a retry."""
+        columns = self.payment_schema.fieldNames()
+        # A payment that waits for its retry is not started over by a second delivery.
+        fresh = idempotent_first(batch.select(*columns)).join(
+            waiting.select("payment_id"), "payment_id", "left_anti")
+        if self.use_ledger:
+            ledger = read_table(self.spark, self.root, "processed_messages", schemas.PROCESSED_MESSAGES)
+            held = ledger.where(
+                (F.col("batch_id") < batch_id) & (F.col("processed_at") > at - interval(self.ttl)))
+            fresh = fresh.withColumn("message_key", dedup_key(F.col("payment_id"))).join(
+                held.select("message_key"), "message_key", "left_anti")
+        return fresh.select(*columns, F.lit(0).alias("earlier_attempts"))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Handle the batch's new payments and the retries that are due."""
+        """Handle the batch's new payments and the retries that are due; batch ids are consecutive."""
         # A literal instant: all outputs of the batch agree on the time.
         at = F.lit(self.now())
-        ledger = self._earlier("processed_messages", schemas.PROCESSED_MESSAGES, batch_id)
-        attempts = self._earlier("attempts", schemas.ATTEMPTS, batch_id)
-        state = retry_state(attempts, self.max_attempts, **self.schedule)
-
         columns = self.payment_schema.fieldNames()
-        held = ledger.where(F.col("processed_at") > at - interval(self.ttl)).select("message_key")
-        waiting = state.where("disposition = 'retry'").select("payment_id")
-        fresh = (
-            idempotent_first(batch.select(*columns))
-            .withColumn("message_key", dedup_key(F.col("payment_id")))
-            .join(held, "message_key", "left_anti")
-            # A payment that waits for its retry is not started over by a second delivery.
-            .join(waiting, "payment_id", "left_anti")
-            .select(*columns, F.lit(0).alias("earlier_attempts"))
-        )
-        retries = due_attempts(state, at).select(
-            F.from_json("payload", self.payment_schema).alias("_p"), F.col("attempt").alias("earlier_attempts")
-        ).select("_p.*", "earlier_attempts")
+        waiting = self.spark.read.schema(WAITING).parquet(f"{self.root}/waiting/batch_id={batch_id - 1}")
+        due = waiting.where(F.col("next_attempt_at") <= at).select(
+            F.from_json("payload", self.payment_schema).alias("_p"), F.col("attempt").alias("earlier_attempts"))
+        tries = self._fresh(batch, batch_id, waiting, at).unionByName(due.select("_p.*", "earlier_attempts"))
 
-        # The handler's result feeds three tables, so it is written once and read back.
+        # The handler's result feeds four tables, so it is written once and read back.
         outcomes_path = f"{self.root}/outcomes/batch_id={batch_id}"
-        self.handler(fresh.unionByName(retries)).write.mode("overwrite").parquet(outcomes_path)
+        self.handler(tries).write.mode("overwrite").parquet(outcomes_path)
         outcomes = self.spark.read.parquet(outcomes_path)
 
         tried = outcomes.select(
@@ -90,12 +97,14 @@ class PaymentConsumer:
         )
         # First-time successes need no attempt row; a success after failures closes the payment.
         logged = tried.where(F.col("error_class").isNotNull() | (F.col("attempt") > 1))
-        dead = dead_letters(retry_state(logged, self.max_attempts, **self.schedule)).drop("disposition")
+        state = retry_state(logged, **self.schedule)
+        again = state.where("disposition = 'retry'").select(*WAITING.fieldNames())
         done = outcomes.where(F.col("error_class").isNull()).withColumn("_at", at)
         write_batch(self.spark, self.root, batch_id, {
             "processed_messages": ledger_rows(done, ts="_at"),
             "attempts": logged,
-            "dead_letter": dead,
+            "dead_letter": dead_letters(state).drop("disposition"),
+            "waiting": waiting.where(F.col("next_attempt_at") > at).unionByName(again),
         })
 
     def start(self, payments: DataFrame, checkpoint: str) -> StreamingQuery:
@@ -103,9 +112,3 @@ class PaymentConsumer:
             payments.writeStream.queryName("payment_consumer").foreachBatch(self.process)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         )
-
-
-def dedup_within_watermark(payments: DataFrame, key: str = "payment_id", ts: str = "record_ts",
-                           ttl: str = settings.DEDUP_TTL) -> DataFrame:
-    """Event-time alternative without a ledger: duplicates within `ttl` of the first are dropped."""
-    return payments.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from spendwatch.operators.alerts import risk_alerts
 from spendwatch.plans import views
 from spendwatch.sinks import topics as topic_sink, transactional
 from spendwatch.sources import requests as request_source, tables, topics as topic_source
-from spendwatch.streaming import alerts, consumer, landing, relay
+from spendwatch.streaming import alerts, consumer, dedup, landing, monitor, relay
 
 D = "2026-01-01 "
 COLUMNS = ["payment_id", "user_id", "amount", "record_ts", "partition", "offset"]
@@ -254,7 +256,7 @@ def test_consumer_processes_once_retries_and_gives_up(spark, shop, make_payments
 
     shop.clock.advance(milliseconds=999)
     shop.process(batch, 1)  # redelivery: 'a' is known, 'r' and 'f' wait, nothing is due
-    assert done(shop) == ["a"] and dead(shop) == {"x": 1, "x": 1}
+    assert done(shop) == ["a"] and dead(shop) == {"x": 1}
     shop.clock.advance(milliseconds=1)
     shop.process(make_payments(("v", "1", D + "00:00:02"), ids=["b"]).select(*COLUMNS), 2)
     assert done(shop) == ["a", "b", "f"]  # other users are not delayed, the second attempt of f works
@@ -295,11 +297,89 @@ def test_watermark_dedup(spark, topic, tmp_path, make_payments):
         ("u", "1", D + "00:00:00"), ("u", "1", D + "00:00:05"), ("v", "1", D + "00:00:05"),
         ids=["a", "a", "b"]).select(*COLUMNS))
     topic.send(make_payments(("u", "1", D + "01:00:00"), ids=["a"]).select(*COLUMNS))
-    unique = consumer.dedup_within_watermark(topic.stream())
+    unique = dedup.dedup_within_watermark(topic.stream())
     out = str(tmp_path / "out")
     drain(topic_sink.append_stream(unique, out, str(tmp_path / "c"), "dedup"))
     assert sorted(r.payment_id for r in spark.read.parquet(out).collect()) == ["a", "b"]
 
 
+def run_for(query, path, rows, spark, seconds=30):
+    """A query with processing-time state never ends by itself: wait for its rows, then stop it."""
+    try:
+        for _ in range(seconds):
+            assert query.exception() is None
+            query.awaitTermination(1)
+            written = os.path.isdir(f"{path}/_spark_metadata")
+            if written and spark.read.schema("payment_id string").parquet(path).count() >= rows:
+                break
+    finally:
+        query.stop()
+
+
+def start_first_deliveries(topic, out, checkpoint, ttl_seconds, releases=None):
+    unique = dedup.first_deliveries(topic.stream(100), ttl_seconds=ttl_seconds, releases=releases)
+    return (
+        unique.writeStream.outputMode("append").format("parquet").option("path", out)
+        .option("checkpointLocation", checkpoint).trigger(processingTime="1 second").start())
+
+
+def test_state_dedup_keeps_the_earliest_copy_across_restarts(spark, topic, tmp_path, make_payments):
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    hot = [("hot", str(i + 1), D + f"00:{59 - i:02}:00") for i in range(60)]
+    topic.send(make_payments(*hot, ("u", "1", D + "00:00:00"), ids=["h"] * 60 + ["a"]).select(*COLUMNS))
+    run_for(start_first_deliveries(topic, out, checkpoint, 3600), out, 2, spark)
+    topic.send(make_payments(
+        ("hot", "1", D + "00:00:00"), ("v", "1", D + "00:00:00"), ids=["h", "b"]).select(*COLUMNS))
+    run_for(start_first_deliveries(topic, out, checkpoint, 3600), out, 3, spark)
+    rows = sorted((r.payment_id, str(r.amount)) for r in spark.read.parquet(out).collect())
+    assert rows == [("a", "1.00"), ("b", "1.00"), ("h", "60.00")]
+
+
+def test_state_dedup_forgets_after_the_ttl_or_a_release(spark, tmp_path, make_payments):
+    topic, freed = Topic(spark, tmp_path / "topic"), Topic(spark, tmp_path / "freed")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
+    payment = make_payments(("u", "1", D + "00:00:00"), ids=["a"]).select(*COLUMNS)
+    freed.send(payment.select("payment_id").limit(0))
+    topic.send(payment)
+    run_for(start_first_deliveries(topic, out, checkpoint, 3600, freed.stream()), out, 1, spark)
+    freed.send(payment.select("payment_id"))
+    topic.send(payment)
+    run_for(start_first_deliveries(topic, out, checkpoint, 3600, freed.stream()), out, 2, spark)
+    assert spark.read.parquet(out).count() == 2
+
+    out, checkpoint = str(tmp_path / "out2"), str(tmp_path / "c2")
+    run_for(start_first_deliveries(topic, out, checkpoint, 1), out, 1, spark)
+    time.sleep(1.5)
+    topic.send(payment)
+    run_for(start_first_deliveries(topic, out, checkpoint, 1), out, 2, spark)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_consumer_behind_state_dedup_needs_no_ledger(spark, shop, make_payments):
+    shop.use_ledger = False
+    batch = make_payments(("u", "1", D + "00:00:00"), ("u", "1", D + "00:00:00"), ids=["a", "a"]).select(*COLUMNS)
+    shop.process(batch, 0)
+    assert done(shop) == ["a"]
+    shop.process(batch, 1)  # the ledger is not asked
+    assert done(shop) == ["a", "a"]
+
+
+def test_dead_letter_monitor_reads_on_its_own(spark, shop, tmp_path, make_payments):
+    batch = make_payments(*[("poison", "1", D + "00:00:00")] * 10, ("u", "1", D + "00:00:00")).select(*COLUMNS)
+    shop.process(batch, 0)
+    root = str(tmp_path / "monitor")
+    dead_letters = monitor.stream_dead_letters(spark, shop.root)
+    drain(monitor.start_monitor(dead_letters, root, str(tmp_path / "mc")))
+    counts = committed(spark, root, "dead_letter_counts").collect()
+    assert [(r.error_class, r.dead_letters, r.burst) for r in counts] == [("DeserializationException", 10, True)]
+
+
+def test_alert_records_are_keyed_by_user(spark, make_payments):
+    spend = windows.window_spend(make_payments(("u", "16000", D + "00:00:00")))
+    row = topic_sink.alert_records(risk_alerts(spend)).first()
+    assert (row.topic, row.key) == ("fraud.high-risk.alerts", "u")
+    assert json.loads(row.value)["risk_level"] == "MEDIUM"
+
+
 def test_intervals_are_plain_sql(spark):
     assert spark.range(1).select(interval("30 seconds").alias("i")).first().i == dt.timedelta(seconds=30)
