@@ -5,12 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import lexicon, packing
-from spendwatch.llm.common import table
+from spendwatch.llm import langid, lexicon, packing
+from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = langid.train(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, keep=["doc_id", "held_out"])
+
+
 def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -23,5 +29,5 @@ def op9_transducer_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op5_sum_of_squares_packing, op9_transducer_lexicon)}
+QUERIES = {f.__name__: f for f in (op3_partial_matching, op5_sum_of_squares_packing, op9_transducer_lexicon)}
 ORACLES: dict[str, str] = {}
