@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, langid, lexicon, packing
+from spendwatch.llm import chat, langid, lexicon, packing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op3_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
 
 
+def op4_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -73,6 +77,6 @@ def op9_transducer_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_partial_matching, op5_sum_of_squares_packing, op6_chat_expressions,
+QUERIES = {f.__name__: f for f in (op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
                                     op9_transducer_lexicon)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
