@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, langid, lexicon, packing, wrappers
+from spendwatch.llm import chat, langid, lexicon, packing, parsing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +77,10 @@ def op9_transducer_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
-                                    op9_transducer_lexicon)}
+                                    op9_transducer_lexicon, op10_consistent_parsing)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
