@@ -5,12 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, langid, lexicon, packing, parsing, wrappers
+from spendwatch.llm import chat, forest, langid, lexicon, packing, parsing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return forest.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op3_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
     model = langid.train(docs.where(~F.col("held_out")))
@@ -81,6 +86,6 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
+QUERIES = {f.__name__: f for f in (op1_prefix_forest, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
                                     op9_transducer_lexicon, op10_consistent_parsing)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
