@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, forest, langid, lexicon, packing, parsing, wrappers
+from spendwatch.llm import chat, forest, langid, lexicon, linedup, packing, parsing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,10 @@ from sized group by conv_id
 """
 
 
+def op8_line_suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.delete_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_transducer_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = lexicon.encode_decode(table(spark, sf_dir, "documents"), TOKENIZER)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -87,5 +91,5 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_prefix_forest, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
-                                    op9_transducer_lexicon, op10_consistent_parsing)}
+                                    op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
