@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, forest, langid, lexicon, linedup, packing, parsing, wrappers
+from spendwatch.llm import chat, forest, interpolation, langid, lexicon, linedup, packing, parsing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +16,12 @@ def op1_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.search(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op2_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Held out: remainder 2 of 7. The weights are learned on a seventh of the documents with remainder 3.
+    return interpolation.score(table(spark, sf_dir, "documents"), held_out=fold("doc_id", 7) == 2,
+                               weights_fold=fold("doc_id", 49) == 3)
+
+
 def op3_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
     model = langid.train(docs.where(~F.col("held_out")))
@@ -90,6 +96,6 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_prefix_forest, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
+QUERIES = {f.__name__: f for f in (op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
                                     op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
