@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, forest, interpolation, langid, lexicon, linedup, packing, parsing, wrappers
+from spendwatch.llm import chat, forest, interpolation, langid, lexicon, linedup, neardup, packing, parsing, wrappers
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -82,6 +82,10 @@ from sized group by conv_id
 """
 
 
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_line_suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.delete_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -97,5 +101,5 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
-                                    op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing)}
+                                    op7_lsh_forest, op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing)}
 ORACLES = {"op6_chat_expressions": OP6_SQL}
