@@ -88,7 +88,7 @@ def _blob(batch: pa.RecordBatch) -> bytes:
 
 
 def _unblob(blob: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(blob).read_all().combine_chunks().to_batches()[0]
+    return pa.ipc.open_stream(blob).read_next_batch()
 
 
 def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
