@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Writer type -> types a reader may declare for it.
 PROMOTIONS = {
@@ -24,7 +24,8 @@ def _readable(writer: str, reader: str, strict_types: bool) -> Column:
     known = F.size(F.array_except(
         F.coalesce(f"{writer}.symbols", F.array().cast("array<string>")),
         F.coalesce(f"{reader}.symbols", F.array().cast("array<string>")))) == 0
-    symbols_fit = (wrote != "enum") | (reads != "enum") | known
+    # A reader with a default symbol reads any symbol it does not know as that one.
+    symbols_fit = (wrote != "enum") | (reads != "enum") | known | F.col(f"{reader}.enum_default").isNotNull()
     return (
         F.when(F.col(reader).isNull(), F.lit(True))
         .when(F.col(writer).isNull(), F.col(f"{reader}.has_default"))
@@ -33,19 +34,22 @@ def _readable(writer: str, reader: str, strict_types: bool) -> Column:
 
 
 def schema_verdict(catalog: DataFrame, strict_types: bool = False) -> DataFrame:
-    """Verdict per subject and version against the version before it.
+    """Verdict per subject and version against the existing version before it; versions may have gaps.
 
-    Each field row takes part twice, as the new side of its own version and as the old side of the
-    next; grouping the two sides replaces a full outer self join by one combined shuffle.
+    Each field row takes part twice, as the new side of its own version and as the old side of the next one. All
+    steps need the rows of a subject together, so the catalog is shuffled once.
     """
-    side = F.struct("type", "has_default", "symbols")
+    side = F.struct("type", "has_default", "symbols", "enum_default")
     nothing = F.lit(None).cast(catalog.select(side.alias("s")).schema["s"].dataType)
-    as_new = catalog.select("subject", "version", "field", nothing.alias("old"), side.alias("new"))
-    as_old = catalog.select(
-        "subject", (F.col("version") + 1).alias("version"), "field", side.alias("old"), nothing.alias("new"))
+    later = Window.partitionBy("subject").orderBy("version").rangeBetween(1, Window.unboundedFollowing)
+    roles = F.explode(F.array(
+        F.struct(F.col("version").alias("at"), nothing.alias("old"), side.alias("new")),
+        F.struct(F.col("_next").alias("at"), side.alias("old"), nothing.alias("new")))).alias("_role")
     fields = (
-        as_new.unionByName(as_old).groupBy("subject", "version", "field")
-        .agg(F.max("old").alias("old"), F.max("new").alias("new"))
+        catalog.repartition("subject").withColumn("_next", F.min("version").over(later))
+        .select("subject", "field", roles).where("_role.at IS NOT NULL")
+        .groupBy("subject", F.col("_role.at").alias("version"), "field")
+        .agg(F.max("_role.old").alias("old"), F.max("_role.new").alias("new"))
     )
     pairs = (
         fields.groupBy("subject", "version")

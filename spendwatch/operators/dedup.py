@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
-from spendwatch import session, settings
+from spendwatch import settings
 from spendwatch.functions.identifiers import dedup_key
+from spendwatch.functions.maps import comparable, restored
 from spendwatch.functions.times import interval
 
 
@@ -22,26 +23,12 @@ def idempotent_first(df: DataFrame, key: str = "payment_id",
     rest = [c for c in df.columns if c not in order and c != key]
     return (
         df.groupBy(key)
-        .agg(F.min(F.struct(*order, *_comparable(df, rest))).alias("_first"),
+        .agg(F.min(F.struct(*order, *comparable(df, rest))).alias("_first"),
              F.count(F.lit(1)).alias("deliveries"))
-        .select(*[F.col(key) if c == key else _restore(df, c) for c in df.columns], "deliveries")
+        .select(*[F.col(key) if c == key else restored(df, "_first", c) for c in df.columns], "deliveries")
     )
 
 
-def _is_map(df: DataFrame, column: str) -> bool:
-    return df.schema[column].dataType.typeName() == "map"
-
-
-def _comparable(df: DataFrame, columns: list[str]):
-    # A struct with a map cannot be compared; its entries can.
-    return [F.map_entries(c).alias(c) if _is_map(df, c) else F.col(c) for c in columns]
-
-
-def _restore(df: DataFrame, column: str):
-    field = F.col(f"_first.{column}")
-    return (F.map_from_entries(field) if _is_map(df, column) else field).alias(column)
-
-
 def ledger_rows(winners: DataFrame, topic: str = settings.TOPIC_INITIATED,
                 ts: str = "record_ts") -> DataFrame:
     """Rows of the processed-message ledger for accepted deliveries."""
@@ -52,6 +39,11 @@ def ledger_rows(winners: DataFrame, topic: str = settings.TOPIC_INITIATED,
     )
 
 
+# A ttl is cut into so many time slots. A slot bounds what a step of the chain has to look at, and deals a hot key's rows
+# out over that many join keys for each ttl; results do not depend on it.
+SLOTS = 1024
+
+
 def idempotent_ttl(
     df: DataFrame,
     key: str,
@@ -59,108 +51,97 @@ def idempotent_ttl(
     position: str = "offset",
     failed: str | None = None,
     ttl: str = settings.DEDUP_TTL,
-    array_rows: int = 10_000,
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Add `outcome`: 'processed', 'duplicate' or 'failed' for each delivery.
 
-    A key is held from an accepted delivery for `ttl`; duplicates do not extend it, and a delivery
-    whose processing fails (`failed` is true) releases it at once.
+    A key is held from an accepted delivery for `ttl`; duplicates do not extend it, and a delivery whose processing fails
+    (`failed` is true) releases it at once. One lazy plan for all keys:
+
+    1. the first and last claim of each key and time slot, combined map side;
+    2. a scan over these rows, in order of key and slot, keeps the slots that may hold an accepted claim: some few
+       for each ttl, however many claims a key has;
+    3. the claims of these slots alone are scanned for the exact chain: the first claim, then each first claim at
+       least one ttl later;
+    4. every delivery meets the accepted claim that holds it by key and slot range, so a hot key is dealt out.
     """
     period = F.unix_micros(F.to_timestamp(F.lit("1970-01-01")) + interval(ttl))
-    rows = (
-        df.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("null")))
-        .withColumn("_t", F.unix_micros(ts))
-        .withColumn("_ttl", period)
-        .withColumn("_bucket", F.call_function("div", F.col("_t"), F.col("_ttl")))
-    )
+    named = df.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null")))
+    rows = named.withColumns({"_t": F.unix_micros(ts), "_pos": F.col(position).cast("bigint"), "_ttl": period})
+    width = F.greatest(F.call_function("div", F.col("_ttl"), F.lit(slots)), F.lit(1))
+    rows = rows.withColumn("_slot", floor_div(F.col("_t"), width))
     ok = ~F.coalesce(F.col(failed), F.lit(False)) if failed else F.lit(True)
-    claims = rows.where(ok).select(
-        "_key", "_t", F.col(position).alias("_pos"), "_ttl", "_bucket", F.col(ts).alias("_ts"))
-    accepted = _accepted_claims(claims, array_rows)
-
-    # An accepted claim covers [t, t + ttl), hence its own bucket and the next: an equi-join on
-    # (key, bucket) finds the claim that holds each delivery, and at most one does.
-    held = accepted.select(
-        F.col("_key").alias("_held_key"), F.col("_t").alias("_from"), F.col("_pos").alias("_from_pos"),
-        F.explode(F.array(F.col("_bucket"), F.col("_bucket") + 1)).alias("_held_bucket"))
-    matched = rows.join(
+    claims = rows.where(ok & F.col("_t").isNotNull()).select("_key", "_slot", "_t", "_pos", "_ttl")
+
+    spans = claims.groupBy("_key", "_slot").agg(
+        F.min("_t").alias("_low"), F.max("_t").alias("_high"), F.first("_ttl").alias("_ttl"))
+    visited = _in_key_order(spans, "_slot").mapInArrow(_possible_slots, "_key string, _slot long")
+    # A slot's first claim by (time, position) is enough for each time: equal times cannot both be accepted.
+    few = (claims.join(visited, ["_key", "_slot"], "left_semi").groupBy("_key", "_slot", "_t")
+           .agg(F.min("_pos").alias("_pos"), F.first("_ttl").alias("_ttl")))
+    accepted = _in_key_order(few.select("_key", "_t", "_pos", "_ttl"), "_t").mapInArrow(
+        _chain, "_from_key string, _from long, _from_pos long")
+
+    # An accepted claim covers [t, t + ttl): at most one holds a delivery. Both meet on coarse cells of a ttl / 64.
+    cell = F.greatest(F.call_function("div", period, F.lit(64)), F.lit(1))
+    held = accepted.withColumn("_cell", F.explode(F.sequence(
+        floor_div(F.col("_from"), cell), floor_div(F.col("_from") + period - 1, cell))))
+    matched = rows.withColumn("_own_cell", floor_div(F.col("_t"), cell)).join(
         held,
-        (F.col("_key") == F.col("_held_key")) & (F.col("_bucket") == F.col("_held_bucket"))
+        (F.col("_key") == F.col("_from_key")) & (F.col("_own_cell") == F.col("_cell"))
         & (F.col("_t") < F.col("_from") + F.col("_ttl"))
-        & (F.struct("_t", position) >= F.struct("_from", "_from_pos")),
+        & (F.struct("_t", "_pos") >= F.struct("_from", "_from_pos")),
         "left",
     )
-    is_claim = (F.col("_t") == F.col("_from")) & (F.col(position) == F.col("_from_pos"))
+    is_claim = (F.col("_t") == F.col("_from")) & (F.col("_pos") == F.col("_from_pos"))
     outcome = (
         F.when(is_claim, "processed").when(F.col("_from").isNotNull(), "duplicate").otherwise("failed"))
     return matched.withColumn("outcome", outcome).select(*df.columns, "outcome")
 
 
-# Ways a hot key is split when there are too many keys to broadcast.
-SALTS = 64
-
-
-def _join_keys(claims: DataFrame, keys: DataFrame, count: int, how: str) -> DataFrame:
-    """Join claims with one row per key without moving all claims of a hot key to one task."""
-    if count <= session.BROADCAST_ROWS:
-        return claims.join(F.broadcast(keys), "_key", how)
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    salted = claims.withColumn("_salt", F.pmod("_pos", F.lit(SALTS)).cast("int"))
-    return salted.join(keys.select("*", salts), ["_key", "_salt"], how).drop("_salt")
-
-
-def _accepted_claims(claims: DataFrame, array_rows: int) -> DataFrame:
-    """Greedy chain per key: the first claim, then each first claim at least one ttl later.
-
-    Keys with up to `array_rows` claims run the chain over a bounded array. Hotter keys take one
-    map-side combined `min` per ttl period instead; both give the same chain.
-    """
-    counts = claims.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot_keys = session.written(counts.where(F.col("_n") > array_rows).select("_key"))
-    hot = hot_keys.count()
-    if not hot:
-        return _chain_in_array(claims)
-    return _chain_in_array(_join_keys(claims, hot_keys, hot, "left_anti")).unionByName(
-        _chain_by_period(_join_keys(claims, hot_keys, hot, "left_semi"), hot))
-
-
-def _chain_in_array(claims: DataFrame) -> DataFrame:
-    one = F.struct(F.col("_t"), F.col("_pos"))
-    element = StructType([claims.schema["_t"], claims.schema["_pos"]]).simpleString()
-    chain = F.aggregate(
-        F.sort_array(F.col("_claims")),
-        F.array().cast(f"array<{element}>"),
-        lambda kept, claim: F.when(
-            (F.size(kept) == 0) | (claim["_t"] >= F.try_element_at(kept, F.lit(-1))["_t"] + F.col("_ttl")),
-            F.concat(kept, F.array(claim))).otherwise(kept),
-    )
-    return (
-        claims.groupBy("_key", "_ttl").agg(F.collect_list(one).alias("_claims"))
-        .select("_key", "_ttl", F.explode(chain).alias("_claim"))
-        .select("_key", "_claim._t", "_claim._pos", "_ttl",
-                F.floor(F.col("_claim._t") / F.col("_ttl")).cast("bigint").alias("_bucket"))
-    )
-
-
-def _chain_by_period(claims: DataFrame, keys: int) -> DataFrame:
-    """Two accepted claims are one ttl apart, so each ttl-long period accepts at most one per key:
-    the earliest claim of the period that the last accepted one no longer holds.
-
-    One small job per period: its claims are read through a time range that reaches the scan, and
-    the state, one row per hot key, is written out. Seven days of retention make seven jobs.
-    """
-    first, last, ttl = claims.agg(F.min("_bucket"), F.max("_bucket"), F.max("_ttl")).first()
-    claim = F.struct("_t", "_pos", "_ttl", "_bucket")
-    state, accepted = None, []
-    for bucket in range(first, last + 1):
-        start, end = (F.timestamp_micros(F.lit(b * ttl)) for b in (bucket, bucket + 1))
-        period = claims.where((F.col("_ts") >= start) & (F.col("_ts") < end)).drop("_ts")
-        if state is not None:
-            free_from = state.select("_key", (F.col("_t") + F.col("_ttl")).alias("_free"))
-            period = _join_keys(period, free_from, keys, "left").where(
-                F.col("_free").isNull() | (F.col("_t") >= F.col("_free"))).drop("_free")
-        taken = period.groupBy("_key").agg(F.min(claim).alias("_c")).select("_key", "_c.*")
-        merged = taken if state is None else taken.unionByName(state)
-        state = session.written(merged.groupBy("_key").agg(F.max(claim).alias("_c")).select("_key", "_c.*"))
-        accepted.append(state.where(F.col("_bucket") == bucket))
-    return reduce(DataFrame.unionByName, accepted)
+def floor_div(value: Column, by: Column) -> Column:
+    """Rounds down on both sides of 1970."""
+    return F.call_function("div", value - F.pmod(value, by), by)
+
+
+def _in_key_order(df: DataFrame, order: str) -> DataFrame:
+    return df.repartition("_key").sortWithinPartitions("_key", order)
+
+
+def _possible_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slots that may hold an accepted claim. `low` to `high` is where the last accepted one may lie; a slot with a
+    claim at or after low + ttl may hold the next, one with a claim at or after high + ttl does so at the latest."""
+    key, low, high, start = None, None, None, None
+    for batch in batches:
+        keys, slots = [], []
+        for k, slot, first, last, ttl in zip(*(batch.column(c).to_pylist() for c in (
+                "_key", "_slot", "_low", "_high", "_ttl"))):
+            if k != key:
+                key, low, high, start = k, first, first, None
+                if last >= first + ttl:  # a slot as long as the ttl
+                    high = last
+            elif last < low + ttl:
+                continue
+            else:
+                begin = max(first, low + ttl)
+                start = begin if start is None else start
+                if last >= high + ttl:
+                    low, high, start = start, (first if first >= high + ttl else last), None
+            keys.append(k)
+            slots.append(slot)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(slots, pa.int64())], ["_key", "_slot"])
+
+
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first claim of each key, then each first claim at least one ttl after the last accepted one."""
+    key, free_from = None, None
+    for batch in batches:
+        taken = []
+        for k, t, pos, ttl in zip(*(batch.column(c).to_pylist() for c in ("_key", "_t", "_pos", "_ttl"))):
+            if k != key or t >= free_from:
+                key, free_from = k, t + ttl
+                taken.append((k, t, pos))
+        columns = list(zip(*taken)) or [(), (), ()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64())],
+            ["_from_key", "_from", "_from_pos"])

@@ -45,6 +45,9 @@ def reject_reasons(df: DataFrame) -> Column:
         ("risk_level", "riskLevel", settings.RISK_LEVELS),
     ):
         if column in df.columns:
+            if column in settings.MAX_LENGTHS:
+                reasons.append(F.when(
+                    F.char_length(column) > settings.MAX_LENGTHS[column], F.lit(f"{label}:too_long")))
             reasons.append(F.when(~F.col(column).isin(allowed), F.lit(f"{label}:unknown")))
     checked = F.array_compact(F.array(*reasons))
     if "unreadable" in df.columns:

@@ -1,4 +1,4 @@
-"""Late records: the per-record, per-partition grace rule."""
+"""Late records: the grace rule per record, topic and partition."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from spendwatch.operators import ordered
 
 def stream_time(df: DataFrame, ts: str = "record_ts",
                 block_offsets: int = settings.BLOCK_OFFSETS) -> DataFrame:
-    """Add the newest event time seen on the record's partition up to and including the record."""
-    return ordered.running(df, ["partition"], ts, "stream_time", how="max", ties=(),
+    """Add the newest event time seen on the record's topic and partition up to and including the record."""
+    return ordered.running(df, ["topic", "partition"] if "topic" in df.columns else ["partition"], ts, "stream_time", how="max", ties=(),
                            block_offsets=block_offsets)
 
 

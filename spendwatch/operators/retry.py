@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch import settings
+from spendwatch.functions.maps import comparable, restored
 
-# Fixed value: the failure class that is worth another attempt.
-RETRYABLE = ("RuntimeException",)
+# The failure class that is worth another attempt, and its public subclasses in the standard library
+# that say the same. An illegal argument stays illegal, so it is not among them.
+RETRYABLE = (
+    "RuntimeException", "IllegalStateException", "UncheckedIOException", "ConcurrentModificationException",
+    "RejectedExecutionException", "CompletionException",
+)
 
 
-def is_retryable(error_class: Column) -> Column:
-    return error_class.isin(*RETRYABLE)
+def is_retryable(error_class: Column, retryable: tuple[str, ...] = RETRYABLE) -> Column:
+    """Names match with or without their package. A table has no class hierarchy: subclasses worth a retry must be
+    listed in `retryable`."""
+    return F.element_at(F.split(error_class, r"[.$]"), -1).isin(*retryable)
 
 
 def all_attempts(*topics: DataFrame) -> DataFrame:
@@ -28,6 +35,7 @@ def retry_state(
     delay_seconds: int = settings.RETRY_DELAY_SECONDS,
     multiplier: int = settings.RETRY_MULTIPLIER,
     key: str = "payment_id",
+    retryable: tuple[str, ...] = RETRYABLE,
 ) -> DataFrame:
     """Latest attempt per payment with its disposition and next due time.
 
@@ -37,12 +45,12 @@ def retry_state(
     rest = [c for c in attempts.columns if c not in (key, "attempt", "failed_at")]
     latest = (
         attempts.groupBy(key)
-        .agg(F.max(F.struct("attempt", "failed_at", *rest)).alias("_latest"))
-        .select(key, "_latest.*")
+        .agg(F.max(F.struct("attempt", "failed_at", *comparable(attempts, rest))).alias("_latest"))
+        .select(key, *[restored(attempts, "_latest", c) for c in ("attempt", "failed_at", *rest)])
     )
     disposition = (
         F.when(F.col("error_class").isNull(), "done")
-        .when(~is_retryable(F.col("error_class")), "not_retryable")
+        .when(~is_retryable(F.col("error_class"), retryable), "not_retryable")
         .when(F.col("attempt") >= max_attempts, "exhausted")
         .otherwise("retry")
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spendwatch import session, settings
+from spendwatch import settings
+from spendwatch.functions.maps import comparable, restored
 from spendwatch.functions.times import interval
 from spendwatch.operators.ordered import offset_block
 
@@ -13,8 +14,8 @@ def _last_records(df: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
     rest = [c for c in df.columns if c != key and c not in order]
     return (
         df.groupBy(key)
-        .agg(F.max(F.struct(*order, *rest)).alias("_last"))
-        .select(*[F.col(key) if c == key else F.col(f"_last.{c}").alias(c) for c in df.columns])
+        .agg(F.max(F.struct(*order, *comparable(df, rest))).alias("_last"))
+        .select(*[F.col(key) if c == key else restored(df, "_last", c) for c in df.columns])
     )
 
 
@@ -48,29 +49,25 @@ def retain_bytes(
 ) -> DataFrame:
     """Newest rows of each partition whose sizes add up to at most `max_bytes`.
 
-    Block totals decide whole blocks: newer blocks that fit stay, older ones go, and only the one
-    block the limit falls into is ordered row by row. The decision is one row per partition; it is
-    computed up front so that its size can be checked before it is broadcast to the rows.
+    Block totals, one row per partition and block, decide how many bytes are newer than a block. Rows meet their block's row
+    by partition and block, blocks beyond the limit go there, and the rest is summed inside its block: the
+    window reuses the join's shuffle, and no task orders more than a block.
     """
     keys = list(partition)
+    newest_first = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
     blocked = df.withColumn("_block", offset_block(position, block_offsets))
-    newest_first = Window.partitionBy(*keys).orderBy(F.desc("_block"))
-    # One row per partition: the block the limit falls into and the bytes of the newer blocks.
-    over = F.col("_total") > max_bytes
-    edge_block = F.struct("_block", (F.col("_total") - F.col("_bytes")).alias("_newer"))
-    edge = session.written(
+    newer = (
         blocked.groupBy(*keys, "_block").agg(F.sum(size).alias("_bytes"))
-        .withColumn("_total", F.sum("_bytes").over(newest_first))
-        .groupBy(*keys).agg(F.max(F.when(over, edge_block)).alias("_edge"))
-        .select(*keys, F.col("_edge._block").alias("_edge_block"), F.col("_edge._newer").alias("_newer"))
+        .withColumn("_newer", F.coalesce(F.sum("_bytes").over(newest_first), F.lit(0)))
+        .where(F.col("_newer") <= max_bytes)
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_block").alias("_k_block"), "_newer")
     )
-    edge = session.broadcast_if_small(edge, edge.count())
-    placed = blocked.join(edge, keys, "left")
-    whole = placed.where(F.col("_edge_block").isNull() | (F.col("_block") > F.col("_edge_block")))
-    inside = Window.partitionBy(*keys).orderBy(F.desc(position))
-    on_edge = (
-        placed.where(F.col("_block") == F.col("_edge_block"))
-        .withColumn("_sum", F.col("_newer") + F.sum(size).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .where(F.col("_sum") <= max_bytes)
+    same = F.col("_block") == F.col("_k_block")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        blocked.join(newer, same)
+        .withColumn("_sum", F.col("_newer") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
+        .where(F.col("_sum") <= max_bytes).select(*df.columns)
     )
-    return whole.select(*df.columns).unionByName(on_edge.select(*df.columns))

@@ -93,24 +93,27 @@ _CATALOG = """
 raw_fields AS (
   SELECT l_orderkey AS subject, l_linenumber AS version, concat('f', l_partkey % 3) AS field,
     ['int', 'long', 'string', 'bytes', 'enum'][l_suppkey % 5 + 1] AS type, l_returnflag = 'N' AS has_default,
-    (l_quantity % 4)::INTEGER AS top FROM lineitem),
+    (l_quantity % 4)::INTEGER AS top, l_linestatus = 'O' AS fallback FROM lineitem{kept}),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY subject, version, field
-    ORDER BY type, has_default, CASE WHEN type = 'enum' THEN top ELSE 0 END) AS r FROM raw_fields),
+    ORDER BY type, has_default, CASE WHEN type = 'enum' THEN top ELSE 0 END, type = 'enum' AND fallback) AS r
+  FROM raw_fields),
 catalog AS (SELECT * EXCLUDE (r) FROM ranked WHERE r = 1),
-versions AS (SELECT DISTINCT subject, version FROM catalog),
 pairs AS (
-  SELECT n.subject, n.version FROM versions n JOIN versions o ON o.subject = n.subject AND o.version + 1 = n.version),
+  SELECT subject, version, lag(version) OVER (PARTITION BY subject ORDER BY version) AS before
+  FROM (SELECT DISTINCT subject, version FROM catalog) QUALIFY before IS NOT NULL),
+news AS (SELECT * FROM catalog JOIN pairs USING (subject, version)),
+olds AS (SELECT c.*, p.version AS next FROM catalog c JOIN pairs p ON p.subject = c.subject AND p.before = c.version),
 sides AS (
-  SELECT coalesce(n.subject, o.subject) AS subject, coalesce(n.version, o.version + 1) AS version,
-    n.type AS nt, n.has_default AS nd, n.top AS ns, o.type AS ot, o.has_default AS od, o.top AS os
-  FROM catalog n FULL JOIN catalog o
-    ON o.subject = n.subject AND o.version + 1 = n.version AND o.field = n.field),
+  SELECT coalesce(n.subject, o.subject) AS subject, coalesce(n.version, o.next) AS version,
+    n.type AS nt, n.has_default AS nd, n.top AS ns, n.fallback AS nf,
+    o.type AS ot, o.has_default AS od, o.top AS os, o.fallback AS of
+  FROM news n FULL JOIN olds o ON o.subject = n.subject AND o.next = n.version AND o.field = n.field),
 judged AS (
   SELECT subject, version,
     bool_and(CASE WHEN nt IS NULL THEN true WHEN ot IS NULL THEN nd ELSE {fits_back} END) AS backward,
     bool_and(CASE WHEN ot IS NULL THEN true WHEN nt IS NULL THEN od ELSE {fits_forward} END) AS forward
-  FROM sides SEMI JOIN pairs USING (subject, version) GROUP BY ALL)
+  FROM sides GROUP BY ALL)
 SELECT subject, version, backward, forward,
   CASE WHEN backward AND forward THEN 'FULL' WHEN backward THEN 'BACKWARD' WHEN forward THEN 'FORWARD'
     ELSE 'NONE' END AS verdict FROM judged
@@ -118,15 +121,15 @@ SELECT subject, version, backward, forward,
 
 
 def _fits(writer: str, reader: str, strict: bool) -> str:
-    same = (f"({writer}t = {reader}t AND ({writer}t <> 'enum' OR {reader}s >= {writer}s))")
+    same = (f"({writer}t = {reader}t AND ({writer}t <> 'enum' OR ({reader}s >= {writer}s OR {reader}f)))")
     if strict:
         return same
     wider = [("int", "long"), ("string", "bytes"), ("bytes", "string")]
     return "(" + " OR ".join([same, *[f"({writer}t = '{w}' AND {reader}t = '{r}')" for w, r in wider]]) + ")"
 
 
-def _catalog(strict: bool) -> str:
-    return "WITH" + _CATALOG.format(fits_back=_fits("o", "n", strict), fits_forward=_fits("n", "o", strict))
+def _catalog(strict: bool, kept: str = "") -> str:
+    return "WITH" + _CATALOG.format(kept=kept, fits_back=_fits("o", "n", strict), fits_forward=_fits("n", "o", strict))
 
 
 def _uuid(digest: str) -> str:
@@ -345,6 +348,7 @@ FROM plain, (VALUES ('processed'), ('balance')) AS o(output) WHERE "offset" // 1
 
     "q23_schema_compat": _catalog(strict=False),
     "q23_schema_compat_strict": _catalog(strict=True),
+    "q23_deleted_versions": _catalog(strict=False, kept=" WHERE (l_orderkey + l_linenumber) % 3 <> 0"),
 
     "q24_evolved_read": "WITH" + _PLAIN + """
 SELECT payment_id, user_id, merchant_id, amount::DOUBLE AS amount,

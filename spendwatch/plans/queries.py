@@ -291,6 +291,13 @@ def schema_compat_strict(spark, sf_dir):
     return compatibility.schema_verdict(views.field_catalog(spark, sf_dir), strict_types=True)
 
 
+@query("q23_deleted_versions")
+def deleted_versions(spark, sf_dir):
+    """Every third version was deleted from the registry, so the one before may be further back."""
+    left = views.field_catalog(spark, sf_dir).where("(subject + version) % 3 <> 0")
+    return compatibility.schema_verdict(left)
+
+
 @query("q24_evolved_read")
 def evolved_read(spark, sf_dir):
     rows = views.payments(spark, sf_dir).withColumn("initiated_ts", F.col("record_ts"))

@@ -162,11 +162,12 @@ def field_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("subject"), F.col("l_linenumber").alias("version"),
         F.concat(F.lit("f"), F.col("l_partkey") % 3).alias("field"),
         kind.alias("type"), (F.col("l_returnflag") == "N").alias("has_default"),
-        F.when(kind == "enum", symbols).alias("symbols"))
+        F.when(kind == "enum", symbols).alias("symbols"),
+        F.when((kind == "enum") & (F.col("l_linestatus") == "O"), "S0").alias("enum_default"))
     # A field name occurs once per version: keep the smallest row.
     return (
         rows.groupBy("subject", "version", "field")
-        .agg(F.min(F.struct("type", "has_default", "symbols")).alias("_f"))
+        .agg(F.min(F.struct("type", "has_default", "symbols", "enum_default")).alias("_f"))
         .select("subject", "version", "field", "_f.*"))
 
 

@@ -59,11 +59,11 @@ DEAD_LETTER = _table(
     ("exception_message", _S), ("failed_at", _TS), ("payload", _S),
 )
 
-COMMITS = _table(("batch_id", _L), ("committed_at", _TS))
+COMMITS = _table(("batch_id", _L), ("try_id", _S), ("committed_at", _TS))
 
 FIELD_CATALOG = _table(
     ("subject", _S), ("version", _I), ("field", _S), ("type", _S), ("has_default", T.BooleanType()),
-    ("symbols", T.ArrayType(_S)),
+    ("symbols", T.ArrayType(_S)), ("enum_default", _S),
 )
 
 # Body of a payment request, names as the callers send them.

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 # Runtime settings: event times are UTC instants, dirty input must fail loudly unless try_cast,
 # and AQE coalesces small shuffles and splits skewed join partitions.
@@ -40,7 +39,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; only a local session may fall back to its own."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -50,23 +49,3 @@ def _shared_folder(spark: SparkSession) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spendwatch-checkpoint-"))
         shared = context.getCheckpointDir()
     return shared
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The same rows read back from a table in the shared folder.
-
-    Cuts the lineage and survives lost executors like a checkpoint, but computes the rows once and
-    lets the reader know their size.
-    """
-    path = f"{_shared_folder(df.sparkSession)}/spendwatch/{uuid.uuid4()}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# Most rows a side may have to be broadcast on request (some megabytes).
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a side of known row count; a larger one is left to Spark's own choice."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -44,10 +44,11 @@ def write_kafka(records: DataFrame, servers: str) -> None:
         "kafka.bootstrap.servers", servers).save()
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, name: str) -> StreamingQuery:
-    """Exactly-once file sink: drain what is available, then stop."""
+def append_stream(df: DataFrame, path: str, checkpoint: str, name: str,
+                  trigger: dict[str, object] | None = None) -> StreamingQuery:
+    """Exactly-once file sink; by default it drains what is available, then stops."""
     return (
         df.writeStream.queryName(name).outputMode("append").format("parquet")
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -1,15 +1,19 @@
 """All-or-nothing writes to several tables.
 
-Each table of a batch goes to its own `batch_id=<id>` folder, then one marker makes the batch
-visible. A replay overwrites the same folders, so it changes nothing; a batch that dies before its
-marker is never visible to `sources.tables.read_table`. Readers that skip the marker see partial batches.
+Each try of a batch writes every table to a folder of its own, `batch_id=<id>/try_id=<name>`; one marker then names the
+batch and the try that count. A batch whose marker exists is done: a replay of it writes nothing. A try that dies before
+the marker is never visible to `sources.tables.read_table`. Readers that skip the marker see partial batches.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from spendwatch import schemas
+
 COMMITS = "commits"
 # Batch that creates the empty tables, before any stream batch (those count from 0).
 CREATE = -1
@@ -21,12 +25,23 @@ def create_tables(spark: SparkSession, root: str, tables: dict[str, StructType])
     write_batch(spark, root, CREATE, empty)
 
 
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{COMMITS}/batch_id={batch_id}")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return False
+    return bool(spark.read.schema(schemas.COMMITS).parquet(path.toString()).take(1))
+
+
 def write_batch(spark: SparkSession, root: str, batch_id: int, tables: dict[str, DataFrame]) -> None:
+    if is_committed(spark, root, batch_id):
+        return
+    try_id = uuid.uuid4().hex
     for name, rows in tables.items():
-        rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
-    mark_committed(spark, root, batch_id)
+        rows.write.parquet(f"{root}/{name}/batch_id={batch_id}/try_id={try_id}")
+    mark_committed(spark, root, batch_id, try_id)
 
 
-def mark_committed(spark: SparkSession, root: str, batch_id: int) -> None:
-    marker = spark.range(0, 1, numPartitions=1).select(F.current_timestamp().alias("committed_at"))
+def mark_committed(spark: SparkSession, root: str, batch_id: int, try_id: str) -> None:
+    marker = spark.range(0, 1, numPartitions=1).select(
+        F.lit(try_id).alias("try_id"), F.current_timestamp().alias("committed_at"))
     marker.write.mode("overwrite").parquet(f"{root}/{COMMITS}/batch_id={batch_id}")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructField, StructType, LongType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from spendwatch import schemas
 from spendwatch.operators.commits import read_committed
@@ -25,13 +25,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str |
 
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
     """Committed rows of a table written by `sinks.transactional`."""
-    with_batch = StructType([*schema.fields, StructField("batch_id", LongType(), True)])
+    with_batch = StructType([
+        *schema.fields, StructField("batch_id", LongType(), True), StructField("try_id", StringType(), True)])
     rows = spark.read.schema(with_batch).parquet(f"{root}/{name}")
-    return read_committed(rows, read_commits(spark, root)).select(*schema.fieldNames(), "batch_id")
+    committed = read_committed(rows, read_commits(spark, root), ["batch_id", "try_id"])
+    return committed.select(*schema.fieldNames(), "batch_id")
 
 
 def read_commits(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(schemas.COMMITS).parquet(f"{root}/{COMMITS}").select("batch_id", "committed_at")
+    return spark.read.schema(schemas.COMMITS).parquet(f"{root}/{COMMITS}").select("batch_id", "try_id", "committed_at")
 
 
 def read_versions(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:

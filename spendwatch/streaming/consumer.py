@@ -2,8 +2,7 @@
 
 Tables: `processed_messages` (ledger), `attempts` and `dead_letter` (append-only logs) and `waiting`,
 a snapshot of the payments that wait for a retry. A batch reads the snapshot of the batch before it and
-the ledger of earlier batches, so replaying it after a failure gives the same outputs and
-overwrites them. Copies of one key collapse map side before any shuffle.
+the ledger of earlier batches; a batch that is committed is not run again. Copies of one key collapse map side before any shuffle.
 """
 
 from __future__ import annotations
@@ -20,8 +19,9 @@ from spendwatch.functions.identifiers import dedup_key
 from spendwatch.functions.times import interval
 from spendwatch.operators.dedup import idempotent_first, ledger_rows
 from spendwatch.operators.retry import dead_letters, retry_state
-from spendwatch.sinks.transactional import create_tables, write_batch
+from spendwatch.sinks.transactional import create_tables, is_committed, write_batch
 from spendwatch.sources.tables import read_table
+from spendwatch.streaming.triggers import AVAILABLE_NOW, Trigger
 
 # Takes payments, returns them with error_class and exception_message (both null on success).
 Handler = Callable[[DataFrame], DataFrame]
@@ -74,10 +74,13 @@ class PaymentConsumer:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Handle the batch's new payments and the retries that are due; batch ids are consecutive."""
+        if is_committed(self.spark, self.root, batch_id):
+            return
         # A literal instant: all outputs of the batch agree on the time.
         at = F.lit(self.now())
         columns = self.payment_schema.fieldNames()
-        waiting = self.spark.read.schema(WAITING).parquet(f"{self.root}/waiting/batch_id={batch_id - 1}")
+        waiting = read_table(self.spark, self.root, "waiting", WAITING).where(
+            F.col("batch_id") == batch_id - 1).drop("batch_id")
         due = waiting.where(F.col("next_attempt_at") <= at).select(
             F.from_json("payload", self.payment_schema).alias("_p"), F.col("attempt").alias("earlier_attempts"))
         tries = self._fresh(batch, batch_id, waiting, at).unionByName(due.select("_p.*", "earlier_attempts"))
@@ -107,8 +110,20 @@ class PaymentConsumer:
             "waiting": waiting.where(F.col("next_attempt_at") > at).unionByName(again),
         })
 
-    def start(self, payments: DataFrame, checkpoint: str) -> StreamingQuery:
+    def start(self, payments: DataFrame, checkpoint: str, trigger: Trigger = AVAILABLE_NOW,
+              heartbeat: bool = False) -> StreamingQuery:
+        """Run over a stream of payments. With `heartbeat` a row a second joins the stream and is dropped again, so
+        that a due retry runs even if no payment arrives; it needs a trigger that runs on."""
+        stream = payments.withColumn("_beat", F.lit(False))
+        if heartbeat:
+            beats = self.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in payments.schema.fields]
+            stream = stream.unionByName(beats.select(*nothing, F.lit(True).alias("_beat")))
+
+        def run(batch: DataFrame, batch_id: int) -> None:
+            self.process(batch.where("NOT _beat").drop("_beat"), batch_id)
+
         return (
-            payments.writeStream.queryName("payment_consumer").foreachBatch(self.process)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+            stream.writeStream.queryName("payment_consumer").foreachBatch(run)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start()
         )

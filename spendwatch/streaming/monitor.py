@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType
 
 from spendwatch import schemas
 from spendwatch.operators.retry import dead_letter_monitor
-from spendwatch.sinks.transactional import write_batch
+from spendwatch.sinks.transactional import COMMITS, write_batch
+from spendwatch.sources.tables import read_table
+from spendwatch.streaming.triggers import AVAILABLE_NOW, Trigger
 
 
-def stream_dead_letters(spark: SparkSession, root: str) -> DataFrame:
-    """New dead letters as they are written, whatever the handler that wrote them does."""
-    return spark.readStream.schema(schemas.DEAD_LETTER).parquet(f"{root}/dead_letter")
+def stream_commits(spark: SparkSession, root: str) -> DataFrame:
+    """Batches as they are committed. Markers, not data files: a try that died has none."""
+    return spark.readStream.schema(schemas.COMMITS).parquet(f"{root}/{COMMITS}").select(
+        F.col("batch_id").cast(LongType()), "try_id")
 
 
-def start_monitor(dead: DataFrame, root: str, checkpoint: str, size: str = "1 hour",
-                  burst: int = 10) -> StreamingQuery:
-    """Counts per topic, error and window into `dead_letter_counts`, updated with each micro-batch."""
+def start_monitor(spark: SparkSession, source: str, root: str, checkpoint: str, size: str = "1 hour", burst: int = 10,
+                  trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
+    """Counts per topic, error and window of the committed dead letters under `source`, into `dead_letter_counts` under
+    `root`, a folder of its own.
 
-    def emit(counts: DataFrame, batch_id: int) -> None:
-        write_batch(counts.sparkSession, root, batch_id, {"dead_letter_counts": counts})
+    Each micro-batch counts the windows that newly committed batches touch, anew and whole, so of a window's rows the one
+    with the highest batch_id holds (`latest_counts`), and a replay changes nothing.
+    """
+    def emit(commits: DataFrame, batch_id: int) -> None:
+        letters = read_table(commits.sparkSession, source, "dead_letter", schemas.DEAD_LETTER).withColumn(
+            "window_start", F.window("failed_at", size)["start"])
+        touched = letters.join(commits.select("batch_id"), "batch_id", "left_semi").select("window_start").distinct()
+        again = letters.join(touched, "window_start", "left_semi").drop("window_start")
+        write_batch(commits.sparkSession, root, batch_id,
+                    {"dead_letter_counts": dead_letter_monitor(again, size, burst)})
 
-    counts = dead_letter_monitor(dead.withWatermark("failed_at", size), size, burst)
     return (
-        counts.writeStream.queryName("dead_letter_monitor").outputMode("update").foreachBatch(emit)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        stream_commits(spark, source).writeStream.queryName("dead_letter_monitor").foreachBatch(emit)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
+
+
+def latest_counts(counts: DataFrame) -> DataFrame:
+    """The current row of each window, topic and error, from the rows of all batches."""
+    keys = ["window_start", "original_topic", "error_class"]
+    rest = [c for c in counts.columns if c not in (*keys, "batch_id")]
+    return counts.groupBy(*keys).agg(F.max(F.struct("batch_id", *rest)).alias("_last")).select(
+        *keys, *(F.col(f"_last.{c}").alias(c) for c in rest))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -18,17 +20,17 @@ SENT = StructType([StructField(n, StringType(), True) for n in ("id", "topic", "
 
 
 def relay_once(spark: SparkSession, outbox_root: str, relay_root: str, poll_id: int,
-               page: int | None = settings.OUTBOX_PAGE) -> None:
+               page: int | None = None) -> None:
     """One poll: send the oldest pending rows to the topic each names and mark them published.
 
     The records and the marks become visible together, so a poll that dies leaves its rows pending.
-    `page=None` relays everything pending, which is what a large backlog needs.
+    Everything pending goes by default; `page` limits a poll to the oldest rows.
     """
     marks = read_table(spark, relay_root, "marks", MARKS).where(F.col("batch_id") < poll_id)
     outbox = current_outbox(read_table(spark, outbox_root, "outbox", schemas.OUTBOX), marks)
     rows = pending(outbox) if page is None else next_page(outbox, page)
     write_batch(spark, relay_root, poll_id, {
-        "sent": relay_records(rows), "marks": published_marks(rows, F.current_timestamp())})
+        "sent": relay_records(rows), "marks": published_marks(rows, F.lit(dt.datetime.now(dt.timezone.utc)))})
 
 
 def publish_processed(processed: DataFrame, balances: DataFrame, root: str, batch_id: int) -> None:

@@ -1,12 +1,12 @@
 import datetime as dt
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
-from spendwatch import session
 from spendwatch.operators import dedup, progress, retry
 
 D = "2026-01-01 "
@@ -81,11 +81,9 @@ def brute_force(rows, ttl):
     return result
 
 
-@pytest.mark.parametrize("array_rows,broadcast", [(0, 10), (20, 10), (60, 0), (10**6, 10)])
-def test_hot_and_cold_keys_equal_brute_force(spark, monkeypatch, array_rows, broadcast):
-    """Half of the deliveries share one key; array_rows decides which keys take the hot path,
-    the broadcast limit whether its joins are salted."""
-    monkeypatch.setattr(session, "BROADCAST_ROWS", broadcast)
+@pytest.mark.parametrize("slots", [1, 7, 1024, 10**9])
+def test_hot_and_cold_keys_equal_brute_force(spark, slots):
+    """Half of the deliveries share one key; the number of slots decides how much the first scan leaves."""
     rng = random.Random(7)
     base = dt.datetime(2026, 1, 1)
     rows = [
@@ -94,11 +92,37 @@ def test_hot_and_cold_keys_equal_brute_force(spark, monkeypatch, array_rows, bro
         for i in range(400)]
     df = spark.createDataFrame(
         rows, "payment_id string, key string, record_ts timestamp, partition int, offset long, failed boolean")
-    result = dedup.idempotent_ttl(df, "key", failed="failed", array_rows=array_rows).collect()
+    result = dedup.idempotent_ttl(df, "key", failed="failed", slots=slots).collect()
     assert {r.payment_id: r.outcome for r in result} == brute_force(df.collect(), dt.timedelta(hours=24))
     assert {r.outcome for r in result} == {"processed", "duplicate", "failed"}
 
 
+def test_keys_before_1970_and_null_keys(spark):
+    df = deliveries(spark, ("x", "1969-12-31 20:00:00"), ("x", "1970-01-01 10:00:00"), ("x", "1970-01-01 20:00:00"),
+                    (None, "1969-12-31 20:00:00"), (None, "1969-12-31 21:00:00"), ("null", "1969-12-31 21:00:00"))
+    assert outcomes(df) == ["processed", "duplicate", "processed", "processed", "duplicate", "processed"]
+
+
+def test_a_span_of_fifty_years_builds_at_once(spark):
+    df = deliveries(spark, ("x", "1974-01-01 00:00:00"), ("x", "2024-01-01 00:00:00"), ("x", "2024-01-01 00:00:01"))
+    began = time.time()
+    plan = dedup.idempotent_ttl(df, "key", failed="failed")
+    assert time.time() - began < 2
+    assert [r.outcome for r in plan.orderBy("offset").collect()] == ["processed", "processed", "duplicate"]
+
+
+def test_latest_attempt_keeps_maps_and_full_names_match(spark):
+    df = attempts(spark, ("a", 1, D + "00:00:00", "java.lang.RuntimeException"),
+                  ("b", 1, D + "00:00:00", "IllegalStateException"), ("c", 1, D + "00:00:00", "IllegalArgumentException"),
+                  ("d", 1, D + "00:00:00", "com.shop.Busy")).withColumn("headers", F.create_map(F.lit("k"), F.col("payment_id")))
+    state = {r.payment_id: r for r in retry.retry_state(df).collect()}
+    assert {k: r.disposition for k, r in state.items()} == {
+        "a": "retry", "b": "retry", "c": "not_retryable", "d": "not_retryable"}
+    assert state["b"].headers == {"k": "b"}
+    own = retry.retry_state(df, retryable=("Busy",)).where("disposition = 'retry'").collect()
+    assert [r.payment_id for r in own] == ["d"]
+
+
 ATTEMPTS = (
     "payment_id string, attempt int, failed_at timestamp, error_class string, exception_message string, "
     "original_topic string")

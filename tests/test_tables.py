@@ -169,7 +169,7 @@ def test_uncommitted_batches_are_invisible(spark, tmp_path):
     rows = spark.createDataFrame([("u", Decimal("1.00"))], schemas.BALANCES)
     transactional.create_tables(spark, root, {"a": schemas.BALANCES, "b": schemas.BALANCES})
     for name in ("a", "b"):  # a batch that dies before its marker
-        rows.write.parquet(f"{root}/{name}/batch_id=0")
+        rows.write.parquet(f"{root}/{name}/batch_id=0/try_id=dead")
     visible = lambda name: tables.read_table(spark, root, name, schemas.BALANCES).count()
     assert (visible("a"), visible("b")) == (0, 0)
     for _ in range(2):  # the replay, and a replay of the replay
@@ -177,6 +177,27 @@ def test_uncommitted_batches_are_invisible(spark, tmp_path):
     assert (visible("a"), visible("b")) == (1, 1)
 
 
+def test_a_replay_of_a_committed_batch_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "store")
+    rows = spark.createDataFrame([("u", Decimal("1.00"))] * 3, schemas.BALANCES)
+    transactional.write_batch(spark, root, 0, {"a": rows, "b": rows})
+    broken = rows.select("user_id", F.raise_error(F.lit("dies")).cast("decimal(18,2)").alias("balance"))
+    for other in (rows.limit(1), broken):  # a replay that would write less, and one that dies midway
+        transactional.write_batch(spark, root, 0, {"a": rows.limit(1), "b": other})
+    assert [tables.read_table(spark, root, n, schemas.BALANCES).count() for n in ("a", "b")] == [3, 3]
+    with pytest.raises(Exception):  # noqa: B017  dies before its marker, then runs again
+        transactional.write_batch(spark, root, 1, {"a": rows, "b": broken})
+    transactional.write_batch(spark, root, 1, {"a": rows, "b": rows})
+    assert [tables.read_table(spark, root, n, schemas.BALANCES).count() for n in ("a", "b")] == [6, 6]
+
+
+def test_compaction_keeps_maps(spark):
+    log = balances(spark, ("a", "1", D + "00:00:00"), ("a", "2", D + "00:00:01")).withColumn(
+        "metadata", F.create_map(F.lit("k"), F.col("balance").cast("string")))
+    kept = upkeep.compact(log, "user_id", "balance", F.lit(D + "12:00:00").cast("timestamp")).collect()
+    assert [(r.balance, r.metadata) for r in kept] == [(Decimal("2.00"), {"k": "2.00"})]
+
+
 BASE = [("paymentId", "string", False, None), ("amount", "bytes", False, None),
         ("metadata", "map", True, None), ("method", "enum", False, ["CARD", "ACH"])]
 
@@ -199,11 +220,19 @@ def changed(**changes):
     (changed(), False, True, True),
 ])
 def test_schema_changes(spark, new, strict, backward, forward):
-    rows = [("s", v, *f) for v, fields in ((1, BASE), (2, new)) for f in fields]
+    rows = [("s", v, *f, None) for v, fields in ((1, BASE), (2, new)) for f in fields]
     verdicts = compatibility.schema_verdict(spark.createDataFrame(rows, schemas.FIELD_CATALOG), strict).collect()
     assert [(r.version, r.backward, r.forward) for r in verdicts] == [(2, backward, forward)]
 
 
+def test_deleted_versions_and_enum_defaults(spark):
+    symbols = [["CARD", "ACH"], ["CARD"], ["CARD", "UPI"]]
+    rows = [("s", v, "method", "enum", False, s, default) for v, s, default in zip((1, 3, 7), symbols, (None, "CARD", None))]
+    verdicts = compatibility.schema_verdict(spark.createDataFrame(rows, schemas.FIELD_CATALOG)).orderBy("version").collect()
+    # 1 -> 3 drops a symbol, but version 3 has a default for it; 3 -> 7 adds one, which version 3 reads as its default.
+    assert [(r.version, r.backward, r.forward) for r in verdicts] == [(3, True, True), (7, True, True)]
+
+
 def test_versions_read_as_one_table(spark, tmp_path):
     old, new = str(tmp_path / "v1"), str(tmp_path / "v2")
     spark.sql("SELECT 'a' AS payment_id, 'u' AS user_id").write.parquet(old)
