@@ -35,15 +35,19 @@ def running(
     ties: tuple[str, ...] = ("partition",),
     exclusive: bool = False,
     block_offsets: int = settings.BLOCK_OFFSETS,
+    block: Column | None = None,
 ) -> DataFrame:
     """Add column `into`: `how` over the rows of `keys` up to this one, by `position` then `ties`.
 
+    Rows are cut into blocks of offsets, or by `block`, which must not fall as `position` grows.
+
     `exclusive` leaves the row itself out, giving null at the first row of a key. Rows with a null
     key are left out, as keyed aggregation of a stream does.
     """
     aggregate, combine = _COMBINE[how]
     keyed = df.dropna(subset=keys)
-    blocked = keyed.withColumn("_block", offset_block(position, block_offsets))
+    blocked = keyed.withColumn(
+        "_block", offset_block(position, block_offsets) if block is None else block)
     inside = (
         Window.partitionBy(*keys, "_block").orderBy(position, *ties)
         .rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch import settings
 from spendwatch.functions.times import interval
@@ -42,51 +42,74 @@ def window_spend(
     `drop_late` applies the per-record grace rule first, `closed_only` keeps windows the newest record
     has closed, `dedup` counts each payment once.
     """
-    rows = idempotent_first(payments, "payment_id").drop("deliveries") if dedup else payments
-    if drop_late:
-        rows = late.late_drop(rows, ts, size, grace or settings.GRACE)
     sums = (
-        with_window_start(rows.dropna(subset=["user_id"]), ts, size, slide)
+        counted_rows(payments, ts, size, grace, slide, drop_late, dedup)
         .groupBy(*GROUP)
         .agg(F.sum("amount").alias("total"), F.count(F.lit(1)).alias("payments"))
     )
     spend = with_window_end(sums, size).select(*GROUP, "window_end", "total", "payments")
-    if closed_only:
-        newest = payments.agg(F.max(ts)).scalar()
-        spend = spend.where(F.col("window_end") + interval(grace or settings.GRACE) <= newest)
-    return spend
+    return closed_windows(spend, payments, ts, grace) if closed_only else spend
+
+
+def counted_rows(payments: DataFrame, ts: str, size: str, grace: str | None, slide: str | None, drop_late: bool,
+                 dedup: bool) -> DataFrame:
+    """The payments that windows count, with their window starts. Sums and id lists both start from these rows."""
+    rows = idempotent_first(payments, "payment_id").drop("deliveries") if dedup else payments
+    if drop_late:
+        rows = late.late_drop(rows, ts, size, grace or settings.GRACE)
+    return with_window_start(rows.dropna(subset=["user_id"]), ts, size, slide)
+
+
+def closed_windows(spend: DataFrame, payments: DataFrame, ts: str = "record_ts", grace: str | None = None) -> DataFrame:
+    newest = payments.agg(F.max(ts)).scalar()
+    return spend.where(F.col("window_end") + interval(grace or settings.GRACE) <= newest)
+
 
+def id_list(ts: str = "record_ts") -> Column:
+    """Aggregate: the payments of a group in the order of time, partition and offset."""
+    return F.sort_array(F.collect_list(F.struct(F.col(ts).alias("record_ts"), "partition", "offset", "payment_id")))
 
-def payment_id_parts(
-    spend: DataFrame,
+
+def spend_blocks(
     payments: DataFrame,
     ts: str = "record_ts",
     size: str = settings.WINDOW,
-    max_ids: int = settings.MAX_IDS_PER_ROW,
+    grace: str | None = None,
+    slide: str | None = None,
+    drop_late: bool = False,
+    dedup: bool = False,
+    block_offsets: int = settings.ID_BLOCK_OFFSETS,
 ) -> DataFrame:
-    """Attach the payment ids of each window in arrival order (offset, then partition).
+    """Total, count and payment ids per user, window and block of offsets, in one aggregation.
 
-    A window of up to `max_ids` payments gets one row (part 0) with its whole list. A larger one gets
-    one row per block of `max_ids` offsets; parts increase in arrival order, and together they hold every id, so
-    no row and no task ever holds an unbounded list.
+    A block spreads a hot user's window over tasks and bounds the list of a row: at most `block_offsets` ids
+    for each topic partition. Blocks always exist; how many a window has changes no other column.
     """
-    ids = with_window_start(payments, ts, size).select(
-        F.col("user_id").alias("_user"), F.col("window_start").alias("_start"),
-        "payment_id", "offset", "partition",
-    )
-    part = F.when(F.col("payments") <= max_ids, F.lit(0)).otherwise(
-        ordered.offset_block("offset", max_ids) + 1)
-    # The join may be split by AQE when a window is hot; the explicit shuffle on the part keeps
-    # the aggregation from pinning the join to one task per window.
-    return (
-        spend.join(ids, (F.col("user_id") == F.col("_user")) & (F.col("window_start") == F.col("_start")))
-        .withColumn("part", part)
-        .repartition("user_id", "window_start", "part")
-        .groupBy(*spend.columns, "part")
-        .agg(F.sort_array(F.collect_list(F.struct("offset", "partition", "payment_id"))).alias("_ids"))
-        .withColumn("triggering_payment_ids", F.col("_ids.payment_id"))
-        .drop("_ids")
-    )
+    rows = counted_rows(payments, ts, size, grace, slide, drop_late, dedup)
+    return rows.groupBy(*GROUP, ordered.offset_block("offset", block_offsets).alias("block")).agg(
+        F.sum("amount").alias("block_total"), F.count(F.lit(1)).alias("block_payments"), id_list(ts).alias("ids"))
+
+
+def spend_of_blocks(blocks: DataFrame, size: str = settings.WINDOW) -> DataFrame:
+    """The rows of `window_spend` from blocks."""
+    sums = blocks.groupBy(*GROUP).agg(
+        F.sum("block_total").alias("total"), F.sum("block_payments").alias("payments"))
+    return with_window_end(sums, size).select(*GROUP, "window_end", "total", "payments")
+
+
+def payment_id_blocks(windows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The id table of some windows: one row per user, window and block, ids in order."""
+    return blocks.select(*GROUP, "block", "ids").join(windows.select(*GROUP), GROUP, "left_semi")
+
+
+def with_payment_ids(windows: DataFrame, id_blocks: DataFrame) -> DataFrame:
+    """Windows with their whole id list in one array, in the order of time, partition and offset.
+
+    One row then holds all ids of a window: ask for it where windows are known to be small, and read the id table
+    otherwise.
+    """
+    lists = id_blocks.groupBy(*GROUP).agg(F.sort_array(F.flatten(F.collect_list("ids"))).alias("_ids"))
+    return windows.join(lists, GROUP).withColumn("triggering_payment_ids", F.col("_ids.payment_id")).drop("_ids")
 
 
 def early_signal(
@@ -94,10 +117,14 @@ def early_signal(
     threshold: str = settings.RISK_THRESHOLD,
     ts: str = "record_ts",
     size: str = settings.WINDOW,
-    block_offsets: int = settings.BLOCK_OFFSETS,
+    block: str = "1 minute",
 ) -> DataFrame:
-    """Running total at each payment, before its window closes, and whether it is over the threshold."""
+    """Running total at each payment, before its window closes, and whether it is over the threshold.
+
+    Payments follow each other by time, then partition, then offset: offsets of different partitions cannot be compared.
+    """
     rows = ordered.running(
-        with_window_start(payments, ts, size), GROUP, "amount", "running_total", block_offsets=block_offsets)
+        with_window_start(payments, ts, size), GROUP, "amount", "running_total", position=ts,
+        ties=("partition", "offset"), block=F.window(ts, block)["start"])
     limit = F.lit(threshold).cast("decimal(18,2)")
     return rows.withColumn("over_threshold", F.col("running_total") > limit)

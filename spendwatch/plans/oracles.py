@@ -254,26 +254,44 @@ FROM events e LEFT JOIN chain c
 
     "q11_window_payment_ids": "WITH" + _PLAIN + f"""
 SELECT user_id, {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, sum(amount)::DOUBLE AS total,
-  count(*) AS payments, 0 AS part, string_agg(payment_id, ',' ORDER BY "offset") AS triggering_payment_ids
+  count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS triggering_payment_ids
 FROM plain GROUP BY ALL""",
 
     "q12_high_risk_alerts": "WITH" + _PLAIN + f""",
 spend AS (
   SELECT user_id, {_START} AS window_start, {_START} + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
-    count(*) AS payments, string_agg(payment_id, ',' ORDER BY "offset") AS ids FROM plain GROUP BY ALL)
+    count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM plain GROUP BY ALL)
 SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
-  0 AS part, ids AS triggering_payment_ids FROM spend
+  ids AS triggering_payment_ids FROM spend
 WHERE total > 150 AND window_end + INTERVAL 30 SECOND <= (SELECT max(ts) FROM events)""",
 
+    "q12_deduped_alerts": "WITH" + _PLAIN + ", base AS (SELECT * FROM plain)," + _REDELIVERED + f""",
+firsts AS (
+  SELECT * FROM redelivered
+  QUALIFY row_number() OVER (PARTITION BY payment_id ORDER BY record_ts, "offset", user_id) = 1),
+spend AS (
+  SELECT user_id, {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, sum(amount) AS total,
+    count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM firsts GROUP BY ALL)
+SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
+  ids AS triggering_payment_ids FROM spend
+WHERE total > 150 AND window_end + INTERVAL 30 SECOND <= (SELECT max(record_ts) FROM redelivered)""",
+
+    "q12_alert_id_blocks": "WITH" + _PLAIN + f""",
+rich AS (
+  SELECT user_id, {_DAY} AS window_start FROM plain GROUP BY ALL HAVING sum(amount) > 150)
+SELECT user_id, {_DAY} AS window_start, "offset" // 100 AS block,
+  string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS payment_ids
+FROM plain WHERE (user_id, {_DAY}) IN (SELECT (user_id, window_start) FROM rich) GROUP BY ALL""",
+
     "q13_risk_level_summary": "WITH" + _PLAIN + f""",
-spend AS (SELECT user_id, {_START} AS w, sum(amount) AS total FROM plain WHERE amount > 0 GROUP BY ALL)
+spend AS (SELECT user_id, {_START} AS w, sum(amount) AS total FROM plain GROUP BY ALL)
 SELECT {_LEVEL} AS risk_level, count(*) AS alerts, sum(total)::DOUBLE AS total_amount FROM spend
 WHERE total > 150 GROUP BY ALL""",
 
     "q14_early_signal": "WITH" + _PLAIN + f""",
 summed AS (
   SELECT payment_id, user_id, {_DAY} AS window_start, sum(amount) OVER (
-    PARTITION BY user_id, {_DAY} ORDER BY "offset" ROWS UNBOUNDED PRECEDING) AS total FROM plain)
+    PARTITION BY user_id, {_DAY} ORDER BY record_ts, "offset" ROWS UNBOUNDED PRECEDING) AS total FROM plain)
 SELECT payment_id, user_id, window_start, total::DOUBLE AS running_total, total > 150 AS over_threshold FROM summed""",
 
     "q15_late_drop": "WITH" + _PLAIN + "," + _DISORDERED + f"""
@@ -402,6 +420,32 @@ seen AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest_before FROM disordered)
 SELECT payment_id, payment_method, record_ts, newest_before FROM seen WHERE record_ts < newest_before""",
 
+    "q15_late_by_topic": "WITH" + _PLAIN + "," + _DISORDERED + f""",
+split AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 'replayed' ELSE topic END AS topic) FROM disordered),
+own AS (
+  SELECT *, max(record_ts) OVER (PARTITION BY topic ORDER BY "offset" ROWS UNBOUNDED PRECEDING) AS seen FROM split)
+SELECT payment_id, topic, seen AS stream_time, {_START} + INTERVAL 5 MINUTE <= seen - INTERVAL 30 SECOND AS late
+FROM own""",
+
+    "q27_user_inversions": "WITH" + _PLAIN + """,
+moved AS (
+  SELECT * REPLACE (event_id * 2 + CASE WHEN event_id % 17 = 0 THEN 4001 ELSE 0 END AS "offset") FROM plain),
+seen AS (
+  SELECT *, max(record_ts) OVER (PARTITION BY user_id ORDER BY "offset"
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest_before FROM moved)
+SELECT payment_id, user_id, record_ts, newest_before FROM seen WHERE record_ts < newest_before""",
+
+    "q28_hopping_alerts": "WITH" + _PLAIN + f""",
+hops AS (
+  SELECT payment_id, user_id, amount, record_ts, "offset",
+    time_bucket(INTERVAL 1 MINUTE, record_ts) - to_minutes(i) AS window_start FROM plain, range(5) AS r(i)),
+spend AS (
+  SELECT user_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
+    count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM hops GROUP BY ALL)
+SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
+  ids AS triggering_payment_ids FROM spend WHERE total > 150""",
+
     "q28_hopping_spend": "WITH" + _PLAIN + """,
 hops AS (
   SELECT user_id, amount, time_bucket(INTERVAL 1 MINUTE, record_ts) - to_minutes(i) AS window_start

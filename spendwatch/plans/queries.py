@@ -169,20 +169,41 @@ def window_spend(spark, sf_dir):
 
 @query("q11_window_payment_ids")
 def window_payment_ids(spark, sf_dir):
-    rows = views.payments(spark, sf_dir)
-    return windows.payment_id_parts(windows.window_spend(rows, size="1 day"), rows, size="1 day")
+    blocks = windows.spend_blocks(views.payments(spark, sf_dir), size="1 day")
+    return windows.with_payment_ids(windows.spend_of_blocks(blocks, "1 day"), blocks)
+
+
+def _alerts(rows: DataFrame, blocks: DataFrame, size: str = settings.WINDOW) -> DataFrame:
+    """Alerts of closed windows with their ids; sums and ids come from the same blocks."""
+    spend = windows.closed_windows(windows.spend_of_blocks(blocks, size), rows)
+    graded = alerts.risk_alerts(spend, views.THRESHOLD)
+    return windows.with_payment_ids(graded, windows.payment_id_blocks(graded, blocks))
 
 
 @query("q12_high_risk_alerts")
 def high_risk_alerts(spark, sf_dir):
     rows = views.payments(spark, sf_dir)
-    graded = alerts.risk_alerts(windows.window_spend(rows, closed_only=True), views.THRESHOLD)
-    return windows.payment_id_parts(graded, rows)
+    return _alerts(rows, windows.spend_blocks(rows))
+
+
+@query("q12_deduped_alerts")
+def deduped_alerts(spark, sf_dir):
+    rows = views.redelivered(views.payments(spark, sf_dir))
+    return _alerts(rows, windows.spend_blocks(rows, size="1 day", dedup=True), "1 day")
+
+
+@query("q12_alert_id_blocks")
+def alert_id_blocks(spark, sf_dir):
+    """The id table with blocks of 100 offsets, so that most alerts have several rows."""
+    blocks = windows.spend_blocks(views.payments(spark, sf_dir), size="1 day", block_offsets=100)
+    graded = alerts.risk_alerts(windows.spend_of_blocks(blocks, "1 day"), views.THRESHOLD)
+    return windows.payment_id_blocks(graded, blocks).select(
+        "user_id", "window_start", "block", F.col("ids.payment_id").alias("payment_ids"))
 
 
 @query("q13_risk_level_summary")
 def risk_level_summary(spark, sf_dir):
-    spend = windows.window_spend(views.payments(spark, sf_dir).where("amount > 0"))
+    spend = windows.window_spend(views.payments(spark, sf_dir))
     return alerts.risk_summary(alerts.risk_alerts(spend, views.THRESHOLD))
 
 
@@ -352,3 +373,24 @@ def order_inversions(spark, sf_dir):
 @query("q28_hopping_spend")
 def hopping_spend(spark, sf_dir):
     return windows.window_spend(views.payments(spark, sf_dir), slide="1 minute")
+
+
+@query("q27_user_inversions")
+def user_inversions(spark, sf_dir):
+    rows = views.disordered(views.payments(spark, sf_dir), places=2000)
+    return progress.order_inversions(rows).select("payment_id", "user_id", "record_ts", "newest_before")
+
+
+@query("q28_hopping_alerts")
+def hopping_alerts(spark, sf_dir):
+    blocks = windows.spend_blocks(views.payments(spark, sf_dir), slide="1 minute", block_offsets=500)
+    graded = alerts.risk_alerts(windows.spend_of_blocks(blocks), views.THRESHOLD)
+    return windows.with_payment_ids(graded, windows.payment_id_blocks(graded, blocks))
+
+
+@query("q15_late_by_topic")
+def late_by_topic(spark, sf_dir):
+    """Two topics share partition numbers; each has a stream time of its own."""
+    rows = views.disordered(views.payments(spark, sf_dir)).withColumn(
+        "topic", F.when(views.every(3), F.lit("replayed")).otherwise(F.col("topic")))
+    return late.flag_late(rows).select("payment_id", "topic", "stream_time", "late")

@@ -65,9 +65,9 @@ def routed_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_partition(payments(spark, sf_dir), high=HIGH)
 
 
-def disordered(rows: DataFrame) -> DataFrame:
-    """Every 17th record arrives 40 places later, on a topic with one partition."""
-    place = F.col("event_id") * 2 + F.when(every(17), 81).otherwise(0)
+def disordered(rows: DataFrame, places: int = 40) -> DataFrame:
+    """Every 17th record arrives some places later, on a topic with one partition."""
+    place = F.col("event_id") * 2 + F.when(every(17), 2 * places + 1).otherwise(0)
     return rows.withColumn("offset", place).withColumn("partition", F.lit(0))
 
 

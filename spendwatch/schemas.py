@@ -27,12 +27,16 @@ PAYMENTS_PROCESSED = _table(
     ("risk_score", T.DoubleType()), ("processed_ts", _TS), ("failure_reason", _S),
 )
 
-# A window total is a sum and may outgrow the width of one amount. `part` numbers the rows of an alert
-# whose id list is too long for one (operators/windows.py); it is 0 for a whole list.
+# A window total is a sum and may outgrow the width of one amount.
 ALERTS = _table(
     ("user_id", _S), ("total_amount", T.DecimalType(28, 2)), ("window_start", _TS), ("window_end", _TS),
-    ("alert_generated_ts", _TS), ("triggering_payment_ids", T.ArrayType(_S)), ("risk_level", _S),
-    ("payments", _L), ("part", _L),
+    ("alert_generated_ts", _TS), ("risk_level", _S), ("payments", _L),
+)
+
+# The payments behind alerts: one row per alert and block of offsets, ids in order (operators/windows.py).
+ALERT_PAYMENT_IDS = _table(
+    ("user_id", _S), ("window_start", _TS), ("block", _L),
+    ("ids", T.ArrayType(_table(("record_ts", _TS), ("partition", _I), ("offset", _L), ("payment_id", _S)))),
 )
 
 PAYMENTS = _table(

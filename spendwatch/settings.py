@@ -5,13 +5,11 @@ TOPIC_INITIATED = "payment.initiated.events"
 TOPIC_PROCESSED = "payment.processed.events"
 TOPIC_BALANCES = "user-account-balances"
 TOPIC_ALERTS = "fraud.high-risk.alerts"
-TOPIC_RETRY = "payment.initiated.events-retry"
 
 # Allowed symbols of the enumerated fields.
 PAYMENT_METHODS = ["CARD", "ACH", "WIRE", "WALLET", "UPI"]
 PAYMENT_STATUSES = ["APPROVED", "DECLINED", "FLAGGED_FOR_REVIEW", "FAILED"]
 RISK_LEVELS = ["MEDIUM", "HIGH", "CRITICAL"]
-OUTBOX_STATUSES = ["PENDING", "PUBLISHED", "FAILED"]
 
 # Names written into the outbox and the dedup ledger.
 AGGREGATE_TYPE = "Payment"
@@ -45,5 +43,5 @@ DEFAULT_RISK_LEVEL = "HIGH"
 # task sorts, so this bounds a task whatever the key distribution looks like.
 BLOCK_OFFSETS = 1_000_000
 
-# Longest payment id list kept in one row; longer lists are cut into parts.
-MAX_IDS_PER_ROW = 10_000
+# Offsets covered by one row of an alert's payment ids.
+ID_BLOCK_OFFSETS = 10_000

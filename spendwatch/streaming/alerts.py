@@ -8,15 +8,18 @@ only after newer data has moved the watermark past its end plus the grace.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendwatch import schemas, settings
 from spendwatch.operators.alerts import risk_alerts
 from spendwatch.operators.ordered import offset_block
+from spendwatch.operators.windows import id_list, payment_id_blocks, spend_of_blocks
+from spendwatch.sinks.topics import alert_records
 from spendwatch.sinks.transactional import write_batch
-
-_GROUP = ["user_id", "window_start", "window_end"]
+from spendwatch.streaming.triggers import AVAILABLE_NOW, Trigger
 
 
 def window_spend_stream(payments: DataFrame, ts: str = "record_ts", size: str = settings.WINDOW,
@@ -33,68 +36,64 @@ def window_spend_stream(payments: DataFrame, ts: str = "record_ts", size: str =
 
 
 def spend_blocks_stream(payments: DataFrame, ts: str = "record_ts", size: str = settings.WINDOW,
-                        grace: str = settings.GRACE, max_ids: int = settings.MAX_IDS_PER_ROW) -> DataFrame:
-    """Spend and ordered payment ids per user, window and block of offsets.
+                        grace: str = settings.GRACE, slide: str | None = None, dedup: bool = False,
+                        block_offsets: int = settings.ID_BLOCK_OFFSETS) -> DataFrame:
+    """The rows of `operators.windows.spend_blocks` as a stream; late rows go by the watermark.
 
-    The block spreads a hot user over the state partitions and bounds the id list of one state row.
+    The block spreads a hot user over the state partitions and bounds the id list of one state row. `dedup` counts each
+    payment id once, as far back as the watermark reaches.
     """
+    rows = payments.dropna(subset=["user_id"]).withWatermark(ts, grace)
+    if dedup:
+        rows = rows.dropDuplicatesWithinWatermark(["payment_id"])
     return (
-        payments.dropna(subset=["user_id"]).withWatermark(ts, grace)
-        .groupBy(F.window(ts, size).alias("_w"), "user_id", offset_block("offset", max_ids).alias("block"))
-        .agg(
-            F.sum("amount").alias("block_total"),
-            F.count(F.lit(1)).alias("block_payments"),
-            F.sort_array(F.collect_list(F.struct("offset", "partition", "payment_id"))).alias("_ids"))
-        .select("user_id", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-                "block", "block_total", "block_payments", F.col("_ids.payment_id").alias("ids"))
+        rows.groupBy(F.window(ts, size, slide).alias("_w"), "user_id",
+                     offset_block("offset", block_offsets).alias("block"))
+        .agg(F.sum("amount").alias("block_total"), F.count(F.lit(1)).alias("block_payments"), id_list(ts).alias("ids"))
+        .select("user_id", F.col("_w.start").alias("window_start"), "block", "block_total", "block_payments", "ids")
     )
 
 
 def alerts_from_blocks(blocks: DataFrame, threshold: str = settings.RISK_THRESHOLD,
-                       max_ids: int = settings.MAX_IDS_PER_ROW) -> DataFrame:
-    """Alerts of the windows a micro-batch closed, in the parts of `operators.windows.payment_id_parts`.
+                       size: str = settings.WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Alerts of the windows a micro-batch closed, one row each, and their id table.
 
     All blocks of a window close in the same micro-batch, because they share the window's end.
     """
-    totals = blocks.groupBy(*_GROUP).agg(
-        F.sum("block_total").alias("total"), F.sum("block_payments").alias("payments"))
-    alerts = risk_alerts(totals, threshold)
-    part = F.when(F.col("payments") <= max_ids, F.lit(0)).otherwise(F.col("block") + 1)
-    return (
-        alerts.join(blocks.select(*_GROUP, "block", "ids"), _GROUP)
-        .withColumn("part", part)
-        .groupBy(*alerts.columns, "part")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "ids"))).alias("_blocks"))
-        .withColumn("triggering_payment_ids", F.flatten("_blocks.ids"))
-        .withColumn("alert_generated_ts", F.current_timestamp())
-        .select(*[F.col(f.name).cast(f.dataType) for f in schemas.ALERTS.fields])
-    )
+    alerts = risk_alerts(spend_of_blocks(blocks, size), threshold).withColumn(
+        "alert_generated_ts", F.lit(dt.datetime.now(dt.timezone.utc)))
+    return (alerts.select(*[F.col(f.name).cast(f.dataType) for f in schemas.ALERTS.fields]),
+            payment_id_blocks(alerts, blocks))
 
 
 def start_alerts(payments: DataFrame, root: str, checkpoint: str,
                  threshold: str = settings.RISK_THRESHOLD, ts: str = "record_ts",
-                 size: str = settings.WINDOW, grace: str = settings.GRACE,
-                 max_ids: int = settings.MAX_IDS_PER_ROW) -> StreamingQuery:
-    """Stream of graded alerts with their payment ids into the committed table `alerts`."""
+                 size: str = settings.WINDOW, grace: str = settings.GRACE, slide: str | None = None,
+                 dedup: bool = False, block_offsets: int = settings.ID_BLOCK_OFFSETS,
+                 trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
+    """Stream of graded alerts into the committed tables `alerts`, `alert_payment_ids` and, as records keyed by user, the
+    alert topic."""
 
     def emit(blocks: DataFrame, batch_id: int) -> None:
         blocks.persist()
         try:
-            alerts = alerts_from_blocks(blocks, threshold, max_ids)
-            write_batch(blocks.sparkSession, root, batch_id, {"alerts": alerts})
+            alerts, ids = alerts_from_blocks(blocks, threshold, size)
+            write_batch(blocks.sparkSession, root, batch_id, {
+                "alerts": alerts, "alert_payment_ids": ids, settings.TOPIC_ALERTS: alert_records(alerts)})
         finally:
             blocks.unpersist()
 
     return (
-        spend_blocks_stream(payments, ts, size, grace, max_ids)
+        spend_blocks_stream(payments, ts, size, grace, slide, dedup, block_offsets)
         .writeStream.queryName("alerts").outputMode("append").foreachBatch(emit)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
 def start_early_signals(payments: DataFrame, root: str, checkpoint: str,
                         threshold: str = settings.RISK_THRESHOLD, ts: str = "record_ts",
-                        size: str = settings.WINDOW, grace: str = settings.GRACE) -> StreamingQuery:
+                        size: str = settings.WINDOW, grace: str = settings.GRACE,
+                        trigger: Trigger = AVAILABLE_NOW) -> StreamingQuery:
     """Running totals of open windows after each micro-batch into the committed table `early_signals`."""
 
     def emit(changed: DataFrame, batch_id: int) -> None:
@@ -105,5 +104,5 @@ def start_early_signals(payments: DataFrame, root: str, checkpoint: str,
     return (
         window_spend_stream(payments, ts, size, grace)
         .writeStream.queryName("early_signals").outputMode("update").foreachBatch(emit)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )

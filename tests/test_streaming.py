@@ -20,8 +20,7 @@ from spendwatch.streaming import alerts, consumer, dedup, landing, monitor, rela
 
 D = "2026-01-01 "
 COLUMNS = ["payment_id", "user_id", "amount", "record_ts", "partition", "offset"]
-ALERT_COLUMNS = ["user_id", "window_start", "window_end", "payments", "total_amount", "risk_level", "part",
-                 "triggering_payment_ids"]
+ALERT_COLUMNS = ["user_id", "window_start", "window_end", "payments", "total_amount", "risk_level"]
 
 
 class Topic:
@@ -52,11 +51,23 @@ def drain(query):
 def committed(spark, root, name):
     """Committed rows without a declared shape."""
     rows = spark.read.parquet(f"{root}/{name}")
-    return rows.join(tables.read_commits(spark, root).select("batch_id"), "batch_id", "left_semi")
+    return rows.join(tables.read_commits(spark, root).select("batch_id", "try_id"), ["batch_id", "try_id"], "left_semi")
+
+
+def stream_alerts(spark, root):
+    """Alerts of a stream with their ids."""
+    return windows.with_payment_ids(committed(spark, root, "alerts"), committed(spark, root, "alert_payment_ids"))
+
+
+def batch_alerts(payments, threshold, closed=True, size="5 minutes", **options):
+    blocks = windows.spend_blocks(payments, size=size, **options)
+    spend = windows.spend_of_blocks(blocks, size)
+    graded = risk_alerts(windows.closed_windows(spend, payments) if closed else spend, threshold)
+    return windows.with_payment_ids(graded, windows.payment_id_blocks(graded, blocks))
 
 
 def alert_rows(df):
-    return sorted(df.select(*ALERT_COLUMNS).collect())
+    return sorted(df.select(*ALERT_COLUMNS, "triggering_payment_ids").collect())
 
 
 def test_closed_windows_equal_the_batch_and_a_restart_adds_nothing(spark, topic, tmp_path):
@@ -65,7 +76,7 @@ def test_closed_windows_equal_the_batch_and_a_restart_adds_nothing(spark, topic,
     root, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
     def run():
-        drain(alerts.start_alerts(topic.stream(), root, checkpoint, views.THRESHOLD, max_ids=200))
+        drain(alerts.start_alerts(topic.stream(), root, checkpoint, views.THRESHOLD, block_offsets=200))
 
     topic.send(payments.where(F.col("record_ts") < cut))
     run()
@@ -74,24 +85,32 @@ def test_closed_windows_equal_the_batch_and_a_restart_adds_nothing(spark, topic,
     assert committed(spark, root, "alerts").count() == first > 0
     topic.send(payments.where(F.col("record_ts") >= cut))
     run()
-    spend = windows.window_spend(payments, closed_only=True)
-    batch = windows.payment_id_parts(risk_alerts(spend, views.THRESHOLD), payments, max_ids=200)
-    assert alert_rows(committed(spark, root, "alerts")) == alert_rows(batch)
+    assert alert_rows(stream_alerts(spark, root)) == alert_rows(batch_alerts(payments, views.THRESHOLD))
+    topic_rows = committed(spark, root, "fraud.high-risk.alerts")
+    assert topic_rows.count() == committed(spark, root, "alerts").count()
 
 
-def test_long_id_lists_are_split_alike_in_stream_and_batch(spark, topic, tmp_path, make_payments):
+def test_one_alert_row_for_each_window_however_many_ids(spark, topic, tmp_path, make_payments):
     rows = [("hot" if i % 3 else "u", "100", D + f"00:{i % 4:02}:{i % 60:02}") for i in range(300)]
     payments = make_payments(*rows, ("flush", "1", D + "01:00:00")).select(*COLUMNS)
     topic.send(payments)
     root = str(tmp_path / "out")
-    drain(alerts.start_alerts(
-        topic.stream(), root, str(tmp_path / "c"), "5000", max_ids=50))
-    batch = windows.payment_id_parts(
-        risk_alerts(windows.window_spend(payments, closed_only=True), "5000"), payments, max_ids=50)
-    stream = committed(spark, root, "alerts")
-    assert alert_rows(stream) == alert_rows(batch)
-    assert stream.agg(F.max("part")).first()[0] > 1
-    assert stream.where("alert_generated_ts IS NULL").count() == 0
+    drain(alerts.start_alerts(topic.stream(), root, str(tmp_path / "c"), "5000", block_offsets=50))
+    assert alert_rows(stream_alerts(spark, root)) == alert_rows(batch_alerts(payments, "5000"))
+    assert committed(spark, root, "alerts").count() == 2
+    assert committed(spark, root, "alert_payment_ids").count() > 2
+    assert committed(spark, root, "alerts").where("alert_generated_ts IS NULL").count() == 0
+
+
+def test_stream_options_apply_to_sums_and_ids(spark, topic, tmp_path, make_payments):
+    payments = make_payments(("u", "8000", D + "00:01:00"), ("u", "8000", D + "00:01:00"), ("u", "9000", D + "00:02:00"),
+                             ("flush", "1", D + "01:00:00"), ids=["a", "a", "b", "f"]).select(*COLUMNS)
+    topic.send(payments)
+    root = str(tmp_path / "out")
+    drain(alerts.start_alerts(topic.stream(), root, str(tmp_path / "c"), slide="1 minute", dedup=True))
+    got = stream_alerts(spark, root).collect()
+    assert len(got) == 4  # the starts from which both payments lie inside
+    assert all(r.total_amount == 17000 and r.triggering_payment_ids == ["a", "b"] for r in got)
 
 
 def test_no_window_closes_without_a_later_record(spark, topic, tmp_path, make_payments):
@@ -174,6 +193,11 @@ def test_intake_to_outbox_to_topic(spark, tmp_path):
     outbox = tables.read_table(spark, intake_root, "outbox", schemas.OUTBOX)
     assert payments.count() == outbox.count() == 20
     assert sorted(r.id for r in payments.collect()) == sorted(r.aggregate_id for r in outbox.collect())
+    # One instant for the payment, its outbox row and the event inside.
+    event = outbox.select("created_at", F.from_json("payload", schemas.EVENT_JSON)["initiatedTimestamp"].alias("at"))
+    instants = {r.created_at for r in payments.collect()} | {r.created_at for r in event.collect()}
+    assert len(instants) == 1
+    assert event.where(F.col("at") != F.unix_millis("created_at")).count() == 0
     assert [r.reject_reasons for r in committed(spark, intake_root, "rejected").collect()] == [["amount:not_positive"]]
 
     transactional.create_tables(spark, relay_root, {"marks": relay.MARKS, "sent": relay.SENT})
@@ -292,6 +316,21 @@ def test_consumer_as_a_stream_survives_a_restart(spark, shop, topic, tmp_path):
     assert len(done(shop)) == len(set(done(shop))) == views.payments(spark, DATA).count()
 
 
+def test_a_due_retry_runs_without_new_payments(spark, shop, topic, tmp_path, make_payments):
+    shop.now = consumer._utc_now
+    topic.send(make_payments(("flaky", "1", D + "00:00:00"), ids=["f"]).select(*COLUMNS))
+    query = shop.start(topic.stream(), str(tmp_path / "c"), {"processingTime": "1 second"}, heartbeat=True)
+    try:
+        for _ in range(60):
+            assert query.exception() is None
+            query.awaitTermination(1)
+            if done(shop) == ["f"]:
+                break
+    finally:
+        query.stop()
+    assert done(shop) == ["f"]
+
+
 def test_watermark_dedup(spark, topic, tmp_path, make_payments):
     topic.send(make_payments(
         ("u", "1", D + "00:00:00"), ("u", "1", D + "00:00:05"), ("v", "1", D + "00:00:05"),
@@ -365,13 +404,23 @@ def test_consumer_behind_state_dedup_needs_no_ledger(spark, shop, make_payments)
 
 
 def test_dead_letter_monitor_reads_on_its_own(spark, shop, tmp_path, make_payments):
-    batch = make_payments(*[("poison", "1", D + "00:00:00")] * 10, ("u", "1", D + "00:00:00")).select(*COLUMNS)
+    batch = make_payments(("poison", "1", D + "00:00:00"), ("u", "1", D + "00:00:00")).select(*COLUMNS)
     shop.process(batch, 0)
     root = str(tmp_path / "monitor")
-    dead_letters = monitor.stream_dead_letters(spark, shop.root)
-    drain(monitor.start_monitor(dead_letters, root, str(tmp_path / "mc")))
-    counts = committed(spark, root, "dead_letter_counts").collect()
-    assert [(r.error_class, r.dead_letters, r.burst) for r in counts] == [("DeserializationException", 10, True)]
+    # A try that died before its marker leaves rows that no reader may count.
+    table_rows(shop, "dead_letter", schemas.DEAD_LETTER).drop("batch_id").write.parquet(
+        f"{shop.root}/dead_letter/batch_id=1/try_id=dead")
+
+    def counts():
+        drain(monitor.start_monitor(spark, shop.root, root, str(tmp_path / "mc")))
+        rows = monitor.latest_counts(committed(spark, root, "dead_letter_counts").drop("try_id"))
+        return [(r.error_class, r.dead_letters, r.burst) for r in rows.collect()]
+
+    assert counts() == [("DeserializationException", 1, False)]
+    more = make_payments(*[("poison", "1", D + "00:00:00")] * 10, ids=[f"q{i}" for i in range(10)]).select(*COLUMNS)
+    shop.process(more, 1)
+    assert counts() == [("DeserializationException", 11, True)]
+    assert counts() == [("DeserializationException", 11, True)]
 
 
 def test_alert_records_are_keyed_by_user(spark, make_payments):

@@ -11,8 +11,11 @@ FLUSH = ("other", "1.00", D + "01:00:00")
 
 
 def alerts_of(payments, **options):
-    spend = windows.window_spend(payments, **options)
-    return windows.payment_id_parts(risk_alerts(spend), payments).collect()
+    closed = options.pop("closed_only", False)
+    blocks = windows.spend_blocks(payments, block_offsets=2, **options)
+    spend = windows.spend_of_blocks(blocks)
+    graded = risk_alerts(windows.closed_windows(spend, payments) if closed else spend)
+    return windows.with_payment_ids(graded, windows.payment_id_blocks(graded, blocks)).collect()
 
 
 def test_two_payments_make_one_alert(make_payments):
@@ -130,25 +133,54 @@ def test_blocked_running_value_equals_plain_window(skewed, how, exclusive, block
 def test_early_signal_marks_each_payment(make_payments):
     rows = windows.early_signal(make_payments(
         ("u", "9000", D + "00:00:00"), ("v", "20000", D + "00:00:30"), ("u", "7000", D + "00:01:00"),
-        ("u", "1", D + "00:05:00")), block_offsets=2).orderBy("offset").collect()
+        ("u", "1", D + "00:05:00")), block="10 seconds").orderBy("offset").collect()
     assert [(r.running_total, r.over_threshold) for r in rows] == [
         (Decimal("9000.00"), False), (Decimal("20000.00"), True), (Decimal("16000.00"), True),
         (Decimal("1.00"), False)]
 
 
-def test_long_id_lists_come_in_parts_that_hold_every_id_once(skewed):
+def test_blocks_hold_every_id_once_whatever_their_size(skewed):
     spend = windows.window_spend(skewed, size="1 hour")
-    parts = windows.payment_id_parts(spend, skewed, size="1 hour", max_ids=100).collect()
-    whole = windows.payment_id_parts(spend, skewed, size="1 hour", max_ids=10**6).collect()
-    assert {r.part for r in whole} == {0}
-    assert max(len(r.triggering_payment_ids) for r in parts) <= 200  # 100 offsets on 2 partitions
-    key = lambda r: (r.user_id, r.window_start)
-    joined = {}
-    for row in sorted(parts, key=lambda r: (*key(r), r.part)):
-        joined.setdefault(key(row), []).extend(row.triggering_payment_ids)
-    assert joined == {key(r): r.triggering_payment_ids for r in whole}
-    assert sum(len(r.triggering_payment_ids) for r in whole) == skewed.where("user_id IS NOT NULL").count()
-    assert any(r.part > 0 for r in parts if r.user_id == "hot")
+    lists = {}
+    for block in (1, 100, 10**6):
+        blocks = windows.spend_blocks(skewed, size="1 hour", block_offsets=block)
+        assert sorted(windows.spend_of_blocks(blocks, "1 hour").collect()) == sorted(spend.collect())
+        ids = windows.payment_id_blocks(spend, blocks).collect()
+        assert max(len(r.ids) for r in ids) <= 2 * block  # offsets on 2 partitions
+        whole = windows.with_payment_ids(spend, windows.payment_id_blocks(spend, blocks)).collect()
+        assert len(whole) == spend.count()
+        lists[block] = {(r.user_id, r.window_start): r.triggering_payment_ids for r in whole}
+    assert lists[1] == lists[100] == lists[10**6]
+    assert sum(map(len, lists[1].values())) == skewed.where("user_id IS NOT NULL").count()
+
+
+def test_ids_follow_the_rows_that_were_summed(make_payments):
+    payments = make_payments(("u", "8000", D + "00:00:00"), ("u", "8000", D + "00:00:01"), ("u", "9000", D + "00:00:02"),
+                             FLUSH, ids=["p1", "p1", "p2", "f"])
+    (alert,) = alerts_of(payments, dedup=True)
+    assert (alert.total_amount, alert.triggering_payment_ids) == (Decimal("17000.00"), ["p1", "p2"])
+    late_one = make_payments(("u", "16000", D + "00:00:00"), ("v", "1", D + "00:05:30"), ("u", "5", D + "00:00:01"))
+    (alert,) = alerts_of(late_one, drop_late=True)
+    assert alert.triggering_payment_ids == ["p0"]
+
+
+def test_every_hop_keeps_its_ids(make_payments):
+    payments = make_payments(("u", "16000", D + "00:04:30"))
+    assert [r.triggering_payment_ids for r in alerts_of(payments, slide="1 minute")] == [["p0"]] * 5
+
+
+def test_order_is_time_then_partition_then_offset(make_payments):
+    payments = make_payments(("u", "9000", D + "00:00:04", 0), ("u", "9000", D + "00:00:01", 3), ("u", "1", D + "00:00:01", 1))
+    (alert,) = alerts_of(payments)
+    assert alert.triggering_payment_ids == ["p2", "p1", "p0"]
+    running = windows.early_signal(payments, block="1 second").orderBy("record_ts", "partition").collect()
+    assert [str(r.running_total) for r in running] == ["1.00", "9001.00", "18001.00"]
+
+
+def test_topics_have_their_own_stream_time(make_payments):
+    payments = make_payments(("u", "1", D + "00:00:00"), ("u", "1", D + "01:00:00"), ("u", "1", D + "00:00:02")).withColumn(
+        "topic", F.when(F.col("offset") == 1, "a").otherwise("b"))
+    assert not late.flag_late(payments).where("late").collect()
 
 
 @pytest.mark.parametrize("block", [3, 10**6])
