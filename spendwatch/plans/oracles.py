@@ -72,7 +72,7 @@ failed AS (
     CASE WHEN event_id % 35 = 0 THEN 'DeserializationException' ELSE 'RuntimeException' END AS error_class,
     'cannot process ' || event_type AS exception_message, topic || '.' || event_type AS original_topic,
     CASE WHEN event_id % 35 = 0 THEN 1 ELSE event_id % 3 + 1 END AS n
-  FROM plain WHERE event_id % 5 = 0),
+  FROM plain),
 latest AS (
   SELECT payment_id, n::INTEGER AS attempt,
     record_ts + to_seconds(CASE n WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 3 END) AS failed_at,
@@ -140,7 +140,7 @@ def _uuid(digest: str) -> str:
 _PAYMENT_UUID = _uuid("md5('payment:' || \"offset\")")
 
 _SPEND = """
-SELECT user_id, {start} AS window_start, {start} + INTERVAL {size} AS window_end, sum(amount)::DOUBLE AS total,
+SELECT user_id, {start} AS window_start, {start} + INTERVAL {size} AS window_end, (sum(amount) * 100)::BIGINT AS total,
   count(*) AS payments FROM {source} GROUP BY ALL
 """
 
@@ -166,7 +166,7 @@ judged AS (
 SELECT payment_id AS request_id, reasons = '' AS accepted, reasons AS reject_reasons FROM judged""",
 
     "q02_payment_rows": "WITH" + _PLAIN + f"""
-SELECT {_PAYMENT_UUID} AS id, user_id, merchant_id, amount::DOUBLE AS amount, currency, 'INITIATED' AS status,
+SELECT {_PAYMENT_UUID} AS id, user_id, merchant_id, (amount * 100)::BIGINT AS amount, currency, 'INITIATED' AS status,
   record_ts AS created_at FROM plain""",
 
     "q02_outbox_envelope": "WITH" + _PLAIN + f""",
@@ -174,7 +174,7 @@ ids AS (SELECT *, {_PAYMENT_UUID} AS pid FROM plain)
 SELECT {_uuid("md5('outbox:' || pid)")} AS id, 'Payment' AS aggregate_type, pid AS aggregate_id,
   'PaymentInitiatedEvent' AS event_type, topic AS kafka_topic, user_id AS kafka_key, 'PENDING' AS status,
   record_ts AS created_at, pid AS payload_payment_id, user_id AS payload_user_id,
-  merchant_id AS payload_merchant_id, amount::DOUBLE AS payload_amount, currency AS payload_currency,
+  merchant_id AS payload_merchant_id, (amount * 100)::BIGINT AS payload_amount, currency AS payload_currency,
   epoch_us(record_ts) // 1000 AS payload_initiated_millis FROM ids""",
 
     "q03_outbox_relay_batch": "WITH" + _OUTBOX + """
@@ -183,18 +183,18 @@ WHERE status = 'PENDING' ORDER BY created_at, id LIMIT 100""",
 
     "q03_outbox_signalled": "WITH" + _OUTBOX + """
 SELECT id, kafka_topic, created_at FROM outbox
-WHERE status = 'PENDING' AND id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+WHERE status = 'PENDING' AND id IN (SELECT l_partkey FROM lineitem)""",
 
     "q04_outbox_state": "WITH" + _OUTBOX + """,
-marks AS (SELECT l_orderkey AS id, max(l_shipdate) AS sent_at FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL)
+marks AS (SELECT l_partkey AS id, max(l_shipdate) AS sent_at FROM lineitem GROUP BY ALL)
 SELECT id, CASE WHEN sent_at IS NULL THEN status ELSE 'PUBLISHED' END AS status, sent_at AS published_at
 FROM outbox LEFT JOIN marks USING (id)""",
 
     "q04_outbox_reconcile": "WITH" + _OUTBOX + """,
-sent AS (SELECT l_orderkey AS sid, count(*) AS n FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL),
+sent AS (SELECT l_orderkey * 2 - l_linenumber * 3 AS sid, count(*) AS n FROM lineitem GROUP BY ALL),
 both_sides AS (
   SELECT coalesce(id, sid) AS id, id AS oid, status, created_at, coalesce(n, 0) AS copies
-  FROM (SELECT * FROM outbox WHERE id % 13 <> 0) FULL JOIN sent ON id = sid)
+  FROM outbox FULL JOIN sent ON id = sid)
 SELECT * FROM (
   SELECT id, CASE WHEN oid IS NULL THEN 'not_in_outbox' WHEN copies > 1 THEN 'published_twice'
       WHEN status = 'PUBLISHED' AND copies = 0 THEN 'missing_on_topic'
@@ -204,7 +204,7 @@ SELECT * FROM (
   FROM both_sides) WHERE issue IS NOT NULL""",
 
     "q05_typed_landing": "WITH" + _PLAIN + """
-SELECT "offset", payment_id, user_id, merchant_id, (amount - 40)::DOUBLE AS amount, 'USD' AS currency,
+SELECT "offset", payment_id, user_id, merchant_id, ((amount - 40) * 100)::BIGINT AS amount, 'USD' AS currency,
   CASE WHEN event_id % 2 = 0 THEN payment_method END AS payment_method,
   date_trunc('millisecond', record_ts) AS initiated_ts,
   CASE WHEN event_id % 2 = 0 THEN json_extract_string(props, '$.k') END AS metadata
@@ -219,7 +219,7 @@ judged AS (
   SELECT *, CASE WHEN event_id % 41 = 0 THEN 'empty' WHEN event_id % 13 = 0 OR event_id % 19 = 0 THEN 'undecodable'
     WHEN event_id % 23 = 0 THEN 'missing:userId' ELSE '' END AS reason FROM plain)
 SELECT "offset", reason = '' AS readable, reason, CASE WHEN reason = '' THEN payment_id END AS payment_id,
-  CASE WHEN reason = '' THEN amount::DOUBLE END AS amount FROM judged""",
+  CASE WHEN reason = '' THEN (amount * 100)::BIGINT END AS amount FROM judged""",
 
     "q07_partition_assign": "WITH" + _KEYS + "," + _PLAIN + """,
 flagged AS (SELECT *, event_id % 97 <> 0 AND amount > 100 AS high_value FROM plain JOIN hashed ON k = user_id)
@@ -228,14 +228,14 @@ SELECT payment_id, user_id, CASE WHEN high_value THEN 0 ELSE coded END AS coded_
 
     "q08_partition_skew": "WITH" + _PAYMENTS + """
 SELECT "partition", count(*) AS records, count(*) FILTER (amount > 100) AS high_value_records,
-  sum(amount)::DOUBLE AS amount FROM payments GROUP BY ALL""",
+  (sum(amount) * 100)::BIGINT AS amount FROM payments GROUP BY ALL""",
 
     "q09_idempotent_first": "WITH" + _PLAIN + ", base AS (SELECT * FROM plain)," + _REDELIVERED + """,
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY payment_id ORDER BY record_ts, "offset") AS r,
     count(*) OVER (PARTITION BY payment_id) AS deliveries FROM redelivered)
 SELECT 'payment-event:' || payment_id AS message_key, topic, record_ts AS processed_at, "offset", user_id,
-  amount::DOUBLE AS amount, deliveries FROM ranked WHERE r = 1""",
+  (amount * 100)::BIGINT AS amount, deliveries FROM ranked WHERE r = 1""",
 
     "q10_idempotent_ttl": """
 WITH RECURSIVE claims AS (SELECT user_id, ts FROM events WHERE event_type <> 'error'),
@@ -253,7 +253,7 @@ FROM events e LEFT JOIN chain c
     "q11_window_spend": "WITH" + _PLAIN + _SPEND.format(start=_START, size="5 MINUTE", source="plain"),
 
     "q11_window_payment_ids": "WITH" + _PLAIN + f"""
-SELECT user_id, {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, sum(amount)::DOUBLE AS total,
+SELECT user_id, {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, (sum(amount) * 100)::BIGINT AS total,
   count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS triggering_payment_ids
 FROM plain GROUP BY ALL""",
 
@@ -261,7 +261,7 @@ FROM plain GROUP BY ALL""",
 spend AS (
   SELECT user_id, {_START} AS window_start, {_START} + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
     count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM plain GROUP BY ALL)
-SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
+SELECT user_id, window_start, window_end, (total * 100)::BIGINT AS total_amount, payments, {_LEVEL} AS risk_level,
   ids AS triggering_payment_ids FROM spend
 WHERE total > 150 AND window_end + INTERVAL 30 SECOND <= (SELECT max(ts) FROM events)""",
 
@@ -272,7 +272,7 @@ firsts AS (
 spend AS (
   SELECT user_id, {_DAY} AS window_start, {_DAY} + INTERVAL 1 DAY AS window_end, sum(amount) AS total,
     count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM firsts GROUP BY ALL)
-SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
+SELECT user_id, window_start, window_end, (total * 100)::BIGINT AS total_amount, payments, {_LEVEL} AS risk_level,
   ids AS triggering_payment_ids FROM spend
 WHERE total > 150 AND window_end + INTERVAL 30 SECOND <= (SELECT max(record_ts) FROM redelivered)""",
 
@@ -285,14 +285,14 @@ FROM plain WHERE (user_id, {_DAY}) IN (SELECT (user_id, window_start) FROM rich)
 
     "q13_risk_level_summary": "WITH" + _PLAIN + f""",
 spend AS (SELECT user_id, {_START} AS w, sum(amount) AS total FROM plain GROUP BY ALL)
-SELECT {_LEVEL} AS risk_level, count(*) AS alerts, sum(total)::DOUBLE AS total_amount FROM spend
+SELECT {_LEVEL} AS risk_level, count(*) AS alerts, (sum(total) * 100)::BIGINT AS total_amount FROM spend
 WHERE total > 150 GROUP BY ALL""",
 
     "q14_early_signal": "WITH" + _PLAIN + f""",
 summed AS (
   SELECT payment_id, user_id, {_DAY} AS window_start, sum(amount) OVER (
     PARTITION BY user_id, {_DAY} ORDER BY record_ts, "offset" ROWS UNBOUNDED PRECEDING) AS total FROM plain)
-SELECT payment_id, user_id, window_start, total::DOUBLE AS running_total, total > 150 AS over_threshold FROM summed""",
+SELECT payment_id, user_id, window_start, (total * 100)::BIGINT AS running_total, total > 150 AS over_threshold FROM summed""",
 
     "q15_late_drop": "WITH" + _PLAIN + "," + _DISORDERED + f"""
 SELECT payment_id, record_ts, stream_time,
@@ -310,7 +310,7 @@ partial AS (
 merged AS (
   SELECT user_id, window_start, window_start + INTERVAL 1 DAY AS window_end, sum(s) AS total,
     max(s) AS largest_partial, count(*) AS partitions FROM partial GROUP BY ALL)
-SELECT user_id, window_start, window_end, total::DOUBLE AS total, largest_partial::DOUBLE AS largest_partial,
+SELECT user_id, window_start, window_end, (total * 100)::BIGINT AS total, (largest_partial * 100)::BIGINT AS largest_partial,
   partitions, total > 150 AS user_alert, largest_partial > 150 AS split_alert FROM merged
 WHERE (total > 150) <> (largest_partial > 150)""",
 
@@ -335,7 +335,7 @@ SELECT date_trunc('day', failed_at) AS window_start, original_topic, error_class
 
     "q19_latest_by_key": "WITH" + _PLAIN + """,
 last AS (SELECT * FROM plain QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "offset" DESC) = 1)
-SELECT user_id, amount::DOUBLE AS balance, "offset" FROM last WHERE event_type <> 'error'""",
+SELECT user_id, (amount * 100)::BIGINT AS balance, "offset" FROM last WHERE event_type <> 'error'""",
 
     "q19_compacted_log": "WITH" + _PLAIN + """,
 last AS (SELECT * FROM plain QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY "offset" DESC) = 1)
@@ -349,7 +349,7 @@ SELECT payment_id, record_ts FROM plain WHERE record_ts >= TIMESTAMP '2024-01-24
 spend AS (
   SELECT user_id, {_START} AS window_start, {_START} + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
     count(*) AS payments FROM plain GROUP BY ALL)
-SELECT user_id, window_start, window_end, payments, total::DOUBLE AS total_amount, {_LEVEL} AS risk_level
+SELECT user_id, window_start, window_end, payments, (total * 100)::BIGINT AS total_amount, {_LEVEL} AS risk_level
 FROM spend WHERE total > 150 AND window_end >= TIMESTAMP '2024-01-11'""",
 
     "q21_retention_bytes": "WITH" + _PAYMENTS + """,
@@ -369,13 +369,13 @@ FROM plain, (VALUES ('processed'), ('balance')) AS o(output) WHERE "offset" // 1
     "q23_deleted_versions": _catalog(strict=False, kept=" WHERE (l_orderkey + l_linenumber) % 3 <> 0"),
 
     "q24_evolved_read": "WITH" + _PLAIN + """
-SELECT payment_id, user_id, merchant_id, amount::DOUBLE AS amount,
+SELECT payment_id, user_id, merchant_id, (amount * 100)::BIGINT AS amount,
   CASE WHEN event_id % 3 <> 0 AND event_id % 10 <> 0 THEN 'EUR' ELSE 'USD' END AS currency,
   CASE WHEN event_id % 3 <> 0 THEN payment_method END AS payment_method, record_ts AS initiated_ts, 0 AS metadata
 FROM plain""",
 
     "q24_processed_defaults": "WITH" + _PLAIN + """
-SELECT payment_id, user_id, amount::DOUBLE AS amount, 'USD' AS currency,
+SELECT payment_id, user_id, (amount * 100)::BIGINT AS amount, 'USD' AS currency,
   CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'APPROVED' END AS status, 0.0::DOUBLE AS risk_score,
   record_ts AS processed_ts, CASE WHEN event_type = 'error' THEN 'declined by issuer' END AS failure_reason
 FROM plain""",
@@ -443,13 +443,13 @@ hops AS (
 spend AS (
   SELECT user_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, sum(amount) AS total,
     count(*) AS payments, string_agg(payment_id, ',' ORDER BY record_ts, "offset") AS ids FROM hops GROUP BY ALL)
-SELECT user_id, window_start, window_end, total::DOUBLE AS total_amount, payments, {_LEVEL} AS risk_level,
+SELECT user_id, window_start, window_end, (total * 100)::BIGINT AS total_amount, payments, {_LEVEL} AS risk_level,
   ids AS triggering_payment_ids FROM spend WHERE total > 150""",
 
     "q28_hopping_spend": "WITH" + _PLAIN + """,
 hops AS (
   SELECT user_id, amount, time_bucket(INTERVAL 1 MINUTE, record_ts) - to_minutes(i) AS window_start
   FROM plain, range(5) AS r(i))
-SELECT user_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, sum(amount)::DOUBLE AS total,
+SELECT user_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, (sum(amount) * 100)::BIGINT AS total,
   count(*) AS payments FROM hops GROUP BY ALL""",
 }

@@ -121,7 +121,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 def attempts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Failed attempts on the main topic and on its two retry topics."""
     error = F.when(every(35), "DeserializationException").otherwise("RuntimeException")
-    failed = payments(spark, sf_dir).where(every(5)).select(
+    failed = payments(spark, sf_dir).select(
         "payment_id", "event_id", "record_ts", error.alias("error_class"),
         F.concat(F.lit("cannot process "), "event_type").alias("exception_message"),
         F.concat(F.col("topic"), F.lit("."), "event_type").alias("original_topic"))

@@ -55,12 +55,14 @@ BALANCES = _table(("user_id", _S), ("balance", MONEY))
 
 ATTEMPTS = _table(
     ("payment_id", _S), ("attempt", _I), ("failed_at", _TS), ("error_class", _S),
-    ("exception_message", _S), ("original_topic", _S), ("payload", _S),
+    ("exception_message", _S), ("original_topic", _S), ("original_partition", _I), ("original_offset", _L),
+    ("original_key", _S), ("payload", _S),
 )
 
 DEAD_LETTER = _table(
     ("payment_id", _S), ("original_topic", _S), ("attempts", _I), ("error_class", _S),
-    ("exception_message", _S), ("failed_at", _TS), ("payload", _S),
+    ("exception_message", _S), ("failed_at", _TS), ("original_partition", _I), ("original_offset", _L),
+    ("original_key", _S), ("payload", _S),
 )
 
 COMMITS = _table(("batch_id", _L), ("try_id", _S), ("committed_at", _TS))

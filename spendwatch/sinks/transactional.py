@@ -19,10 +19,11 @@ COMMITS = "commits"
 CREATE = -1
 
 
-def create_tables(spark: SparkSession, root: str, tables: dict[str, StructType]) -> None:
+def create_tables(spark: SparkSession, root: str, tables: dict[str, StructType],
+                  layout: dict[str, list[str]] | None = None) -> None:
     """Make empty committed tables, so that the first batch can read them."""
     empty = {name: spark.createDataFrame([], schema) for name, schema in tables.items()}
-    write_batch(spark, root, CREATE, empty)
+    write_batch(spark, root, CREATE, empty, layout)
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
@@ -32,12 +33,15 @@ def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
     return bool(spark.read.schema(schemas.COMMITS).parquet(path.toString()).take(1))
 
 
-def write_batch(spark: SparkSession, root: str, batch_id: int, tables: dict[str, DataFrame]) -> None:
+def write_batch(spark: SparkSession, root: str, batch_id: int, tables: dict[str, DataFrame],
+                layout: dict[str, list[str]] | None = None) -> None:
+    """Write and commit a batch; `layout` names the columns by which a table gets folders."""
     if is_committed(spark, root, batch_id):
         return
     try_id = uuid.uuid4().hex
     for name, rows in tables.items():
-        rows.write.parquet(f"{root}/{name}/batch_id={batch_id}/try_id={try_id}")
+        rows.write.partitionBy(*(layout or {}).get(name, ())).parquet(
+            f"{root}/{name}/batch_id={batch_id}/try_id={try_id}")
     mark_committed(spark, root, batch_id, try_id)
 
 

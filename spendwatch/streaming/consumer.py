@@ -90,12 +90,19 @@ class PaymentConsumer:
         self.handler(tries).write.mode("overwrite").parquet(outcomes_path)
         outcomes = self.spark.read.parquet(outcomes_path)
 
+
+        def original(name: str, kind: str, otherwise: Column | None = None) -> Column:
+            known = F.col(name) if name in columns else F.lit(None) if otherwise is None else otherwise
+            return known.cast(kind).alias(f"original_{name}")
+
         tried = outcomes.select(
             "payment_id",
             (F.col("earlier_attempts") + 1).alias("attempt"),
             at.alias("failed_at"),
             "error_class", "exception_message",
-            F.lit(settings.TOPIC_INITIATED).alias("original_topic"),
+            original("topic", "string", F.lit(settings.TOPIC_INITIATED)),
+            original("partition", "int"), original("offset", "long"),
+            original("key", "string", F.col("user_id") if "user_id" in columns else None),
             F.to_json(F.struct(*columns)).alias("payload"),
         )
         # First-time successes need no attempt row; a success after failures closes the payment.

@@ -10,13 +10,21 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from spendwatch import schemas, settings
 from spendwatch.operators.outbox import current_outbox, next_page, pending, published_marks
 from spendwatch.sinks.topics import relay_records
-from spendwatch.sinks.transactional import write_batch
+from spendwatch.sinks.transactional import create_tables, write_batch
 from spendwatch.sources.tables import read_table
 
 MARKS = StructType([
     StructField("id", StringType(), True), StructField("status", StringType(), True),
     StructField("published_at", TimestampType(), True)])
-SENT = StructType([StructField(n, StringType(), True) for n in ("id", "topic", "key", "value")])
+SENT = StructType([StructField("id", StringType(), True), *schemas.ENVELOPE.fields])
+
+
+# Folders of the sent records, so that a reader of one topic lists that topic only.
+LAYOUT = {"sent": ["topic", "partition"]}
+
+
+def create(spark: SparkSession, relay_root: str) -> None:
+    create_tables(spark, relay_root, {"marks": MARKS, "sent": SENT}, LAYOUT)
 
 
 def relay_once(spark: SparkSession, outbox_root: str, relay_root: str, poll_id: int,
@@ -29,8 +37,19 @@ def relay_once(spark: SparkSession, outbox_root: str, relay_root: str, poll_id:
     marks = read_table(spark, relay_root, "marks", MARKS).where(F.col("batch_id") < poll_id)
     outbox = current_outbox(read_table(spark, outbox_root, "outbox", schemas.OUTBOX), marks)
     rows = pending(outbox) if page is None else next_page(outbox, page)
-    write_batch(spark, relay_root, poll_id, {
-        "sent": relay_records(rows), "marks": published_marks(rows, F.lit(dt.datetime.now(dt.timezone.utc)))})
+    at = F.lit(dt.datetime.now(dt.timezone.utc))
+    rows = rows.persist()
+    try:
+        write_batch(spark, relay_root, poll_id, {
+            "sent": relay_records(rows, poll_id, at), "marks": published_marks(rows, at)}, LAYOUT)
+    finally:
+        rows.unpersist()
+
+
+def sent_topic(spark: SparkSession, relay_root: str, topic: str) -> DataFrame:
+    """The committed records of one topic that the relay has sent, as `sources.topics` gives them; reads its folders only."""
+    rows = read_table(spark, relay_root, "sent", SENT).where(F.col("topic") == topic)
+    return rows.select(*schemas.ENVELOPE.fieldNames())
 
 
 def publish_processed(processed: DataFrame, balances: DataFrame, root: str, batch_id: int) -> None:

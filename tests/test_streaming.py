@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import DATA, ts
 from spendwatch import schemas
 from spendwatch.functions.times import interval
-from spendwatch.operators import windows
+from spendwatch.operators import landing as landing_operators, windows
 from spendwatch.operators.alerts import risk_alerts
 from spendwatch.plans import views
 from spendwatch.sinks import topics as topic_sink, transactional
@@ -177,6 +177,11 @@ def test_quarantine_stream(spark, topic, tmp_path):
         ("poison-key", "undecodable")]
 
 
+BINARY = {"payment_id": "string", "user_id": "string", "merchant_id": "string", "currency": "string",
+          "payment_method": "string", "metadata": "map<string,string>", "amount_bytes": "binary",
+          "initiated_millis": "bigint"}
+
+
 def body(user, amount):
     return json.dumps({"userId": user, "merchantId": "m", "amount": amount, "currency": "USD"})
 
@@ -200,13 +205,24 @@ def test_intake_to_outbox_to_topic(spark, tmp_path):
     assert event.where(F.col("at") != F.unix_millis("created_at")).count() == 0
     assert [r.reject_reasons for r in committed(spark, intake_root, "rejected").collect()] == [["amount:not_positive"]]
 
-    transactional.create_tables(spark, relay_root, {"marks": relay.MARKS, "sent": relay.SENT})
+    relay.create(spark, relay_root)
     for poll, sent in ((0, 15), (1, 20), (1, 20), (2, 20)):  # poll 1 is replayed
         relay.relay_once(spark, intake_root, relay_root, poll, page=15)
         rows = tables.read_table(spark, relay_root, "sent", relay.SENT).collect()
         assert len(rows) == len({r.id for r in rows}) == sent
     assert {r.topic for r in rows} == {"payment.initiated.events"}
 
+    # What the relay sent is a topic like any other: from request bodies to alerts.
+    topic_rows = relay.sent_topic(spark, relay_root, "payment.initiated.events")
+    assert topic_rows.select("partition", "offset").distinct().count() == topic_rows.count() == 20
+    assert relay.sent_topic(spark, relay_root, "another").count() == 0
+    typed, bad = landing_operators.typed_landing(topic_rows.limit(0).select(
+        "topic", "partition", "offset", "record_ts", *[F.lit(None).cast(t).alias(n) for n, t in BINARY.items()]), topic_rows)
+    assert bad.count() == 0
+    found = batch_alerts(typed, "15", closed=False, size="1 day").collect()
+    assert sorted(r.user_id for r in found) == sorted(f"u{i}" for i in range(6, 20))
+    assert all(len(r.triggering_payment_ids) == 1 for r in found)
+
 
 def test_processed_and_balance_appear_together(spark, tmp_path):
     root = str(tmp_path / "out")
@@ -293,6 +309,9 @@ def test_consumer_processes_once_retries_and_gives_up(spark, shop, make_payments
     shop.clock.advance(hours=1)
     shop.process(nothing, 5)
     assert table_rows(shop, "attempts", schemas.ATTEMPTS).where("payment_id = 'r'").count() == 3
+    letter = table_rows(shop, "dead_letter", schemas.DEAD_LETTER).where("payment_id = 'r'").first()
+    assert (letter.original_topic, letter.original_partition, letter.original_offset, letter.original_key) == (
+        "payment.initiated.events", 0, 2, "retry-test-user")
 
 
 def test_consumer_forgets_a_key_after_the_ttl(spark, shop, make_payments):

@@ -254,8 +254,8 @@ def test_records_are_written_by_partition(spark, tmp_path, make_payments):
     topic_sink.write_by_partition(
         topic_sink.initiated_records(payments, "t", F.col("payment_id")), path)
     back = topic_source.read_topic(spark, path)
-    assert sorted((r.topic, r.partition, r.key, r.value) for r in back.collect()) == [
-        ("t", 0, "u", "p0"), ("t", 4, "v", "p1")]
+    assert sorted((r.topic, r.partition, r.offset, str(r.record_ts), r.key, r.value) for r in back.collect()) == [
+        ("t", 0, 0, D + "00:00:00", "u", "p0"), ("t", 4, 1, D + "00:00:00", "v", "p1")]
 
 
 def test_requests_are_read_as_text(spark, tmp_path):
