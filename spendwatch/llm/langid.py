@@ -212,6 +212,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     return inner.mapInArrow(run, schema)
 
 
-def accepted(max_bits: float = 6.5) -> Column:
-    """Rows whose language is known and whose text its language codes in at most `max_bits` bits a byte (chance: 8)."""
+def accepted(max_bits: float = 8.0) -> Column:
+    """Rows whose language is known and codes the text in at most `max_bits` bits a byte. Beyond 8 the language explains
+    the text worse than chance does; short documents with keys or numbers stay below."""
     return (F.col("lang_pred") != UNDETERMINED) & (F.col("bits_per_byte") <= max_bits)
