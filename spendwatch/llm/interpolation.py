@@ -275,7 +275,7 @@ def _scores(total: int, distinct: int, weights: Weights, id_type: str):
 
 
 def score(docs: DataFrame, held_out: Column, weights_fold: Column, id_column: str = "doc_id", text: str = "text",
-          chunk_bytes: int = 16 << 20) -> DataFrame:
+          chunk_bytes: int = 8 << 20) -> DataFrame:
     """Score every whole text under a model of all texts where `held_out` is not true.
 
     `weights_fold` marks the training rows on which the weights are learned. One row per input row: the id column, held_out,
