@@ -1,6 +1,7 @@
 """Subword encoding by a minimal acyclic transducer over frequent words, with exact merges for all others.
 
-1. Count the words of all texts and keep the `lexicon_words` most frequent (ties: smaller word first).
+1. Count the words of all texts and keep the most frequent ones: whole classes of frequency, as many as fit
+   `lexicon_words`.
 2. Compile them into a minimal acyclic automaton: equal suffixes share states. Every state knows how many words
    leave through it, so a walk adds up a word's number, and that number leads to the word's ids (the output).
 3. Write the automaton into one file in the shared folder; Spark sends it to the executors, and their tasks
@@ -26,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendwatch.llm.chunks import CACHE_CHUNKS, ChunkEncoder, Numbers, chunks_of, take_segments
-from spendwatch.llm.common import shared_path, ship, slices
+from spendwatch.llm.common import shared_path, ship, slices, stored
 
 LEXICON_WORDS = 65_536
 # Memory bound of the counting tasks: distinct chunks held before partial counts are handed on.
@@ -438,9 +439,18 @@ def publish(spark: SparkSession, arrays: dict[str, np.ndarray]) -> str:
 
 def compile_lexicon(docs: DataFrame, tokenizer_path: str, text: str = "text",
                     lexicon_words: int = LEXICON_WORDS) -> str:
-    """Count, compile and publish. The driver holds `lexicon_words` words and nothing else."""
+    """Count, compile and publish. The driver holds at most `lexicon_words` words, and one row for each class of
+    frequency (64 to an octave, so some thousands)."""
     tokenizer = WordTokenizer(tokenizer_path)
-    top = count_words(docs, tokenizer_path, text).orderBy(F.desc("n"), "word").limit(lexicon_words).collect()
+    counted = stored(count_words(docs, tokenizer_path, text)
+                     .withColumn("class", F.floor(F.log2("n") * 64).cast("int")), "words")
+    least, room = None, lexicon_words
+    for row in sorted(counted.groupBy("class").count().collect(), key=lambda r: -r["class"]):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["class"]
+    top = counted.where(F.col("class") >= least).collect() if least is not None else []
     entries = {row.word: tokenizer.merge(row.word) for row in top if row.word}
     return publish(docs.sparkSession, build_automaton(entries))
 
