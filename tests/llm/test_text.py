@@ -168,6 +168,21 @@ def test_odd_pages(table_of):
     assert wrappers.extract(df.limit(0)).collect() == []
 
 
+def extracted(spark, pages):
+    rows = [(i, "http://a.example/x", page) for i, page in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    return [texts[i] for i in range(len(pages))]
+
+
+def test_templates_of_one_host(spark):
+    words = [f"w{i} " * 30 for i in range(12)]
+    pages = [f"<body><div class=top>Brand</div><article><p>{w}</p></article></body>" if i % 3 == 0 else
+             f"<body><div class=top>Brand</div><div class=content><h2>T{i}</h2><p>{w}</p></div></body>"
+             for i, w in enumerate(words)]
+    assert extracted(spark, pages) == [w.strip() if i % 3 == 0 else f"T{i} {w.strip()}" for i, w in enumerate(words)]
+
+
 def test_pages_match_a_plain_version(spark):
     import html as references
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
