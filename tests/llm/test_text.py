@@ -183,6 +183,23 @@ def test_templates_of_one_host(spark):
     assert extracted(spark, pages) == [w.strip() if i % 3 == 0 else f"T{i} {w.strip()}" for i, w in enumerate(words)]
 
 
+def test_texts_of_few_pages_are_not_fixed(spark):
+    words = [f"w{i} " * 30 for i in range(12)]
+    pages = [f"<body><div class=top>Brand</div><div class=day>Day {i}</div><div class=c><p>{w}</p><p>{w}</p>"
+             f"<div>Read the rules</div></div></body>" for i, w in enumerate(words)]
+    want = [f"{w}{w}".strip() for w in words]
+    pages[3] = pages[3].replace("<p>", "<h2 id=intro>Lone title</h2><p>", 1)
+    want[3] = f"Lone title {want[3]}"
+    pages[4] = pages[4].replace("</p><p>", "</p><blockquote>Lone quote</blockquote><p>")
+    want[4] = f"{words[4]}Lone quote {words[4]}".strip()
+    pages += [pages[5]] * 5 + ["<p>no article here",
+                               "<body><div class=day>Day 99</div><section>Quite another layout</section></body>"]
+    want += [want[5]] * 5 + ["no article here", "Quite another layout"]
+    assert extracted(spark, pages) == want
+    # Copies of one page tell nothing about what is fixed.
+    assert extracted(spark, ["<body><h1>Title</h1><div><p>One</p><p>Two</p></div></body>"] * 5) == ["Title One Two"] * 5
+
+
 def test_pages_match_a_plain_version(spark):
     import html as references
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
