@@ -1,6 +1,7 @@
 """Language ID, chat formatting, page extraction and fingerprints against plain versions."""
 
 import hashlib
+import json
 import math
 import re
 from collections import Counter
@@ -200,6 +201,21 @@ def test_texts_of_few_pages_are_not_fixed(spark):
     assert extracted(spark, ["<body><h1>Title</h1><div><p>One</p><p>Two</p></div></body>"] * 5) == ["Title One Two"] * 5
 
 
+def test_wrapper_size_follows_templates(spark):
+    def pages(n):
+        return [f"<body class='blog postid-{i}'><div id=top-{i} class=top>Brand</div><div id='post-{i}' class='post p{i}'>"
+                f"<h2 id=t{i}>Title {i}</h2><p id=a{i}>{f'w{i} ' * 30}</p></div></body>" for i in range(n)]
+
+    def wrapper(n):
+        df = spark.createDataFrame([(i, "http://a.example/x", p) for i, p in enumerate(pages(n))],
+                                   "page_id long, url string, html string").repartition(3)
+        return json.loads(wrappers.infer_wrappers(wrappers._rows(df, "page_id", "url", "html")).first().wrapper)
+
+    assert wrappers.expression(wrapper(60)) == wrappers.expression(wrapper(10)) == (
+        '<body.blog><div.top>"Brand"</div><div.post><h2>#</h2><p>#</p></div></body>')
+    assert extracted(spark, pages(20)) == [f"Title {i} {f'w{i} ' * 30}".strip() for i in range(20)]
+
+
 def test_pages_match_a_plain_version(spark):
     import html as references
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
