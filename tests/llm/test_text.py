@@ -201,6 +201,14 @@ def test_texts_of_few_pages_are_not_fixed(spark):
     assert extracted(spark, ["<body><h1>Title</h1><div><p>One</p><p>Two</p></div></body>"] * 5) == ["Title One Two"] * 5
 
 
+@pytest.mark.parametrize("place", ["article", "div"])
+def test_long_and_inner_fixed_texts(spark, place):
+    legal = "All rights in these words are ours. " * 10
+    pages = [f"<body><{place}><div>Terms apply</div><h2>Title {i}</h2><p>{f'w{i} ' * 90}</p><div>{legal}</div></{place}></body>"
+             for i in range(6)]
+    assert extracted(spark, pages) == [f"Title {i} {f'w{i} ' * 90}".strip() for i in range(6)]
+
+
 def test_wrapper_size_follows_templates(spark):
     def pages(n):
         return [f"<body class='blog postid-{i}'><div id=top-{i} class=top>Brand</div><div id='post-{i}' class='post p{i}'>"
