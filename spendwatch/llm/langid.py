@@ -8,35 +8,42 @@ all costs fit one table: context x byte x language. A text's code length is the
 with the shortest code wins.
 
 Training reads a sample of about `sample_bytes` bytes for each language (whole texts, chosen by a hash of id and text).
-The table holds the most frequent contexts, as many as fit `table_bytes`, which bounds what is broadcast.
+Languages are learned in groups of `_GROUP`. A group's table holds its most frequent contexts, as many as fit
+`table_bytes` for a full group, so a language's tree is as deep among hundreds of languages as among few. A task scores its
+texts group by group and holds one table at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendwatch.llm.common import ship, slices, text_bytes
+from spendwatch.llm.common import ship, slices, stored, text_bytes
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
+_GROUP = 4  # languages of one table
 _TAG = 40  # bits of a counted byte string; above them stands its length, then its language
 
 
 @dataclass
 class Model:
     """languages; symbols: byte -> symbol; child: context and the byte before it -> longer context or -1; bits: cost
-    of a symbol in a context, for every language."""
+    of a symbol in a context, for every language. `further`: the broadcast models of the groups after the first, each with
+    its languages."""
     languages: list[str]
     symbols: np.ndarray
     child: np.ndarray
     bits: np.ndarray
     order: int
+    further: list[tuple[list[str], Broadcast]] = field(default_factory=list)
 
 
 def _count_strings(data: np.ndarray, place: np.ndarray, language: np.ndarray, order: int) -> np.ndarray:
@@ -62,9 +69,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", order: int =
     languages = sorted(totals)
     if not languages:
         return Model([], np.zeros(256, np.int64), np.full((1, 1), -1, np.int32), np.zeros((1, 1, 0), np.float32), order)
-    share = F.lit(0.0)
+    share = F
     for name in languages:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_bytes / max(totals[name], 1)))).otherwise(share)
+        share = share.when(F.col("lang") == name, F.lit(min(1.0, sample_bytes / max(totals[name], 1))))
     chosen = rows.where(F.pmod(F.xxhash64("lang", "text"), F.lit(1 << 30)) < share * (1 << 30))
     number = {name: i for i, name in enumerate(languages)}
 
@@ -77,11 +84,26 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", order: int =
             keys, n = np.unique(_count_strings(data, place, own, order), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["key", "n"])
 
-    counted = chosen.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
-    return _build(languages, counted["key"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), order, table_bytes)
-
-
-def _build(languages: list[str], keys: np.ndarray, counts: np.ndarray, order: int, table_bytes: int) -> Model:
+    counted = chosen.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    if len(languages) <= _GROUP:
+        return _build(languages, counted.toPandas(), order, table_bytes // len(languages))
+    counted = stored(counted, "counts")
+    first, further = None, []
+    for start in range(0, len(languages), _GROUP):  # the driver holds the counts and the table of one group
+        group = languages[start:start + _GROUP]
+        low = start << _TAG + 4
+        own = counted.where(F.col("key").between(low, low + (len(group) << _TAG + 4) - 1))
+        model = _build(group, own.withColumn("key", F.col("key") - low).toPandas(), order, table_bytes // _GROUP)
+        if first is None:
+            first = model
+        else:
+            further.append((group, docs.sparkSession.sparkContext.broadcast(model)))
+    first.further = further
+    return first
+
+
+def _build(languages: list[str], counted: pd.DataFrame, order: int, language_bytes: int) -> Model:
+    keys, counts = counted["key"].to_numpy(np.int64), counted["n"].to_numpy(np.float64)
     order_ = np.argsort(keys)
     keys, counts = keys[order_], counts[order_]
     language = keys >> (_TAG + 4)
@@ -97,7 +119,7 @@ def _build(languages: list[str], keys: np.ndarray, counts: np.ndarray, order: in
     known, which = np.unique(context, return_inverse=True)
     weight = np.bincount(which, share)
     depth = known >> _TAG
-    capacity = max(1, table_bytes // (4 * width * n_lang))
+    capacity = max(1, language_bytes // (4 * width))
     best = np.lexsort((known, depth, -np.round(weight, 12)))[:capacity]
     best = best[np.lexsort((known[best], depth[best]))]
     node_of = np.full(len(known), -1, np.int64)
@@ -173,6 +195,12 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
+def _read(table: Broadcast) -> Model:
+    """A broadcast model that its handle does not keep, where it is a local file."""
+    path = getattr(table, "_path", None)
+    return table.load_from_path(path) if path else table.value
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns `keep` (all by default) with lang_pred, score (posterior probability, all languages alike before)
     and bits_per_byte (shortest code).
@@ -182,21 +210,27 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     """
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
+    groups = [(model.languages, spark.sparkContext.broadcast(replace(model, further=[]))), *model.further]
+    languages = [name for names, _ in groups for name in names]
+    tables = [table for _, table in groups]
     added = {"lang_pred": pa.string(), "score": pa.float64(), "bits_per_byte": pa.float64()}
     kept = [c for c in (keep if keep is not None else docs.columns) if c not in added]
     inner = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        names = np.asarray([*model.languages, UNDETERMINED], dtype=object)
+        names = np.asarray([*languages, UNDETERMINED], dtype=object)
+        only = tables[0].value if len(tables) == 1 else None
         for batch in slices(batches, "_text", 2 << 20):
             data, offsets = text_bytes(batch.column("_text"))
             clear = np.fromiter((bool(t and _LETTER.search(t)) for t in batch.column("_text").to_pylist()), bool,
                                 batch.num_rows)
-            if not model.languages:
+            if not languages:
                 clear[:] = False
-            lengths = code_lengths(model, data, offsets) if model.languages else np.zeros((batch.num_rows, 1))
+                lengths = np.zeros((batch.num_rows, 1))
+            else:
+                # Of several tables none stays in memory after its turn.
+                lengths = np.concatenate([code_lengths(only or _read(table), data, offsets)
+                                          for table in tables], axis=1)
             best = lengths.argmin(axis=1)
             shortest = lengths.min(axis=1)
             score = 1 / np.exp2(np.maximum(shortest[:, None] - lengths, -1000)).sum(axis=1)

@@ -79,6 +79,23 @@ def test_held_out_accuracy(spark, documents):
     assert all(r.bits_per_byte < 6.5 for r in rows)
 
 
+def test_many_languages_keep_their_trees(spark):
+    rng, rows = np.random.default_rng(5), []
+    for lang in range(30):
+        words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(40)]
+        rows += [(f"l{lang:02}", " ".join(rng.choice(words, 200)), i == 0) for i in range(8)]
+    docs = spark.createDataFrame([(a, b, bool(c)) for a, b, c in rows], "lang string, text string, held boolean").coalesce(2)
+
+    def judged(kept):
+        model = langid.train(docs.where("not held").where(kept), table_bytes=120_000)
+        return {r.lang: r for r in langid.predict(docs.where("held").where("lang < 'l04'"), model).collect()}
+
+    few, many = judged("lang < 'l04'"), judged("true")
+    assert all(r.lang_pred == lang for lang, r in many.items())
+    for lang, r in many.items():
+        assert r.bits_per_byte == pytest.approx(few[lang].bits_per_byte, rel=0.02)
+
+
 def test_language_of_odd_rows(table_of, spark):
     model = langid.train(spark.createDataFrame([("the cat", "en"), ("el gato", "es"), (None, "en"), ("x", None), ("", "fr")],
                                                "text string, lang string"))
