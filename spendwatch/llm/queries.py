@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import chat, forest, interpolation, langid, lexicon, linedup, neardup, packing, parsing, wrappers
+from spendwatch.llm import (chat, divergence, forest, interpolation, langid, lexicon, linedup, neardup, packing, parsing,
+                            wrappers)
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -100,6 +101,53 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing, op6_chat_expressions,
-                                    op7_lsh_forest, op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing)}
-ORACLES = {"op6_chat_expressions": OP6_SQL}
+def op13_perfect_hash_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+with docs as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[a-z\x{80}-\x{10FFFF}]+') as terms
+  from documents),
+tokens as (select row, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term from tokens group by lang, term having count(distinct row) >= 3),
+sizes as (select lang, count(*) as v from kept group by lang),
+groups as (select distinct lang, source from docs),
+counts as (select lang, source, term, count(*) as n from tokens join kept using (lang, term) group by all),
+used as (select lang, source, sum(n) as used from counts group by all),
+lang_used as (select lang, sum(n) as used from counts group by all),
+shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (coalesce(u.used, 0) + s.v)::hugeint as p
+  from groups g join kept k on k.lang = g.lang join sizes s on s.lang = g.lang
+  left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+  left join used u on u.lang = g.lang and u.source = g.source),
+lang_shares as (
+  select k.lang, k.term, 1 + (1000000000::hugeint * (sum(c.n) + 1)) // (any_value(u.used) + any_value(s.v))::hugeint as q
+  from kept k join counts c on c.lang = k.lang and c.term = k.term
+  join lang_used u on u.lang = k.lang join sizes s on s.lang = k.lang group by k.lang, k.term),
+sums as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0) as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+terms as (
+  select s.lang, s.source, 'term' as part, s.term as item, (p - q) * (p - q) // q as value
+  from shares s join lang_shares l on l.lang = s.lang and l.term = s.term where s.n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 200
+"""
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing,
+    op6_chat_expressions, op7_lsh_forest, op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing,
+    op13_perfect_hash_recount)}
+ORACLES = {"op6_chat_expressions": OP6_SQL, "op13_perfect_hash_recount": OP13_SQL}
