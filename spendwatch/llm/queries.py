@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import (chat, divergence, forest, interpolation, langid, lexicon, linedup, neardup, packing, parsing,
-                            wrappers)
+from spendwatch.llm import (chat, divergence, forest, interpolation, langid, lexicon, linedup, neardup, negatives, packing,
+                            parsing, wrappers)
 from spendwatch.llm.common import fold, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -101,6 +101,35 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op12_segment_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.hard_negatives(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
+OP12_SQL = """
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * cast(x as double)) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
+  from vectors a join vectors b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 50 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and not s.same
+ and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score
+qualify rank <= 3
+"""
+
+
 def op13_perfect_hash_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -149,5 +178,5 @@ from ranked where part = 'pair' or rank <= 200
 QUERIES = {f.__name__: f for f in (
     op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing,
     op6_chat_expressions, op7_lsh_forest, op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing,
-    op13_perfect_hash_recount)}
-ORACLES = {"op6_chat_expressions": OP6_SQL, "op13_perfect_hash_recount": OP13_SQL}
+    op12_segment_bounds, op13_perfect_hash_recount)}
+ORACLES = {"op6_chat_expressions": OP6_SQL, "op12_segment_bounds": OP12_SQL, "op13_perfect_hash_recount": OP13_SQL}
