@@ -6,8 +6,8 @@
    level parts (equal 64-bit hashes) follow as a plain list. The terms themselves are stored in the order of their slots.
 3. Second pass: shards of at most about `pass_bytes` are broadcast and all documents are read again. Each distinct term of
    a batch is looked up and verified against the stored one, and its occurrences increment the slots of its group's
-   array. Groups are dense arrays over the kept terms of their language; a task that holds more than `slot_bytes` of
-   them writes their non-zero slots out and starts anew. More kept terms than one broadcast may hold take more passes.
+   array over the kept terms of its language. A task holds at most `slot_bytes` of arrays; the counts of further groups
+   leave it batch by batch. More kept terms than one broadcast may hold take more passes.
 4. Spark sums the slots of all tasks and computes the shares and divergences, in integers only.
 """
 
@@ -192,8 +192,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, codes, rows = terms_of(batch.column("text"))
         langs, lang = _names(batch.column("lang"))
         n = max(len(terms), 1)
-        in_rows = np.unique(rows * n + codes)
-        pairs, docs = np.unique(lang[in_rows // n] * n + in_rows % n, return_counts=True)
+        in_rows, _ = _counted(rows * n + codes)
+        pairs, docs = _counted(lang.astype(np.int64)[in_rows // n] * n + in_rows % n)
         which, code = pairs // n, pairs % n
         hashes = key_hashes(langs, which, term_hashes(terms)[code])
         yield pa.RecordBatch.from_arrays(
@@ -208,65 +208,73 @@ def kept_terms(docs: DataFrame, least: int = 3) -> DataFrame:
             .drop("docs"))
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and how often each occurs; sorting whole numbers is faster than hashing them."""
+    ordered = np.sort(values)
+    fresh = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - 1))
+    return ordered[fresh], np.diff(fresh, append=len(ordered))
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64())])
+
+
+def _count_rows(lang: str, source: str, terms: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    names = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(n), np.int8))) for x in (lang, source)]
+    return pa.RecordBatch.from_arrays([*names, terms.cast(pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64))],
+                                      schema=_COUNTS)
+
+
 def _recount(shards: int, held, slot_bytes: int):
     """Occurrences of the terms of a pass's shards by (lang, source, term)."""
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
         tables = {row["shard"]: Shard(row, counts) for row in held.value}
         groups: dict[tuple[str, str], np.ndarray] = {}
-        # The stored terms of each language in the order of the dense arrays.
-        parts: dict[str, list[pa.Array]] = {}
-        for shard in tables.values():
-            for i, name in enumerate(shard.langs):
-                parts.setdefault(name, []).append(shard.terms.take(pa.array(np.flatnonzero(shard.lang == i))))
-        stored_terms = {name: pa.concat_arrays(p) for name, p in parts.items()}
         size = 0
-
-        def written() -> Iterator[pa.RecordBatch]:
-            for (lang, source), slots in groups.items():
-                hit = np.flatnonzero(slots)
-                if len(hit):
-                    terms = stored_terms[lang].take(pa.array(hit)).cast(pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(hit), pa.string()), pa.array([source] * len(hit), pa.string()), terms,
-                         pa.array(slots[hit])], schema=schema)
-
         for batch in slices(batches, "text", _SLICE):
             terms, codes, rows = terms_of(batch.column("text"))
             langs, lang = _names(batch.column("lang"))
             sources, source = _names(batch.column("source"))
             n = max(len(terms), 1)
-            own, occurrence = np.unique(lang[rows] * n + codes, return_inverse=True)
-            which, code = own // n, own % n
-            keys, hashes = terms.take(pa.array(code)), key_hashes(langs, which, term_hashes(terms)[code])
+            # The distinct (group, term) of the slice; most terms occur in several groups, so keys are looked up once.
+            of_group, times = _counted((lang.astype(np.int64) * len(sources) + source)[rows] * n + codes)
+            group, code = of_group // n, of_group % n
+            own, _ = _counted(group // max(len(sources), 1) * n + code)
+            which, term = own // n, own % n
+            keys, hashes = terms.take(pa.array(term)), key_hashes(langs, which, term_hashes(terms)[term])
             dense = np.full(len(own), -1, np.int64)
             dealt = hashes.astype(np.int64) % shards
             for number, shard in tables.items():
                 mine = np.flatnonzero(dealt == number)
                 slots = shard.find(langs, which[mine], keys.take(pa.array(mine)), hashes[mine])
                 dense[mine[slots >= 0]] = shard.dense[slots[slots >= 0]]
-            place = dense[occurrence]
-            group = (lang * len(sources) + source)[rows] if len(rows) else rows
-            for g in np.unique(group):
+            place = dense[np.searchsorted(own, group // max(len(sources), 1) * n + code)]
+            borders = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+            for begin, end in zip(borders[:-1], borders[1:]):
+                g = int(group[begin])
                 name = (langs[g // len(sources)], sources[g % len(sources)])
-                at = place[(group == g) & (place >= 0)]
-                if not len(at):
-                    continue
-                if name not in groups:
-                    if size and size + 8 * counts[name[0]] > slot_bytes:
-                        yield from written()
-                        groups.clear()
-                        size = 0
+                hit = begin + np.flatnonzero(place[begin:end] >= 0)
+                if name not in groups and len(hit) and size + 8 * counts[name[0]] <= slot_bytes:
                     groups[name] = np.zeros(counts[name[0]], np.int64)
                     size += groups[name].nbytes
-                groups[name] += np.bincount(at, minlength=len(groups[name]))
-        yield from written()
+                if name in groups:
+                    groups[name][place[hit]] += times[hit]
+                elif len(hit):
+                    yield _count_rows(*name, terms.take(pa.array(code[hit])), times[hit])
+        for (lang_name, source_name), slots in groups.items():
+            hit = np.flatnonzero(slots)
+            yield _count_rows(lang_name, source_name, _stored_terms(tables, lang_name).take(pa.array(hit)), slots[hit])
 
     return run
 
 
+def _stored_terms(tables: dict[int, Shard], lang: str) -> pa.Array:
+    """The kept terms of a language in the order of its dense arrays."""
+    return pa.concat_arrays([pa.array([], pa.large_binary())] + [
+        shard.terms.take(pa.array(np.flatnonzero(shard.lang == shard.langs.index(lang))))
+        for shard in tables.values() if lang in shard.langs])
+
+
 def group_counts(docs: DataFrame, kept: DataFrame, shard_bytes: int = 4 << 20, pass_bytes: int = 64 << 20,
                  slot_bytes: int = 128 << 20) -> DataFrame:
     """(lang, source, term, n): how often each kept term occurs in each group, where it does."""
