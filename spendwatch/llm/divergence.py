@@ -230,9 +230,20 @@ def _recount(shards: int, held, slot_bytes: int):
         counts: dict[str, int] = {}
         tables = {row["shard"]: Shard(row, counts) for row in held.value}
         groups: dict[tuple[str, str], np.ndarray] = {}
-        size = 0
+        size = seen = 0
+
+        def written() -> Iterator[pa.RecordBatch]:
+            for (lang, source), slots in groups.items():
+                hit = np.flatnonzero(slots)
+                yield _count_rows(lang, source, _stored_terms(tables, lang).take(pa.array(hit)), slots[hit])
+
         for batch in slices(batches, "text", _SLICE):
             terms, codes, rows = terms_of(batch.column("text"))
+            seen += len(codes)
+            if seen >= 2**32:  # no slot may run over
+                yield from written()
+                groups.clear()
+                size, seen = 0, len(codes)
             langs, lang = _names(batch.column("lang"))
             sources, source = _names(batch.column("source"))
             n = max(len(terms), 1)
@@ -254,16 +265,14 @@ def _recount(shards: int, held, slot_bytes: int):
                 g = int(group[begin])
                 name = (langs[g // len(sources)], sources[g % len(sources)])
                 hit = begin + np.flatnonzero(place[begin:end] >= 0)
-                if name not in groups and len(hit) and size + 8 * counts[name[0]] <= slot_bytes:
-                    groups[name] = np.zeros(counts[name[0]], np.int64)
+                if name not in groups and len(hit) and size + 4 * counts[name[0]] <= slot_bytes:
+                    groups[name] = np.zeros(counts[name[0]], np.uint32)
                     size += groups[name].nbytes
                 if name in groups:
-                    groups[name][place[hit]] += times[hit]
+                    groups[name][place[hit]] += times[hit].astype(np.uint32)
                 elif len(hit):
                     yield _count_rows(*name, terms.take(pa.array(code[hit])), times[hit])
-        for (lang_name, source_name), slots in groups.items():
-            hit = np.flatnonzero(slots)
-            yield _count_rows(lang_name, source_name, _stored_terms(tables, lang_name).take(pa.array(hit)), slots[hit])
+        yield from written()
 
     return run
 

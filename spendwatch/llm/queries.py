@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm import (chat, divergence, forest, interpolation, langid, lexicon, linedup, neardup, negatives, packing,
+from spendwatch.llm import (chat, descent, divergence, forest, interpolation, langid, lexicon, linedup, neardup, negatives, packing,
                             parsing, wrappers)
 from spendwatch.llm.common import fold, table
 
@@ -101,6 +101,10 @@ def op10_consistent_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsing.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_neighbour_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_segment_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -178,5 +182,5 @@ from ranked where part = 'pair' or rank <= 200
 QUERIES = {f.__name__: f for f in (
     op1_prefix_forest, op2_deleted_interpolation, op3_partial_matching, op4_wrapper_inference, op5_sum_of_squares_packing,
     op6_chat_expressions, op7_lsh_forest, op8_line_suffix_ranks, op9_transducer_lexicon, op10_consistent_parsing,
-    op12_segment_bounds, op13_perfect_hash_recount)}
+    op11_neighbour_descent, op12_segment_bounds, op13_perfect_hash_recount)}
 ORACLES = {"op6_chat_expressions": OP6_SQL, "op12_segment_bounds": OP12_SQL, "op13_perfect_hash_recount": OP13_SQL}
