@@ -101,13 +101,11 @@ def test_perfect_hash_gives_each_key_a_slot_of_its_own():
     assert sorted(left) == [0, 100] and sorted(twice.slots(hashes[1:100])) == list(range(99))
 
 
-def test_equal_hashes_are_told_apart(monkeypatch, table):
+def test_equal_hashes_are_told_apart(monkeypatch):
     monkeypatch.setattr(divergence, "key_hashes", lambda langs, lang, hashes: np.full(len(lang), 7, np.uint64))
     rows = random_rows(60, 2)
-    frame = divergence.kept_terms  # the tasks fork from here, so they see the patch only in local runs of the functions
     batch = pa.RecordBatch.from_arrays([pa.array([x for x, _, _ in rows]), pa.array([s for _, s, _ in rows]),
                                         pa.array([t for _, _, t in rows])], ["lang", "source", "text"])
-    assert frame
     found = pa.Table.from_batches(divergence._frequencies([batch]))
     row = divergence._build_shard((pa.scalar(0),), found.select(["lang", "term", "hash"])).to_pylist()[0]
     shard = divergence.Shard(row, {})

@@ -42,7 +42,8 @@ def plain_links(rows, threshold=0.95):
     good = []
     for i, v in rows:
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v):
-            good.append((i, np.asarray(v, float) / np.linalg.norm(v)))
+            scaled = np.asarray(v, float) / max(map(abs, v))  # no overflow in the squares
+            good.append((i, scaled / np.linalg.norm(scaled)))
     links = {i: set() for i, _ in rows if i is not None}
     for a, (i, v) in enumerate(good):
         for j, w in good[a + 1:]:
