@@ -9,14 +9,6 @@ from spendwatch import settings
 from spendwatch.functions.hashing import key_partition
 
 
-def next_offsets(batch_id: int) -> Column:
-    """Offsets for the records of a batch: unique, above those of all earlier batches, with gaps as a topic may have.
-
-    No record has to wait for the ones before it, so a partition that takes most records is still written in parallel.
-    """
-    return F.lit(batch_id << 44) + F.monotonically_increasing_id()
-
-
 def initiated_records(payments: DataFrame, topic: str, value: Column, offset: Column | str = "offset",
                       record_ts: Column | str = "record_ts") -> DataFrame:
     """Payments with an assigned partition -> whole records (the envelope) keyed by user."""
@@ -36,14 +28,16 @@ def write_by_partition(records: DataFrame, path: str) -> None:
     clustered.write.mode("append").partitionBy("topic", "partition").parquet(path)
 
 
-def relay_records(outbox: DataFrame, batch_id: int, at: Column, partitions: int = settings.PARTITIONS) -> DataFrame:
-    """Outbox rows -> whole records (the envelope and the outbox id) for the topic each row names."""
+def relay_records(outbox: DataFrame, at: Column, partitions: int = settings.PARTITIONS) -> DataFrame:
+    """Outbox rows -> records for the topic each row names, without offsets yet, in the order of their creation.
+
+    `operators.numbering` numbers them; created_at and id order the records of a partition.
+    """
     keyless = F.pmod(F.xxhash64("id"), F.lit(partitions)).cast("int")
     return outbox.select(
         "id", F.col("kafka_topic").alias("topic"),
         F.coalesce(key_partition(F.col("kafka_key"), partitions, "kafka"), keyless).alias("partition"),
-        next_offsets(batch_id).alias("offset"), at.alias("record_ts"),
-        F.col("kafka_key").alias("key"), F.col("payload").alias("value"))
+        at.alias("record_ts"), F.col("kafka_key").alias("key"), F.col("payload").alias("value"), "created_at")
 
 
 def alert_records(alerts: DataFrame, topic: str = settings.TOPIC_ALERTS) -> DataFrame:
