@@ -81,9 +81,9 @@ def brute_force(rows, ttl):
     return result
 
 
-@pytest.mark.parametrize("slots", [1, 7, 1024, 10**9])
-def test_hot_and_cold_keys_equal_brute_force(spark, slots):
-    """Half of the deliveries share one key; the number of slots decides how much the first scan leaves."""
+@pytest.mark.parametrize("slots,key_claims", [(1, 0), (7, 0), (1024, 0), (10**9, 0), (7, 100), (1024, 10**6)])
+def test_hot_and_cold_keys_equal_brute_force(spark, slots, key_claims):
+    """Half of the deliveries share one key; slots and the bound on whole keys decide what the folds see."""
     rng = random.Random(7)
     base = dt.datetime(2026, 1, 1)
     rows = [
@@ -92,7 +92,7 @@ def test_hot_and_cold_keys_equal_brute_force(spark, slots):
         for i in range(400)]
     df = spark.createDataFrame(
         rows, "payment_id string, key string, record_ts timestamp, partition int, offset long, failed boolean")
-    result = dedup.idempotent_ttl(df, "key", failed="failed", slots=slots).collect()
+    result = dedup.idempotent_ttl(df, "key", failed="failed", slots=slots, key_claims=key_claims).collect()
     assert {r.payment_id: r.outcome for r in result} == brute_force(df.collect(), dt.timedelta(hours=24))
     assert {r.outcome for r in result} == {"processed", "duplicate", "failed"}
 
@@ -103,6 +103,12 @@ def test_keys_before_1970_and_null_keys(spark):
     assert outcomes(df) == ["processed", "duplicate", "processed", "processed", "duplicate", "processed"]
 
 
+def test_the_chain_runs_without_python(spark):
+    plan = dedup.idempotent_ttl(deliveries(spark, ("x", D + "00:00:00")), "key", failed="failed")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "InArrow" not in text and "InPandas" not in text
+
+
 def test_a_span_of_fifty_years_builds_at_once(spark):
     df = deliveries(spark, ("x", "1974-01-01 00:00:00"), ("x", "2024-01-01 00:00:00"), ("x", "2024-01-01 00:00:01"))
     began = time.time()
