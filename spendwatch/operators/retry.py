@@ -75,17 +75,32 @@ def dead_letters(state: DataFrame) -> DataFrame:
     )
 
 
+COUNTED = ["window_start", "original_topic", "error_class"]
+
+
+def dead_letter_counts(dead: DataFrame, size: str = "1 hour", ts: str = "failed_at") -> DataFrame:
+    """Dead letters per time window, original topic and error: counts that add up over parts of the table."""
+    return (
+        dead.groupBy(F.window(ts, size).alias("_w"), "original_topic", "error_class")
+        .agg(F.count(F.lit(1)).alias("dead_letters"), F.max("attempts").alias("max_attempts"))
+        .withColumn("window_start", F.col("_w.start")).select(*COUNTED, "dead_letters", "max_attempts")
+    )
+
+
+def summed_counts(counts: DataFrame, burst: int = 10) -> DataFrame:
+    """Partial counts added up; `burst` marks a systemic failure."""
+    return (
+        counts.groupBy(*COUNTED)
+        .agg(F.sum("dead_letters").alias("dead_letters"), F.max("max_attempts").alias("max_attempts"))
+        .withColumn("burst", F.col("dead_letters") >= burst)
+    )
+
+
 def dead_letter_monitor(
     dead: DataFrame,
     size: str = "1 hour",
     burst: int = 10,
     ts: str = "failed_at",
 ) -> DataFrame:
-    """Dead letters per original topic, error and time window; `burst` marks a systemic failure."""
-    return (
-        dead.groupBy(F.window(ts, size).alias("_w"), "original_topic", "error_class")
-        .agg(F.count(F.lit(1)).alias("dead_letters"), F.max("attempts").alias("max_attempts"))
-        .select(
-            F.col("_w.start").alias("window_start"), "original_topic", "error_class",
-            "dead_letters", "max_attempts", (F.col("dead_letters") >= burst).alias("burst"))
-    )
+    """Dead letters per original topic, error and time window, with the mark of a burst."""
+    return dead_letter_counts(dead, size, ts).withColumn("burst", F.col("dead_letters") >= burst)

@@ -6,17 +6,18 @@ import os
 import time
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import DATA, ts
 from spendwatch import schemas
 from spendwatch.functions.times import interval
-from spendwatch.operators import landing as landing_operators, windows
+from spendwatch.operators import landing as landing_operators, late, numbering, progress, retry, windows
 from spendwatch.operators.alerts import risk_alerts
 from spendwatch.plans import views
 from spendwatch.sinks import topics as topic_sink, transactional
 from spendwatch.sources import requests as request_source, tables, topics as topic_source
-from spendwatch.streaming import alerts, consumer, dedup, landing, monitor, relay
+from spendwatch.streaming import alerts, consumer, dedup, landing, ledger, monitor, relay
+from spendwatch.streaming.exact import ExactAlerts
 
 D = "2026-01-01 "
 COLUMNS = ["payment_id", "user_id", "amount", "record_ts", "partition", "offset"]
@@ -182,6 +183,14 @@ BINARY = {"payment_id": "string", "user_id": "string", "merchant_id": "string",
           "initiated_millis": "bigint"}
 
 
+def assert_dense(rows):
+    """Offsets of each topic partition are 0, 1, 2 and so on."""
+    found = {}
+    for r in rows:
+        found.setdefault((r.topic, r.partition), []).append(r.offset)
+    assert all(sorted(offsets) == list(range(len(offsets))) for offsets in found.values())
+
+
 def body(user, amount):
     return json.dumps({"userId": user, "merchantId": "m", "amount": amount, "currency": "USD"})
 
@@ -210,6 +219,7 @@ def test_intake_to_outbox_to_topic(spark, tmp_path):
         relay.relay_once(spark, intake_root, relay_root, poll, page=15)
         rows = tables.read_table(spark, relay_root, "sent", relay.SENT).collect()
         assert len(rows) == len({r.id for r in rows}) == sent
+        assert_dense(rows)
     assert {r.topic for r in rows} == {"payment.initiated.events"}
 
     # What the relay sent is a topic like any other: from request bodies to alerts.
@@ -224,6 +234,173 @@ def test_intake_to_outbox_to_topic(spark, tmp_path):
     assert all(len(r.triggering_payment_ids) == 1 for r in found)
 
 
+def outbox_batch(spark, root, batch_id, n, users=3):
+    rows = spark.range(0, n, 1, 1).select(
+        F.concat(F.lit(f"b{batch_id}-"), "id").alias("id"), F.lit("Payment").alias("aggregate_type"),
+        F.col("id").cast("string").alias("aggregate_id"), F.lit("E").alias("event_type"), F.lit("{}").alias("payload"),
+        F.lit("t").alias("kafka_topic"), F.concat(F.lit("u"), F.col("id") % users).alias("kafka_key"),
+        F.when(F.col("id") % 10 == 9, "FAILED").otherwise("PENDING").alias("status"),
+        F.timestamp_seconds(F.lit(1_760_000_000) + F.lit(batch_id) * 60 + F.col("id") % 7).alias("created_at"),
+        F.lit(None).cast("timestamp").alias("published_at"))
+    transactional.write_batch(spark, root, batch_id, {"outbox": rows})
+
+
+def test_offsets_stay_dense_over_polls_far_apart(spark, tmp_path):
+    outbox_root, relay_root = str(tmp_path / "intake"), str(tmp_path / "relay")
+    transactional.create_tables(spark, outbox_root, {"outbox": schemas.OUTBOX})
+    relay.create(spark, relay_root)
+    for batch, poll in enumerate((0, 524_288, 1_000_000)):
+        outbox_batch(spark, outbox_root, batch, 50)
+        relay.relay_once(spark, outbox_root, relay_root, poll)
+    sent = tables.read_table(spark, relay_root, "sent", relay.SENT)
+    rows = sent.collect()
+    assert len(rows) == len({r.id for r in rows}) == 135
+    assert_dense(rows)
+    assert progress.offset_gaps(sent).count() == 0
+    # Offsets follow the order of creation, over polls as well.
+    outbox = tables.read_table(spark, outbox_root, "outbox", schemas.OUTBOX)
+    wrong = sent.join(outbox.select("id", "created_at"), "id").select(
+        F.col("created_at") < F.max("created_at").over(
+            Window.partitionBy("topic", "partition").orderBy("offset")))
+    assert wrong.toDF("wrong").where("wrong").count() == 0
+
+
+def test_a_poll_reads_what_is_pending_not_the_history(spark, tmp_path):
+    outbox_root, relay_root = str(tmp_path / "intake"), str(tmp_path / "relay")
+    transactional.create_tables(spark, outbox_root, {"outbox": schemas.OUTBOX})
+    relay.create(spark, relay_root)
+    for day in range(30):
+        outbox_batch(spark, outbox_root, day, 20)
+    relay.relay_once(spark, outbox_root, relay_root, 0, page=30 * 18 - 3)
+    opened = []
+    for day in range(30, 33):
+        outbox_batch(spark, outbox_root, day, 20)
+        rows, newest = relay.open_rows(spark, outbox_root, relay_root, day)
+        opened.append((rows.count(), newest))
+        names = {f.split("/outbox/")[1].split("/")[0] for f in rows.inputFiles() if "/outbox/" in f}
+        assert names == {f"batch_id={day}"}
+        assert {f.split("/pending/")[1].split("/")[0] for f in rows.inputFiles() if "/pending/" in f} == {
+            f"batch_id={day - 1 if day > 30 else 0}"}
+        relay.relay_once(spark, outbox_root, relay_root, day, page=18)
+    assert opened == [(21, day) for day in range(30, 33)]
+    relay.relay_once(spark, outbox_root, relay_root, 33)
+    assert relay.open_rows(spark, outbox_root, relay_root, 34)[0].count() == 0
+    sent = tables.read_table(spark, relay_root, "sent", relay.SENT).collect()
+    assert len({r.id for r in sent}) == len(sent) == 33 * 18
+    assert_dense(sent)
+
+
+def test_a_poll_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    outbox_root, relay_root = str(tmp_path / "intake"), str(tmp_path / "relay")
+    relay.create(spark, relay_root)
+    outbox_batch(spark, outbox_root, 0, 20)
+
+    def die(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(transactional, "mark_committed", die)
+        with pytest.raises(RuntimeError, match="died"):
+            relay.relay_once(spark, outbox_root, relay_root, 0)
+    assert tables.read_table(spark, relay_root, "sent", relay.SENT).count() == 0
+    relay.relay_once(spark, outbox_root, relay_root, 0)
+    rows = tables.read_table(spark, relay_root, "sent", relay.SENT).collect()
+    assert len(rows) == 18
+    assert_dense(rows)
+
+
+def test_numbers_are_dense_over_very_many_tasks(spark):
+    records = spark.range(20_000).select(
+        F.lit("t").alias("topic"), F.when(F.col("id") % 3 == 0, 1).otherwise(0).alias("partition"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2100")
+    try:
+        staged = numbering.staged_in_order(records, ("id",))
+        assert staged.select("_range").distinct().count() > 2049  # more than an offset once had room for
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    ends = spark.createDataFrame([("t", 0, 7), ("gone", 0, 5)], relay.ENDS)
+    rows = numbering.dense_offsets(staged, ends).orderBy("id").collect()
+    assert [r.offset for r in rows if r.partition == 1] == list(range(6667))
+    assert [r.offset for r in rows if r.partition == 0] == list(range(7, 13_340))
+    assert {(r.topic, r.partition): r.end_offset for r in numbering.next_ends(staged, ends).collect()} == {
+        ("t", 0): 13_340, ("t", 1): 6667, ("gone", 0): 5}
+    nothing = numbering.staged_in_order(records.limit(0), ("id",))
+    assert numbering.dense_offsets(nothing, ends).count() == 0
+    assert numbering.next_ends(nothing, ends).count() == 2
+
+
+# Exact lateness
+
+def exact(spark, tmp_path, name="exact", **options):
+    job = ExactAlerts(spark, str(tmp_path / name), **options)
+    job.create()
+    return job
+
+
+def test_exact_lateness_drops_what_the_watermark_keeps(spark, topic, tmp_path, make_payments):
+    """The probe of `test_stream_accepts_what_the_next_batch_still_may`: here the payment at 00:04:59 is late."""
+    topic.send(make_payments(("u", "8000", D + "00:01:00"), ("v", "1", D + "00:05:30")).select(*COLUMNS))
+    topic.send(make_payments(("u", "8000", D + "00:04:59")).select(*COLUMNS))
+    topic.send(make_payments(("u", "16000", D + "00:06:00"), ("v", "1", D + "01:00:00")).select(*COLUMNS))
+    job = exact(spark, tmp_path)
+    for _ in range(2):
+        drain(job.start(topic.stream(), str(tmp_path / "c")))
+    assert [(r.user_id, str(r.total_amount)) for r in committed(spark, job.root, "alerts").collect()] == [("u", "16000.00")]
+    late_rows = committed(spark, job.root, "late_records").collect()
+    assert [(r.payment_id, r.stream_time) for r in late_rows] == [("p0", ts(D + "00:05:30"))]
+
+
+@pytest.mark.parametrize("cuts", [[], [500], [100, 101, 350, 700], list(range(90, 1000, 90))])
+def test_late_flags_do_not_depend_on_the_micro_batches(spark, cuts):
+    rows = views.disordered(views.payments(spark, DATA)).withColumn(
+        "topic", F.when(views.every(3), F.lit("replayed")).otherwise(F.col("topic"))).withColumn(
+        "partition", (F.col("event_id") % 2).cast("int"))
+    whole = late.flag_late(rows, size="1 hour").select("payment_id", "stream_time", "late")
+    carry, got = None, []
+    borders = [-1, *[2 * c for c in cuts], 10**9]
+    for low, high in zip(borders[:-1], borders[1:]):
+        batch = rows.where((F.col("offset") > low) & (F.col("offset") <= high))
+        got += late.flag_late(batch, size="1 hour", carry=carry).select("payment_id", "stream_time", "late").collect()
+        times = late.newest_times(batch, carry).collect()
+        carry = spark.createDataFrame(times, "topic string, partition int, newest timestamp")
+    assert sorted(got) == sorted(whole.collect())
+    assert any(r.late for r in got)
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_exact_alerts_equal_the_batch(spark, tmp_path, batches):
+    rows = views.disordered(views.payments(spark, DATA)).withColumn("partition", (F.col("event_id") % 2).cast("int")).select(
+        *COLUMNS, "topic").cache()
+    end = rows.agg(F.max("offset")).first()[0]
+    job = exact(spark, tmp_path, threshold=views.THRESHOLD, size="1 hour", block_offsets=100)
+    for i in range(batches):
+        part = rows.where(F.col("offset").between(i * end // batches + (i > 0), (i + 1) * end // batches))
+        job.process(part, i)
+        job.process(part, i)  # a replay does nothing
+    passed = rows.groupBy("partition").agg(F.max("record_ts").alias("newest")).agg(F.min("newest")).first()[0]
+    blocks = windows.spend_blocks(rows, size="1 hour", drop_late=True)
+    spend = windows.spend_of_blocks(blocks, "1 hour").where(
+        F.col("window_end") + interval("30 seconds") <= F.lit(passed))
+    graded = risk_alerts(spend, views.THRESHOLD)
+    want = windows.with_payment_ids(graded, windows.payment_id_blocks(graded, blocks))
+    assert alert_rows(stream_alerts(spark, job.root)) == alert_rows(want) != []
+    dropped = late.flag_late(rows, size="1 hour").where("late").select("payment_id").collect()
+    assert sorted(committed(spark, job.root, "late_records").select("payment_id").collect()) == sorted(dropped) != []
+
+
+def test_a_silent_partition_holds_windows_back_unless_told_otherwise(spark, tmp_path, make_payments):
+    first = make_payments(("u", "16000", D + "00:01:00"), ("w", "1", D + "00:01:00", 1), ("v", "1", D + "00:20:00"))
+    more = make_payments(("w", "20000", D + "00:02:00", 1))
+    for every, users in ((True, []), (False, ["u"])):
+        job = exact(spark, tmp_path, f"all-{every}", all_partitions=every)
+        job.process(first.select(*COLUMNS), 0)
+        assert [r.user_id for r in committed(spark, job.root, "alerts").collect()] == users
+        job.process(more.select(*COLUMNS), 1)  # on time on its own partition
+        assert committed(spark, job.root, "late_records").count() == (0 if every else 1)
+
+
 def test_processed_and_balance_appear_together(spark, tmp_path):
     root = str(tmp_path / "out")
     processed = spark.createDataFrame([("p", "u")], "payment_id string, user_id string")
@@ -325,6 +502,84 @@ def test_consumer_forgets_a_key_after_the_ttl(spark, shop, make_payments):
     assert done(shop) == ["a", "a"]
 
 
+def files_of(frame):
+    """Files of the ledger and the queue that a plan opens."""
+    names = ("/processed_messages/", "/ledger_hours/", "/waiting/", "/waiting_keys/")
+    return sum(any(n in f for n in names) for f in frame.inputFiles())
+
+
+def test_ledger_opens_a_day_whatever_the_history(spark, shop, make_payments):
+    opened, hours = [], [h for day in (0, 15, 30) for h in (24 * day, 24 * day + 1, 24 * day + 20)]
+    start = shop.clock.time
+    for n, hour in enumerate(hours):
+        shop.clock.time = start + dt.timedelta(hours=hour)
+        known = shop.known_keys(shop.memory(n), [3])
+        opened.append(files_of(known))
+        ids = [f"{hour}-{i}" for i in range(40)]
+        shop.process(make_payments(*[("u", "1", D + "00:00:00")] * 40, ids=ids).select(*COLUMNS).coalesce(1), n)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert all("bucket" in scan.split("PushedFilters")[0] for scan in plan.split("PartitionFilters: ")[1:] if "hour=" in scan)
+    # Nothing of two weeks ago, then the hours of the day itself: one file for each hour and bucket.
+    assert opened[3::3] == [0] * 2 and 0 < max(opened) <= 2 * ledger.BUCKETS
+    # Rewritten hours hold their keys for the whole ttl, and no longer.
+    for later, left in ((23, {hours[-2], hours[-1]}), (43, {hours[-1]}), (44, set())):
+        shop.clock.time = start + dt.timedelta(hours=hours[-3] + later, minutes=59 * (later == 23))
+        known = shop.known_keys(shop.memory(10**6), list(range(ledger.BUCKETS))).collect()
+        found = {int(r.message_key.split(":")[1].split("-")[0]) for r in known}
+        assert found == left | ({hours[-3]} if later == 23 else set())
+        assert len(known) == 40 * len(found)
+
+
+def test_waiting_payments_cost_nothing_before_they_are_due(spark, shop, make_payments):
+    shop.schedule["delay_seconds"], shop.longest_wait = 3600, 2 * 3600 * 1_000_000
+    many = make_payments(*[("retry-test-user", "1", D + "00:00:00")] * 200, ids=[f"r{i}" for i in range(200)]).select(*COLUMNS)
+    nothing = many.limit(0)
+    shop.process(many, 0)
+    for batch in (1, 2):
+        shop.clock.advance(minutes=10)
+        assert files_of(shop.memory(batch).due()) == 0
+        shop.process(nothing, batch)
+        waiting = spark.read.parquet(f"{shop.root}/waiting")
+        assert waiting.where(F.col("batch_id") >= 1).count() == 0  # nothing is written again
+        assert table_rows(shop, "attempts", schemas.ATTEMPTS).count() == 200
+    shop.process(many, 3)  # second deliveries of waiting payments start nothing
+    assert table_rows(shop, "attempts", schemas.ATTEMPTS).count() == 200
+    shop.clock.advance(minutes=40)
+    assert shop.memory(4).due().count() == 200
+    shop.process(many, 4)
+    assert table_rows(shop, "attempts", schemas.ATTEMPTS).groupBy("attempt").count().collect() == [(1, 200), (2, 200)]
+
+
+def test_a_batch_that_dies_leaves_no_trace_in_ledger_and_queue(spark, shop, make_payments, monkeypatch):
+    batch = make_payments(("u", "1", D + "00:00:00"), ("flaky", "1", D + "00:00:00"), ids=["a", "f"]).select(*COLUMNS)
+
+    def die(*_):
+        raise RuntimeError("died")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(transactional, "mark_committed", die)
+        with pytest.raises(RuntimeError, match="died"):
+            shop.process(batch, 0)
+    assert done(shop) == []
+    shop.process(batch, 0)
+    assert done(shop) == ["a"]
+    shop.clock.advance(seconds=1)
+    shop.process(batch, 1)
+    assert done(shop) == ["a", "f"]
+    assert table_rows(shop, "attempts", schemas.ATTEMPTS).count() == 2
+
+
+def test_a_retry_without_delay_runs_in_the_next_batch(spark, shop, make_payments):
+    shop.schedule["delay_seconds"] = 0
+    batch = make_payments(("retry-test-user", "1", D + "00:00:00"), ids=["r"]).select(*COLUMNS)
+    shop.process(batch, 0)
+    shop.clock.advance(microseconds=1)
+    shop.process(batch.limit(0), 1)
+    shop.clock.advance(days=40)  # a long time without batches
+    shop.process(batch.limit(0), 2)
+    assert dead(shop) == {"r": 3}
+
+
 def test_consumer_as_a_stream_survives_a_restart(spark, shop, topic, tmp_path):
     payments = views.redelivered(views.payments(spark, DATA).select(*COLUMNS, "event_id")).drop("event_id")
     topic.send(payments.where("offset < 500"))
@@ -432,7 +687,7 @@ def test_dead_letter_monitor_reads_on_its_own(spark, shop, tmp_path, make_paymen
 
     def counts():
         drain(monitor.start_monitor(spark, shop.root, root, str(tmp_path / "mc")))
-        rows = monitor.latest_counts(committed(spark, root, "dead_letter_counts").drop("try_id"))
+        rows = monitor.current_counts(committed(spark, root, "dead_letter_deltas"))
         return [(r.error_class, r.dead_letters, r.burst) for r in rows.collect()]
 
     assert counts() == [("DeserializationException", 1, False)]
@@ -440,6 +695,13 @@ def test_dead_letter_monitor_reads_on_its_own(spark, shop, tmp_path, make_paymen
     shop.process(more, 1)
     assert counts() == [("DeserializationException", 11, True)]
     assert counts() == [("DeserializationException", 11, True)]
+    letters = tables.read_table(spark, shop.root, "dead_letter", schemas.DEAD_LETTER)
+    assert retry.dead_letter_monitor(letters).collect() == monitor.current_counts(
+        committed(spark, root, "dead_letter_deltas")).collect()
+    # A micro-batch opens the batches it is about, not the table.
+    one = tables.read_commits(spark, shop.root).where("batch_id = 1")
+    opened = monitor.new_letters(spark, shop.root, one)
+    assert opened.count() == 10 and all("batch_id=1/" in f for f in opened.inputFiles())
 
 
 def test_alert_records_are_keyed_by_user(spark, make_payments):
