@@ -452,4 +452,16 @@ hops AS (
   FROM plain, range(5) AS r(i))
 SELECT user_id, window_start, window_start + INTERVAL 5 MINUTE AS window_end, (sum(amount) * 100)::BIGINT AS total,
   count(*) AS payments FROM hops GROUP BY ALL""",
+
+    "q03_relay_offsets": "WITH" + _OUTBOX + """
+SELECT id, kafka_topic AS topic, (kafka_key::BIGINT % 4)::INTEGER AS "partition",
+  row_number() OVER (PARTITION BY kafka_topic, kafka_key::BIGINT % 4 ORDER BY created_at, id) - 1 AS "offset"
+FROM outbox""",
+
+    "q15_late_in_batches": "WITH" + _PLAIN + "," + _DISORDERED + f"""
+SELECT payment_id, stream_time, {_START} + INTERVAL 5 MINUTE <= stream_time - INTERVAL 30 SECOND AS late FROM timed""",
+
+    "q18_monitor_deltas": "WITH" + _PLAIN + "," + _ATTEMPTS + """
+SELECT date_trunc('day', failed_at) AS window_start, original_topic, error_class, count(*) AS dead_letters,
+  max(attempt) AS max_attempts, count(*) >= 3 AS burst FROM latest WHERE disposition <> 'retry' GROUP BY ALL""",
 }

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from spendwatch import schemas, settings
 from spendwatch.functions.identifiers import dedup_key
 from spendwatch.operators import (
-    alerts, commits, compatibility, dedup, evolution, intake, landing, late, outbox, partitioning,
+    alerts, commits, compatibility, dedup, evolution, intake, landing, late, numbering, outbox, partitioning,
     progress, quarantine, retry, upkeep, windows)
 from spendwatch.plans import views
+from spendwatch.sinks import topics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -393,3 +394,44 @@ def late_by_topic(spark, sf_dir):
     rows = views.disordered(views.payments(spark, sf_dir)).withColumn(
         "topic", F.when(views.every(3), F.lit("replayed")).otherwise(F.col("topic")))
     return late.flag_late(rows).select("payment_id", "topic", "stream_time", "late")
+
+
+@query("q03_relay_offsets")
+def relay_offsets(spark, sf_dir):
+    """The outbox relayed in two polls: offsets of a topic partition are dense and follow the rows' creation."""
+    rows = views.outbox(spark, sf_dir).where("kafka_key IS NOT NULL")
+    records = topics.relay_records(rows, F.col("created_at")).withColumn(
+        "partition", (F.col("key").cast("bigint") % 4).cast("int"))
+    cut = at("1998-01-01 00:00:00")
+    first = numbering.staged_in_order(records.where(F.col("created_at") < cut), ("created_at", "id"))
+    nothing = spark.createDataFrame([], "topic string, partition int, end_offset bigint")
+    ends = numbering.next_ends(first, nothing)
+    second = numbering.staged_in_order(records.where(F.col("created_at") >= cut), ("created_at", "id"))
+    both = numbering.dense_offsets(first, nothing).unionByName(numbering.dense_offsets(second, ends))
+    return both.select("id", "topic", "partition", "offset")
+
+
+@query("q15_late_in_batches")
+def late_in_batches(spark, sf_dir):
+    """The records in eight micro-batches; each judges its own, with the newest times of the batches before."""
+    rows = views.disordered(views.payments(spark, sf_dir))
+    end = rows.agg(F.max("offset")).first()[0] + 1
+    flagged, carry = None, None
+    for i in range(8):
+        batch = rows.where((F.col("offset") >= i * end // 8) & (F.col("offset") < (i + 1) * end // 8))
+        judged = late.flag_late(batch, carry=carry).select("payment_id", "stream_time", "late")
+        flagged = judged if flagged is None else flagged.unionByName(judged)
+        carry = late.newest_times(batch, carry)
+    return flagged
+
+
+@query("q18_monitor_deltas")
+def monitor_deltas(spark, sf_dir):
+    """Dead letters counted in five parts, whose counts add up."""
+    dead = retry.dead_letters(retry.retry_state(retry.all_attempts(*views.attempts(spark, sf_dir))))
+    part = F.pmod(F.xxhash64("payment_id"), F.lit(5))
+    deltas = None
+    for i in range(5):
+        counts = retry.dead_letter_counts(dead.where(part == i), size="1 day")
+        deltas = counts if deltas is None else deltas.unionByName(counts)
+    return retry.summed_counts(deltas, burst=3)
