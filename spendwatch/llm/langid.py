@@ -25,7 +25,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from spendwatch.llm.common import ship, slices, stored, text_bytes
+from spendwatch.llm.common import free_name, ship, slices, stored, text_bytes
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -215,14 +215,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     tables = [table for _, table in groups]
     added = {"lang_pred": pa.string(), "score": pa.float64(), "bits_per_byte": pa.float64()}
     kept = [c for c in (keep if keep is not None else docs.columns) if c not in added]
-    inner = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).cast("string").alias("_text"))
+    own = free_name(docs, "_text")
+    inner = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").cast("string").alias(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.asarray([*languages, UNDETERMINED], dtype=object)
         only = tables[0].value if len(tables) == 1 else None
-        for batch in slices(batches, "_text", 2 << 20):
-            data, offsets = text_bytes(batch.column("_text"))
-            clear = np.fromiter((bool(t and _LETTER.search(t)) for t in batch.column("_text").to_pylist()), bool,
+        for batch in slices(batches, own, 2 << 20):
+            data, offsets = text_bytes(batch.column(own))
+            clear = np.fromiter((bool(t and _LETTER.search(t)) for t in batch.column(own).to_pylist()), bool,
                                 batch.num_rows)
             if not languages:
                 clear[:] = False
@@ -240,7 +241,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                         pa.array(np.where(clear, score, 0.0)), pa.array(per_byte, mask=~clear)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, *added])
 
-    schema = inner.drop("_text").schema
+    schema = inner.drop(own).schema
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("bits_per_byte", "double")):
         schema = schema.add(name, kind)
     return inner.mapInArrow(run, schema)

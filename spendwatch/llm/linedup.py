@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from spendwatch.llm.common import (BYTE_VALUES, IS_SPACE, partitions, segment_hash, ship, slices, stored, text_bytes)
+from spendwatch.llm.common import (
+    BYTE_VALUES, IS_SPACE, free_name, partitions, segment_hash, ship, slices, stored, text_bytes)
 
 MIN_WORDS = 50
 _DOC = ["_doc", "_doc2"]
@@ -134,21 +135,23 @@ def delete_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     """
     ship(docs.sparkSession)
     docs = docs.drop("n_lines", "n_deleted")
-    keyed = docs.withColumns({"_doc": F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text}`")),
-                              "_doc2": F.hash(F.col(f"`{text}`"), F.col(f"`{id_column}`"))})
-    plain = keyed.select(F.col(f"`{id_column}`").alias("id"), *_DOC, F.col(f"`{text}`").cast("string").alias("text"))
+    one, two, cuts = (free_name(docs, name) for name in (*_DOC, "_spans"))
+    keyed = docs.withColumns({one: F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text}`")),
+                              two: F.hash(F.col(f"`{text}`"), F.col(f"`{id_column}`"))})
+    plain = keyed.select(F.col(f"`{id_column}`").alias("id"), F.col(one).alias("_doc"), F.col(two).alias("_doc2"), F.col(f"`{text}`").cast("string").alias("text"))
     positions = stored(_positions(plain, min_words).dropDuplicates([*_DOC, "i"]), "lines")
     ranks = suffix_ranks(positions, min_words)
     spans = (repeated_windows(positions, ranks).groupBy(*_DOC)
-             .agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("_spans")))
-    joined = keyed.join(spans, _DOC, "left").drop(*_DOC)
+             .agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias(cuts))
+             .withColumnsRenamed({"_doc": one, "_doc2": two}))
+    joined = keyed.join(spans, [one, two], "left").drop(one, two)
     names = docs.columns
     schema = StructType(list(docs.schema.fields)).add("n_lines", "long").add("n_deleted", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, 4 << 20):
             texts, counts, deleted = [], [], []
-            for value, spans_ in zip(batch.column(text).to_pylist(), batch.column("_spans").to_pylist()):
+            for value, spans_ in zip(batch.column(text).to_pylist(), batch.column(cuts).to_pylist()):
                 cut, n, gone = without(value, [(s["start"], s["size"]) for s in spans_ or ()])
                 texts.append(cut)
                 counts.append(n)
