@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from spendwatch.llm import langid, linedup, neardup, packing
-from spendwatch.llm.common import shared_path
+from spendwatch.llm.common import free_name, shared_path
 from spendwatch.llm.queries import TOKENIZER
 
 
@@ -27,14 +27,17 @@ def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    kept = neardup.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    # Rows that share an id are one document; the least of them stays. Rows without an id are no copies of each other.
-    others = [c for c in docs.columns if c != "doc_id"]
-    single = named.groupBy("doc_id").agg(F.min(F.struct("text", *(c for c in others if c != "text"))).alias("row"))
-    single = single.select(*(F.col("doc_id") if c == "doc_id" else F.col(f"row.{c}").alias(c) for c in docs.columns))
-    return single.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates (similarity 0.8 or more), the one with the smallest id.
+
+    Rows that are equal in id and text are one document, of which any row stays; rows that share an id only are documents
+    of their own, as are those without an id.
+    """
+    key = free_name(docs, "key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = neardup.near_duplicates(keyed.select(key, "text"), id_column=key, percent=80).select(key, "component_id")
+    first = (keyed.select(key, F.col("doc_id").alias("id")).join(groups.distinct(), key)
+             .groupBy("component_id").agg(F.min(F.struct("id", key)).alias("first")))
+    return keyed.join(first.select(F.col(f"first.{key}").alias(key)), key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
