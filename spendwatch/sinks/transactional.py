@@ -23,10 +23,10 @@ CREATE = -1
 
 
 def create_tables(spark: SparkSession, root: str, tables: dict[str, StructType],
-                  layout: dict[str, list[str]] | None = None) -> None:
-    """Make empty committed tables, so that the first batch can read them. Calendar tables need none."""
+                  layout: dict[str, list[str]] | None = None, calendar: dict[str, list[str]] | None = None) -> None:
+    """Make empty committed tables, so that the first batch can read them."""
     empty = {name: spark.createDataFrame([], schema) for name, schema in tables.items()}
-    write_batch(spark, root, CREATE, empty, layout)
+    write_batch(spark, root, CREATE, empty, layout, calendar)
 
 
 def committed_try(spark: SparkSession, root: str, batch_id: int) -> str | None:

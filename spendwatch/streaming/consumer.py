@@ -21,7 +21,7 @@ from spendwatch.functions.times import interval
 from spendwatch.operators.dedup import idempotent_first, ledger_rows
 from spendwatch.operators.retry import dead_letters, retry_state
 from spendwatch.sinks.transactional import create_tables, is_committed, write_batch
-from spendwatch.streaming.ledger import CALENDAR, CLOCK, TRIES, WAITING, Memory, bucket
+from spendwatch.streaming.ledger import CALENDAR, TABLES, WAITING, Memory, bucket
 from spendwatch.streaming.triggers import AVAILABLE_NOW, Trigger
 
 # Takes payments, returns them with error_class and exception_message (both null on success).
@@ -55,7 +55,7 @@ class PaymentConsumer:
 
     def create(self) -> None:
         create_tables(self.spark, self.root, {
-            "attempts": schemas.ATTEMPTS, "dead_letter": schemas.DEAD_LETTER, "clock": CLOCK, "tries": TRIES})
+            "attempts": schemas.ATTEMPTS, "dead_letter": schemas.DEAD_LETTER, **TABLES}, calendar=CALENDAR)
 
     def memory(self, batch_id: int) -> Memory:
         return Memory.load(self.spark, self.root, batch_id, round(self.now().timestamp() * 1_000_000))

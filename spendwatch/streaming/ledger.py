@@ -36,9 +36,13 @@ TRIES = StructType([
 
 _HOUR, _BUCKET = StructField("hour", LongType(), True), StructField("bucket", IntegerType(), True)
 KEYED = StructType([*schemas.PROCESSED_MESSAGES.fields, _HOUR, _BUCKET])
+BY_MINUTE = StructType([*WAITING.fields, StructField("due_minute", LongType(), True)])
+KEYS_BY_HOUR = StructType([*WAITING_KEYS.fields, _HOUR, _BUCKET])
 CALENDAR = {
     "processed_messages": ["hour", "bucket"], "ledger_hours": ["hour", "bucket"], "waiting_keys": ["hour", "bucket"],
     "waiting": ["due_minute"]}
+TABLES = {"processed_messages": KEYED, "ledger_hours": KEYED, "waiting": BY_MINUTE, "waiting_keys": KEYS_BY_HOUR,
+          "clock": CLOCK, "tries": TRIES}
 
 
 def bucket(key: Column) -> Column:
@@ -91,7 +95,7 @@ class Memory:
 
     def waiting_keys(self, longest_wait: int, buckets: list[int]) -> DataFrame:
         """message_key of payments that are due after this batch, in these key buckets."""
-        rows = self._read("waiting_keys", StructType([*WAITING_KEYS.fields, _HOUR, _BUCKET]), "hour", self.hour,
+        rows = self._read("waiting_keys", KEYS_BY_HOUR, "hour", self.hour,
                           (self.at + longest_wait + 1) // HOUR)
         return rows.where(F.col("bucket").isin(buckets) & (F.col("next_attempt_at") > self.instant)).select("message_key")
 
@@ -99,8 +103,7 @@ class Memory:
         """Waiting payments that have become due since the batch before."""
         if self.before is None:
             return self.spark.createDataFrame([], WAITING)
-        minutes = StructType([*WAITING.fields, StructField("due_minute", LongType(), True)])
-        rows = self._read("waiting", minutes, "due_minute", self.before // MINUTE, self.at // MINUTE)
+        rows = self._read("waiting", BY_MINUTE, "due_minute", self.before // MINUTE, self.at // MINUTE)
         after = F.col("next_attempt_at") > F.timestamp_micros(F.lit(self.before))
         return rows.where(after & (F.col("next_attempt_at") <= self.instant)).select(*WAITING.fieldNames())
 
