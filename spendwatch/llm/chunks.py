@@ -13,8 +13,9 @@ WHITE = "\u0009-\u000d \u0085   -     　"
 _SPLIT = regex.compile(f"[^{WHITE}]+")
 # str.split() also cuts at these four, which the tokenizer takes for ordinary characters.
 _ODD = regex.compile("[\u001c-\u001f]")
-# Memory bound of the cache; beyond it the cache starts anew. It never changes a result.
+# Memory bounds of the cache; beyond them the cache starts anew. They never change a result.
 CACHE_CHUNKS = 400_000
+CACHE_IDS = 16 << 20
 
 
 def chunks_of(text: str) -> list[str]:
@@ -53,7 +54,7 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's ids start (one entry more than texts)."""
-        if len(self._numbers) > CACHE_CHUNKS:
+        if len(self._numbers) > CACHE_CHUNKS or len(self._flat) > CACHE_IDS:
             self._clear()
         known = len(self._numbers)
         number, parts, counts = self._numbers.__getitem__, [], [0]

@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import mmap
 import unicodedata
@@ -26,10 +27,12 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from spendwatch.llm.chunks import CACHE_CHUNKS, ChunkEncoder, Numbers, chunks_of, take_segments
+from spendwatch.llm.chunks import CACHE_CHUNKS, CACHE_IDS, ChunkEncoder, Numbers, chunks_of, take_segments
 from spendwatch.llm.common import shared_path, ship, slices, stored
 
 LEXICON_WORDS = 65_536
+# Longer words (in bytes) are always merged: the driver's automaton has a state for each byte of its words.
+LEXICON_WORD_BYTES = 128
 # Memory bound of the counting tasks: distinct chunks held before partial counts are handed on.
 COUNT_CHUNKS = 300_000
 _FIELDS = ("state_first", "labels", "targets", "skipped", "final", "out_first", "out_ids")
@@ -106,21 +109,34 @@ class WordTokenizer:
         letters = self._letters
         parts = list(word) if word.isascii() and word.isprintable() else [letters[b] for b in word.encode()]
         parts[-1] += self.end
-        rank, never = self.ranks.get, len(self.ranks)
-        order = [rank(pair, never) for pair in zip(parts, parts[1:])]
-        while order:
-            best = min(order)
-            if best == never:
-                break
-            i = order.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del order[i]
-            if i:
-                order[i - 1] = rank((parts[i - 1], parts[i]), never)
-            if i < len(order):
-                order[i] = rank((parts[i], parts[i + 1]), never)
+        rank, never, size = self.ranks.get, len(self.ranks), len(parts)
+        # A heap of (rank, place) over a linked list of parts; an entry counts while its place still has that rank.
+        order = [rank(pair, never) for pair in zip(parts, parts[1:])] + [never]
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        heap = [(r, i) for i, r in enumerate(order) if r != never]
+        heapq.heapify(heap)
+
+        def ranked(i: int) -> None:
+            j = after[i]
+            order[i] = rank((parts[i], parts[j]), never) if j < size else never
+            if order[i] != never:
+                heapq.heappush(heap, (order[i], i))
+
+        while heap:
+            best, i = heapq.heappop(heap)
+            if order[i] != best:
+                continue
+            j = after[i]
+            parts[i] += parts[j]
+            parts[j], order[j] = "", never
+            after[i] = after[j]
+            if after[i] < size:
+                before[after[i]] = i
+            ranked(i)
+            if before[i] >= 0:
+                ranked(before[i])
         vocab = self.vocab
-        return [vocab[p] for p in parts]
+        return [vocab[p] for p in parts if p]
 
     def _prepare(self) -> None:
         """Tables for merging many words at once: a hash table from a pair of ids to the rank of its merge."""
@@ -380,7 +396,7 @@ class WordEncoder:
         return flat, own
 
     def resolve(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._numbers) > CACHE_CHUNKS:
+        if len(self._numbers) > CACHE_CHUNKS or len(self._flat) > CACHE_IDS:
             self._clear()
         words, counts = self.tokenizer.words(chunks)
         known = len(self._numbers)
@@ -405,7 +421,8 @@ def count_words(docs: DataFrame, tokenizer_path: str, text: str = "text") -> Dat
             words: Counter = Counter()
             found, sizes = tokenizer.words(list(counts))
             for word, n in zip(found, np.repeat(np.fromiter(counts.values(), np.int64), sizes).tolist()):
-                words[word] += n
+                if len(word) <= LEXICON_WORD_BYTES:
+                    words[word] += n
             counts.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
@@ -442,7 +459,8 @@ def compile_lexicon(docs: DataFrame, tokenizer_path: str, text: str = "text",
     """Count, compile and publish. The driver holds at most `lexicon_words` words, and one row for each class of
     frequency (64 to an octave, so some thousands)."""
     tokenizer = WordTokenizer(tokenizer_path)
-    counted = stored(count_words(docs, tokenizer_path, text)
+    short = F.octet_length("word") <= LEXICON_WORD_BYTES
+    counted = stored(count_words(docs, tokenizer_path, text).where(short)
                      .withColumn("class", F.floor(F.log2("n") * 64).cast("int")), "words")
     least, room = None, lexicon_words
     for row in sorted(counted.groupBy("class").count().collect(), key=lambda r: -r["class"]):

@@ -132,3 +132,24 @@ def test_crc_of_a_piece(spark, tokenizer_path):
     row = packing.pack(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), tokenizer_path).select(
         "ids", F.crc32("ids").alias("crc")).orderBy("ids").first()
     assert row.crc == zlib.crc32(row.ids)
+
+
+def test_words_of_a_million_letters_equal_the_library(spark, tokenizer_path, library):
+    rng = random.Random(3)
+    table = [(1, "".join(rng.choice("acgt") for _ in range(1_000_000))), (2, "x" * 100_001 + " end"),
+             (3, "\u65e5\u672c" * 20_000), (4, "short words")]
+    docs = spark.createDataFrame(table, "doc_id long, text string").coalesce(1)
+    want = {i: library.encode(text, add_special_tokens=False).ids for i, text in table}
+    found = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in lexicon.encode_decode(docs, tokenizer_path).collect()}
+    assert found == want
+    joined = defaultdict(list)
+    for r in packing.pack(docs, tokenizer_path).orderBy("doc_id", "start").collect():
+        joined[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    assert joined == {i: [*ids, 2] for i, ids in want.items()}
+
+
+def test_heap_merges_equal_the_library(tokenizer_path, library):
+    tokenizer, rng = lexicon.WordTokenizer(tokenizer_path), random.Random(4)
+    for _ in range(300):
+        word = "".join(rng.choice("abcdeinorst") for _ in range(rng.randrange(1, 400)))
+        assert tokenizer.merge(word) == library.encode(word, add_special_tokens=False).ids
