@@ -32,15 +32,17 @@ def consumer_lag(log: DataFrame, commits: DataFrame) -> DataFrame:
     counts in full. Both sides are one row per partition before they meet.
     """
     ends = log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
-    groups = commits.select("group_id", "topic").distinct()
-    committed = commits.groupBy("group_id", "topic", "partition").agg(
-        F.max("committed_offset").alias("_committed"))
+    # One aggregation gives both the groups of a topic and their commits: a map holds an entry per partition of the topic.
+    entry = F.when(F.col("partition").isNotNull(), F.struct("partition", "_committed"))
+    committed = (
+        commits.groupBy("group_id", "topic", "partition").agg(F.max("committed_offset").alias("_committed"))
+        .groupBy("group_id", "topic").agg(F.map_from_entries(F.collect_list(entry)).alias("_by_partition"))
+    )
     return (
-        groups.join(ends, "topic")
-        .join(committed, ["group_id", "topic", "partition"], "left")
-        .withColumn("committed_offset", F.coalesce("_committed", F.lit(0)))
+        committed.join(ends, "topic")
+        .withColumn("committed_offset", F.coalesce(F.col("_by_partition")[F.col("partition")], F.lit(0)))
         .withColumn("lag", F.col("end_offset") - F.col("committed_offset"))
-        .drop("_committed")
+        .select("group_id", "topic", "partition", "end_offset", "committed_offset", "lag")
     )
 
 

@@ -173,10 +173,7 @@ def field_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def committed_offsets(rows: DataFrame) -> DataFrame:
     """Offset commits of two consumer groups: every 20th record, one group stopping early."""
-    every_20th = rows.where(F.col("event_id") % 20 == 19)
-    def group(name: str, records: DataFrame) -> DataFrame:
-        return records.select(
-            F.lit(name).alias("group_id"), "topic", "partition",
-            (F.col("offset") + 1).alias("committed_offset"))
-    slow = every_20th.where(F.col("record_ts") < F.lit("2024-01-20 00:00:00").cast("timestamp"))
-    return group("fraud-monitor", every_20th).unionByName(group("ledger", slow))
+    slow = F.when(F.col("record_ts") < F.lit("2024-01-20 00:00:00").cast("timestamp"), F.lit("ledger"))
+    groups = F.explode(F.array_compact(F.array(F.lit("fraud-monitor"), slow)))
+    return rows.where(F.col("event_id") % 20 == 19).select(
+        groups.alias("group_id"), "topic", "partition", (F.col("offset") + 1).alias("committed_offset"))
