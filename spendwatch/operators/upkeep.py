@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from spendwatch import settings
@@ -47,27 +50,36 @@ def retain_bytes(
     position: str = "offset",
     block_offsets: int = settings.BLOCK_OFFSETS,
 ) -> DataFrame:
-    """Newest rows of each partition whose sizes add up to at most `max_bytes`.
+    """Newest rows of each partition whose sizes add up to at most `max_bytes`; rows of one offset stay or go together.
 
-    Block totals, one row per partition and block, decide how many bytes are newer than a block. Rows meet their block's row
-    by partition and block, blocks beyond the limit go there, and the rest is summed inside its block: the
-    window reuses the join's shuffle, and no task orders more than a block.
+    Two searches find the first offset a partition keeps, and a filter on it does the rest, so kept rows are never shuffled.
+    Block totals, combined map side, give the block in which the limit falls; only that block's offsets and sizes are
+    ordered, at most `block_offsets` of them a partition. The cuts are one row per partition of a topic, which bounds what is
+    broadcast: name as `partition` only columns of which that is true. Rows without a partition value are a partition too.
     """
     keys = list(partition)
     newest_first = Window.partitionBy(*keys).orderBy(F.desc("_block")).rowsBetween(Window.unboundedPreceding, -1)
-    blocked = df.withColumn("_block", offset_block(position, block_offsets))
-    newer = (
-        blocked.groupBy(*keys, "_block").agg(F.sum(size).alias("_bytes"))
+    sized = df.select(*keys, F.col(position).alias("_position"), F.coalesce(F.col(size), F.lit(0)).alias("_size"),
+                      offset_block(position, block_offsets).alias("_block"))
+    edges = (
+        sized.groupBy(*keys, "_block").agg(F.sum("_size").alias("_bytes"))
         .withColumn("_newer", F.coalesce(F.sum("_bytes").over(newest_first), F.lit(0)))
-        .where(F.col("_newer") <= max_bytes)
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_block").alias("_k_block"), "_newer")
+        .where((F.col("_newer") <= max_bytes) & (F.col("_newer") + F.col("_bytes") > max_bytes))
+        .select(*keys, "_block", "_newer")
     )
-    same = F.col("_block") == F.col("_k_block")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(F.desc(position)).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        blocked.join(newer, same)
-        .withColumn("_sum", F.col("_newer") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
-        .where(F.col("_sum") <= max_bytes).select(*df.columns)
+    # The limit falls into the newest block that passes it; a partition without such a block keeps everything.
+    inside = Window.partitionBy(*keys).orderBy(F.desc("_position")).rangeBetween(Window.unboundedPreceding, 0)
+    cuts = (
+        _matched(sized, edges, [*keys, "_block"], "inner")
+        .withColumn("_over", F.col("_newer") + F.sum("_size").over(inside) > max_bytes)
+        .groupBy(*keys).agg(F.max(F.when(F.col("_over"), F.col("_position"))).alias("_cut"))
     )
+    return _matched(df, cuts, keys, "left").where(
+        F.col("_cut").isNull() | (F.col(position) > F.col("_cut"))).select(*df.columns)
+
+
+def _matched(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Rows with the other columns of `few`, one row per partition of a topic, null keys matching each other."""
+    named = few.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in few.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return rows.join(F.broadcast(named), same, how)

@@ -194,6 +194,15 @@ def test_consumer_lag_counts_untouched_partitions(spark):
     assert {r.partition: r.lag for r in rows} == {0: 2, 1: 10}
 
 
+def test_commits_without_a_partition_make_a_group_that_owes_all(spark):
+    commits = spark.createDataFrame(
+        [("g", "t", None, 5), ("h", "t", 0, 2), ("h", "t", 0, 1)],
+        "group_id string, topic string, partition int, committed_offset long")
+    log = spark.createDataFrame([("t", 0, 0), ("t", 0, 3)], "topic string, partition int, offset long")
+    assert {(r.group_id, r.committed_offset, r.lag) for r in progress.consumer_lag(log, commits).collect()} == {
+        ("g", 0, 4), ("h", 2, 2)}
+
+
 @pytest.mark.parametrize("block", [1, 4, 10**6])
 def test_offset_gaps(spark, block):
     offsets = [0, 1, 4, 5, 6, 17, 18, 40]

@@ -164,6 +164,29 @@ def test_size_retention_equals_brute_force(spark, block, limit):
     assert sorted(r.offset for r in kept.collect()) == sorted(expected)
 
 
+def test_size_retention_of_shared_offsets_null_sizes_and_null_partitions(spark):
+    log = spark.createDataFrame(
+        [("t", None, 0, 5), ("t", None, 1, 5), ("t", None, 2, None), ("t", 1, 7, 4), ("t", 1, 7, 4), ("t", 1, 8, 3)],
+        "topic string, partition int, offset long, bytes int")
+
+    def kept(limit, block=1):
+        rows = upkeep.retain_bytes(log, "bytes", limit, block_offsets=block).collect()
+        return sorted((r.partition or 0, r.offset) for r in rows)
+    for block in (1, 100):
+        assert kept(7, block) == [(0, 1), (0, 2), (1, 8)]  # one row of offset 7 would fit, two do not
+        assert kept(11, block) == [(0, 0), (0, 1), (0, 2), (1, 7), (1, 7), (1, 8)]
+    assert upkeep.retain_bytes(log.limit(0), "bytes", 1).collect() == []
+
+
+def test_size_retention_shuffles_no_kept_row(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.range(50).selectExpr("'t' AS topic", "0 AS partition", "id AS offset", "1 AS bytes", "'x' AS payload").write.parquet(path)
+    plan = upkeep.retain_bytes(spark.read.parquet(path), "bytes", 10)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Scan parquet" in line]
+    assert len(shuffles) == 3 and sum("payload" in line for line in shuffles) == 1
+    assert "payload" not in plan[plan.index("Exchange"):]
+
+
 def test_uncommitted_batches_are_invisible(spark, tmp_path):
     root = str(tmp_path / "store")
     rows = spark.createDataFrame([("u", Decimal("1.00"))], schemas.BALANCES)
