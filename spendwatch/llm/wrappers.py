@@ -2,14 +2,15 @@
 
 A wrapper is a regular expression without alternatives over the token stream of a page: elements, text slots, fixed
 texts, optional (`?`) and repeated (`+`, `*`) groups. Pages of a host are aligned one after the other: neighbours of the
-same shape fold into a repeated group, an element that one side lacks becomes optional, and texts that differ become a
-slot. An element is named with those words of its class, id and role that recur on its host's pages, so a wrapper is as
+same shape fold into a repeated group, a mismatch is resolved by the nearest next element that both sides have, what is
+passed over becomes optional, and texts that differ become a slot. An element is named with those words of its class, id and role that recur on its host's pages, so a wrapper is as
 large as the host's templates. Inference is two-phased: every task aligns the pages it reads, then the few different
 results of a host are aligned with each other, in groups first, so a host with a third of all pages costs no task more
 than others.
 
-A page keeps its main text in its `article` or `main` elements, or, without any, in the innermost element that holds most
-of the text that the wrapper has in slots at the page's paths. A page's text is all text there, outside the regions that
+The main text lies in the innermost element that holds most of the text that the wrapper has in slots at the page's
+paths; `article` and `main` only set its borders, or decide where the wrapper comes from too few pages. A page's text is
+all text there, outside the regions that
 are menus, headers, footers, sidebars, notices, adverts, forms or reader comments, and without texts of any
 length that stay the same on most pages that have this element. Copies of a page count as one page.
 """
@@ -19,11 +20,14 @@ from __future__ import annotations
 import hashlib
 import html
 import json
+import math
+from bisect import bisect_left
 from collections.abc import Iterator, Set
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from spendwatch.llm.common import ship, slices
 
@@ -47,12 +51,14 @@ _TOKEN = regex.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/
                        r"([^<]+|<)", regex.S)
 _MARKED = regex.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", regex.I)
 _WORD = regex.compile(r"[a-z]+")
-_SPACE = regex.compile(r"\s+")
+_SPACE = regex.compile(r"\s{2,}|[^\S ]")  # white space that is not one blank
+_END = {name: regex.compile(rf"</{name}\s*>", regex.I) for name in RAW}
 MAX_DEPTH = 60  # a wrapper does not look deeper; extraction has no such limit
-_WIDE = 40_000  # beyond this many comparisons, unlike neighbours fold into repeated groups without order
+_SHARE = 0.7  # an element with this share of the text that differs holds the main text
 
 _LONG = 200  # longer texts stand in wrappers by their hash
-_SALTS = 16  # rows of a host are dealt over so many joins
+_SALTS = 16  # words of a host are dealt over so many joins
+_SALT_BYTES = 256 << 20  # pages of a host are dealt over one join for each so many bytes
 _RECURS = 0.01  # a word of class, id or role is part of labels if this share of a host's pages has it
 _PAGES = 16  # the pages that a text item names: those of the least hashes, the same sample for all items of a host
 _FEW, _MOST = 3, 0.5  # a fixed text stands on so many pages, and on more than this share of those with its main place
@@ -79,13 +85,14 @@ def tokens(page: str, words: Set[str] | None = None) -> Iterator[tuple[str, str,
             if match[1]:
                 yield "close", name, False
                 continue
-            marks = [next(v for v in m.groups()[1:] if v is not None).lower() for m in _MARKED.finditer(match[3])]
+            marks = [next(v for v in m.groups()[1:] if v is not None).lower()
+                     for m in _MARKED.finditer(match[3])] if match[3] else ()
             # camelCase or dashed names are taken apart, so `site-footer` names a footer.
             parts = {w for mark in marks for w in _WORD.findall(mark)}
             named = {w for mark in marks for w in mark.replace(".", " ").split() if words is None or w in words}
             yield "open", name + "".join("." + w for w in sorted(named)), bool(name in DROPPED or parts & REGION)
             if name in RAW and not match[3].endswith("/"):
-                end = regex.compile(rf"</{name}\s*>", regex.I).search(page, at)
+                end = _END[name].search(page, at)
                 at = end.end() if end else size
                 yield "close", name, False
             elif name in VOID or match[3].endswith("/") and name not in ENDS_PARAGRAPH | INLINE | MAIN:
@@ -111,12 +118,8 @@ def walk(page: str, words: Set[str] | None = None) -> Iterator[tuple[str, tuple[
     """Texts and block borders of a page: (`text`, path, text, in a dropped region) and (`open` or `close`, path, label,
     dropped). Inline elements are no part of paths."""
     names: list[str] = []
-    labels: list[str] = []
+    around: list[tuple[str, ...]] = []  # the path outside each open element
     drops: list[bool] = [False]
-
-    def path() -> tuple[str, ...]:
-        return tuple(x for x, n in zip(labels, names) if n not in INLINE)
-
     here: tuple[str, ...] = ()
     for kind, value, dropped in tokens(page, words):
         if kind == "text":
@@ -125,14 +128,14 @@ def walk(page: str, words: Set[str] | None = None) -> Iterator[tuple[str, tuple[
         name = value.split(".")[0]
         for _ in range(_stack_changes(names, kind, name)):
             last = names.pop()
-            labels.pop()
+            outside = around.pop()
             if last not in INLINE:
-                here = path()
+                here = outside
                 yield "close", here, last, drops[-1]
             drops.pop()
         if kind == "open":
             names.append(name)
-            labels.append(value)
+            around.append(here)
             drops.append(drops[-1] or dropped)
             if name not in INLINE:
                 yield "open", here, value, drops[-1]
@@ -231,30 +234,51 @@ def _optional(item: Item) -> Item:
     return item if item[0] == "#" else [item[0], "*" if item[1] in ("+", "*") else "?", item[2]]
 
 
+def _places(items: list[Item]) -> dict[str, list[int]]:
+    places: dict[str, list[int]] = {}
+    for i, item in enumerate(items):
+        places.setdefault(item[0], []).append(i)
+    return places
+
+
 def align(a: list[Item], b: list[Item]) -> list[Item]:
-    """Two sequences as one: what matches in order is merged, what one side lacks becomes optional."""
+    """Two sequences as one, in order: what matches is merged, what one side lacks becomes optional.
+
+    At a mismatch either side may be passed over up to the element that the other has there. The side that passes over
+    fewer elements which are not optional yet is chosen, `a` in a tie: a page whose elements a long wrapper already has
+    as optional ones adds none. A step is a search in the sorted places of a label, so sequences of any length cost
+    little more than their length.
+    """
     if [x[0] for x in a] == [x[0] for x in b]:
         return [merge(x, y) for x, y in zip(a, b)]
-    if len(a) * len(b) > _WIDE:
-        groups: dict[str, Item] = {}
-        for item in (*a, *b):
-            groups[item[0]] = merge(groups[item[0]], item) if item[0] in groups else item
-        return [x if x[0] == "#" else [x[0], "*", x[2]] for x in groups.values()]
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
+    sides = []
+    for items in (a, b):
+        needed = list(accumulate((x[0] != "#" and x[1] not in ("?", "*") for x in items), initial=0))
+        sides.append((items, _places(items), needed))
+
+    def passed(side: int, start: int, label: str) -> tuple[float, int]:
+        items, places, needed = sides[side]
+        found = places.get(label, ())
+        k = bisect_left(found, start)
+        return (needed[found[k]] - needed[start], found[k]) if k < len(found) else (math.inf, len(items))
+
     out, i, j = [], 0, 0
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
+    while i < len(a) and j < len(b):
+        if a[i][0] == b[j][0]:
             out.append(merge(a[i], b[j]))
             i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
-            out.append(_optional(a[i]))
-            i += 1
+            continue
+        cost_a, next_a = passed(0, i, b[j][0])
+        cost_b, next_b = passed(1, j, a[i][0])
+        if cost_a == cost_b == math.inf:  # neither side has the other's element
+            next_a, next_b = i + 1, j + 1
+        elif cost_a <= cost_b:
+            next_b = j
         else:
-            out.append(_optional(b[j]))
-            j += 1
+            next_a = i
+        out += [_optional(x) for x in (*a[i:next_a], *b[j:next_b])]
+        i, j = next_a, next_b
+    out += [_optional(x) for x in (*a[i:], *b[j:])]
     return fold(out)
 
 
@@ -274,36 +298,46 @@ def _is_main(label: str) -> bool:
     return label.split(".")[0] in MAIN
 
 
-def main_paths(items: list[Item], page_paths: set[tuple[str, ...]]) -> set[tuple[str, ...]]:
-    """Paths of the elements that hold the main text of a page with these paths: its outermost `article` and `main`,
-    or, if it has none, the innermost element with seven tenths of the text that differs at such paths, as it is on the
-    host's average page. A host may have several templates; the paths of a page say which of them counts. Where fewer
-    than `_FEW` pages have such paths, nothing tells the main text from the rest, and all of it counts."""
-    found = {p for p in page_paths if p and _is_main(p[-1]) and not any(_is_main(x) for x in p[:-1])}
-    if found:
-        return found
+def main_paths(items: list[Item], page_paths: Set[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Paths of the elements that hold the main text of a page with these paths.
+
+    The wrapper decides: the place is the innermost element with `_SHARE` of the text that differs at the page's paths,
+    as it is on the host's average page. A host may have several templates; the paths of a page say which of them counts.
+    The outermost `article` and `main` elements set the borders: they replace a place inside them, a place around them
+    unless it has `_SHARE` of its text outside them, and the whole page if no element has that share. Where fewer than `_FEW` pages have such paths, nothing tells the
+    main text from the rest: these elements count, or, without any, all of the page."""
+    named = {p for p in page_paths if p and _is_main(p[-1]) and not any(_is_main(x) for x in p[:-1])}
     seen: set[int] = set()
 
-    def mass(level: list[Item], path: tuple[str, ...]) -> float:
+    def mass(level: list[Item], path: tuple[str, ...], inside: Set[tuple[str, ...]] = frozenset({()})) -> float:
+        counts = path in inside
         total = 0.0
         for item in level:
             if item[0] == "#":
-                seen.update(item[3])
-                if item[1] is None or len(item[3]) < _FEW:
-                    total += item[2] / _page_count(item[3])
-            elif (*path, item[0]) in page_paths:
-                total += mass(item[2], (*path, item[0]))
+                if counts:
+                    seen.update(item[3])
+                    if item[1] is None or len(item[3]) < _FEW:
+                        total += item[2] / _page_count(item[3])
+            elif (own := (*path, item[0])) in page_paths:
+                total += mass(item[2], own, frozenset({own}) if counts else inside)
         return total
 
     total, path, level = mass(items, ()), (), items
     if len(seen) < _FEW:
-        return {()}
-    while True:
+        return named or {()}
+    while total and not (path and _is_main(path[-1])):
         inner = next((i for i in level if i[0] != "#" and (own := (*path, i[0])) in page_paths
-                      and mass(i[2], own) >= 0.7 * total), None)
-        if inner is None or not total or inner[0].split(".")[0] in ENDS_PARAGRAPH - {"div", "section", "table"}:
-            return {path}
+                      and mass(i[2], own, frozenset({own})) >= _SHARE * total), None)
+        if inner is None or inner[0].split(".")[0] in ENDS_PARAGRAPH - MAIN - {"div", "section", "table"}:
+            break
         path, level = (*path, inner[0]), inner[2]
+    if path in named:
+        # Neighbours with such names, as the parts of one article, belong to it.
+        return {p for p in named if p[:-1] == path[:-1]}
+    inside = {p for p in named if p[:len(path)] == path}
+    if inside and (not path or mass(level, path, inside) >= (1 - _SHARE) * mass(level, path, frozenset({path}))):
+        return inside
+    return {path}
 
 
 def fixed_texts(items: list[Item], places: set[tuple[str, ...]]) -> set[tuple[tuple[str, ...], str]]:
@@ -373,9 +407,23 @@ def _host(url: str):
     return F.lower(F.coalesce(F.regexp_extract(F.col(f"`{url}`").cast("string"), r"^[^:/?#]+://([^/?#]+)", 1), F.lit("")))
 
 
-def _salted(df: DataFrame) -> DataFrame:
+def _salted(df: DataFrame, salts: Column | None = None) -> DataFrame:
     """Every row once for each salt."""
-    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    last = F.lit(_SALTS - 1) if salts is None else salts - 1
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
+
+
+def large_hosts(rows: DataFrame) -> DataFrame:
+    """(host, salts) of the hosts with more than `_SALT_BYTES` of pages: at most one row for each so many bytes of all pages,
+    so this table may be broadcast (100 TB give 400,000 rows at the most, of a host's name and a number)."""
+    return (rows.groupBy("host").agg(F.sum(F.octet_length("html")).alias("bytes")).where(F.col("bytes") > _SALT_BYTES)
+            .select("host", F.ceil(F.col("bytes") / _SALT_BYTES).cast("int").alias("salts")))
+
+
+def _for_hosts(df: DataFrame, large: DataFrame) -> DataFrame:
+    """The row of each host once for each of its salts."""
+    sized = df.join(F.broadcast(large), "host", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    return _salted(sized, F.col("salts")).drop("salts")
 
 
 def host_words(rows: DataFrame) -> DataFrame:
@@ -409,10 +457,12 @@ def _merge_rows(rows: Iterator[tuple[str, int]]) -> tuple[str, int]:
 
 
 def _rows(pages: DataFrame, id_column: str, url: str, page: str) -> DataFrame:
-    """(id, url, html, host, salt) of every page."""
-    return (pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{url}`").alias("url"),
-                         F.col(f"`{page}`").cast("string").alias("html"), _host(url).alias("host"))
-            .withColumn("salt", F.pmod(F.xxhash64("id", "html"), F.lit(_SALTS)).cast("int")))
+    """(id, url, html, host, salt) of every page: a host has one salt, a large one as many as `large_hosts` gives it."""
+    rows = pages.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{url}`").alias("url"),
+                        F.col(f"`{page}`").cast("string").alias("html"), _host(url).alias("host"))
+    salt = F.pmod(F.xxhash64("id", "html"), F.coalesce("salts", F.lit(1))).cast("int")
+    return (rows.join(F.broadcast(large_hosts(rows)), "host", "left")
+            .select("id", "url", "html", "host", salt.alias("salt")))
 
 
 def infer_wrappers(rows: DataFrame, flush_chars: int = 20_000_000) -> DataFrame:
@@ -454,7 +504,7 @@ def infer_wrappers(rows: DataFrame, flush_chars: int = 20_000_000) -> DataFrame:
 
     schema = "host string, wrapper string, pages long"
     # All columns go along, so the shuffle of this join is the one that `extract` reads again.
-    parts = (rows.join(_salted(host_words(rows)), ["host", "salt"], "left").mapInArrow(partial, schema)
+    parts = (rows.join(_for_hosts(host_words(rows), large_hosts(rows)), ["host", "salt"], "left").mapInArrow(partial, schema)
              .groupBy("host", "wrapper").agg(F.sum("pages").alias("pages")))
     some = (parts.withColumn("part", F.pmod(F.xxhash64("wrapper"), F.lit(16)))
             .groupBy("host", "part").applyInArrow(combine(["host", "part"]), schema))
@@ -465,7 +515,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", page
     """One row per page: the id column, url, text. A null or empty html gives an empty text; a null url or one without
     a host counts as host ''; repeated rows stay; other columns are ignored. Pages of any length are read whole."""
     rows = _rows(pages, id_column, url, page)
-    joined = rows.join(_salted(infer_wrappers(rows)), ["host", "salt"], "left").select(
+    joined = rows.join(_for_hosts(infer_wrappers(rows), large_hosts(rows)), ["host", "salt"], "left").select(
         "id", "url", "html", "wrapper", "pages")
     kind = rows.schema["id"].dataType.simpleString()
 

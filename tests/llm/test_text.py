@@ -1,6 +1,7 @@
 """Language ID, chat formatting, page extraction and fingerprints against plain versions."""
 
 import hashlib
+import html as references
 import json
 import math
 import re
@@ -242,7 +243,6 @@ def test_wrapper_size_follows_templates(spark):
 
 
 def test_pages_match_a_plain_version(spark):
-    import html as references
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     texts = {r.page_id: r.text for r in wrappers.extract(df).collect()}
     for row in df.collect():
@@ -252,6 +252,113 @@ def test_pages_match_a_plain_version(spark):
         assert texts[row.page_id] == want
 
 
+def without_names(page):
+    """The page with no name that tells what a region is: its wrapper alone can."""
+    for name, letter in (("article", "c"), ("nav", "n"), ("footer", "f")):
+        page = re.sub(rf"<{name}\b[^>]*>", f"<div class={letter}>", page).replace(f"</{name}>", "</div>")
+    return page.replace('class="ad"', "class=x")
+
+
+def plain_main_text(pages):
+    """Main texts of a host's pages, inferred without wrappers: the element path with seven tenths of the letters of blocks
+    that are not the same on half of the pages."""
+    parsed = []
+    for page in pages:
+        blocks, path, text = [], [], ""
+        for token in re.findall(r"<style.*?</style>|<script.*?</script>|<!.*?>|<[^>]*>|[^<]+", page, re.S):
+            tag = re.match(r"<(/?)([a-z][a-z0-9]*)(?: class=(\w))?", token)
+            if not token.startswith("<"):
+                text += token
+            elif tag and tag[2] == "br":
+                text += " "
+            elif tag and tag[2] not in ("b", "a", "style", "script", "meta"):
+                blocks.append((tuple(path), " ".join(references.unescape(text).split())))
+                text = ""
+                if tag[1]:
+                    del path[len(path) - 1 - path[::-1].index(tag[2] + (tag[3] or "")) if tag[2] != "div" else
+                             max(i for i, x in enumerate(path) if x[:3] == "div"):]
+                else:
+                    if tag[2] == "p" and path[-1] == "p":
+                        path.pop()
+                    path.append(tag[2] + (tag[3] or ""))
+        blocks.append((tuple(path), " ".join(references.unescape(text).split())))
+        parsed.append([(p, t) for p, t in blocks if t and "head" not in p])
+    seen = Counter(b for blocks in parsed for b in set(blocks))
+    open_ = [[(p, t) for p, t in blocks if seen[p, t] * 2 <= len(pages)] for blocks in parsed]
+    masses = Counter()
+    for blocks in open_:
+        for p, t in blocks:
+            for i in range(len(p) + 1):
+                masses[p[:i]] += len(t)
+    best = max((p for p, n in masses.items() if n >= 0.7 * masses[()] and p[-1:] not in (("p",), ("h1",))), key=len)
+    return [" ".join(t for p, t in blocks if p[:len(best)] == best) for blocks in open_]
+
+
+def test_wrappers_alone_tell_the_main_text(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("host", wrappers._host("url"))
+    hosts = {}
+    for row in df.collect():
+        hosts.setdefault(row.host, []).append((row.page_id, row.url, row.html))
+    hosts = {h: rows for h, rows in hosts.items() if len(rows) >= 4}
+    want, given, bare = {}, [], []
+    for rows in hosts.values():
+        pages = [without_names(page) for _, _, page in rows]
+        want.update(zip((i for i, _, _ in rows), plain_main_text(pages)))
+        bare += [(i, url, page) for (i, url, _), page in zip(rows, pages)]
+        given += rows
+    schema = "page_id long, url string, html string"
+    texts = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(bare, schema)).collect()}
+    assert texts == want and len(want) > 100
+    named = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(given, schema)).collect()}
+    assert texts == named
+    for i, _, page in bare:
+        assert wrappers.main_text(page, None, 0) != want[i]
+
+
+def test_the_wrapper_outweighs_small_articles(spark):
+    words = [f"w{i} " * 90 for i in range(8)]
+    pages = [f"<body><article class=lead>Teaser {i}</article><div class=content><p>{w}</p><p>{w}</p></div></body>"
+             for i, w in enumerate(words)]
+    assert extracted(spark, pages) == [(w + w).strip() for w in words]
+    assert wrappers.main_text(pages[0], None, 0) == "Teaser 0"
+    pages = [p.replace("<p>", "<article>").replace("</p>", "</article>") for p in pages]
+    assert extracted(spark, pages) == [(w + w).strip() for w in words]
+
+
+def test_alignment_keeps_order_at_any_length():
+    def items(labels):
+        return [[x, "", []] for x in labels]
+
+    a = items(["h", "p"] * 3000 + ["end"])
+    b = items(["h", "p"] * 2500 + ["mid", "end"])
+    whole = wrappers.align(a, b)
+    assert len(whole) == len(a) + 1  # both are in it, in order, and nothing else
+    for side in (a, b):
+        left = iter(whole)
+        assert all(any(x[0] == y[0] for y in left) for x in side)
+    assert wrappers.align(whole, a) == whole and wrappers.align(whole, b) == whole
+    # Pages that mix few labels leave a wrapper of bounded length.
+    rng = np.random.default_rng(5)
+    lengths, whole = [], items("abcde")
+    for _ in range(600):
+        whole = wrappers.align(whole, items(rng.choice(list("abcde"), 12).tolist()))
+        lengths.append(len(whole))
+    assert lengths[-1] <= 12 * 12 and lengths[-1] - lengths[299] <= 12
+
+
+def test_salts_of_large_hosts(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "_SALT_BYTES", 2000)
+    pages = [(i, f"http://{'hot' if i % 3 else i}.example/", f"<body><div class=top>Brand</div><div class=c><p>{f'w{i} ' * 30}</p>"
+              "</div></body>") for i in range(120)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = wrappers._rows(df, "page_id", "url", "html")
+    salts = {r.host: r.n for r in rows.groupBy("host").agg(F.countDistinct("salt").alias("n")).collect()}
+    assert salts.pop("hot.example") > 4 and set(salts.values()) == {1}
+    texts = {r.page_id: r.text for r in wrappers.extract(df).collect()}
+    assert len(texts) == 120
+    assert all(texts[i] == f"w{i} " * 29 + f"w{i}" for i in range(120) if i % 3)
+
+
 # Fingerprints
 
 def test_equal_substrings_share_interior_phrases():
