@@ -117,14 +117,21 @@ def early_signal(
     threshold: str = settings.RISK_THRESHOLD,
     ts: str = "record_ts",
     size: str = settings.WINDOW,
-    block: str = "1 minute",
+    block: str | None = None,
+    block_rows: int = settings.SIGNAL_BLOCK_ROWS,
 ) -> DataFrame:
     """Running total at each payment, before its window closes, and whether it is over the threshold.
 
     Payments follow each other by time, then partition, then offset: offsets of different partitions cannot be compared.
+    A window is cut into blocks of about `block_rows` payments, however they crowd in time, or into spans of `block`.
     """
-    rows = ordered.running(
-        with_window_start(payments, ts, size), GROUP, "amount", "running_total", position=ts,
-        ties=("partition", "offset"), block=F.window(ts, block)["start"])
+    rows = with_window_start(payments.dropna(subset=["user_id"]), ts, size)
+    columns = rows.columns
+    if block is None:
+        rows = ordered.even_blocks(rows, GROUP, (ts, "partition", "offset"), block_rows, "_cut")
+    else:
+        rows = rows.withColumn("_cut", F.window(ts, block)["start"])
+    totals = ordered.running(
+        rows, GROUP, "amount", "running_total", position=ts, ties=("partition", "offset"), block=F.col("_cut"))
     limit = F.lit(threshold).cast("decimal(18,2)")
-    return rows.withColumn("over_threshold", F.col("running_total") > limit)
+    return totals.select(*columns, "running_total").withColumn("over_threshold", F.col("running_total") > limit)

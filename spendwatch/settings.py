@@ -45,3 +45,5 @@ BLOCK_OFFSETS = 1_000_000
 
 # Offsets covered by one row of an alert's payment ids.
 ID_BLOCK_OFFSETS = 10_000
+# Payments of one block of the running totals of a window.
+SIGNAL_BLOCK_ROWS = 1_000_000

@@ -177,6 +177,46 @@ def test_order_is_time_then_partition_then_offset(make_payments):
     assert [str(r.running_total) for r in running] == ["1.00", "9001.00", "18001.00"]
 
 
+def plain_running(rows):
+    total, want = {}, {}
+    for r in sorted(rows, key=lambda r: (r.record_ts, r.partition, r.offset)):
+        key = r.user_id, r.record_ts.timestamp() // 300
+        total[key] = want[r.payment_id] = total.get(key, 0) + r.amount
+    return want
+
+
+@pytest.mark.parametrize("instants", [1, 20, 5000])
+def test_running_totals_of_a_crowded_minute(spark, instants):
+    """A third of all payments is one user's, in one minute and down to one instant: no block is large."""
+    rows = spark.range(9000).select(
+        F.format_string("p%d", "id").alias("payment_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.format_string("u%d", F.col("id") % 40)).alias("user_id"),
+        (F.col("id") % 97 + 1).cast("decimal(18,2)").alias("amount"),
+        F.timestamp_micros(F.lit(1_735_689_600_000_000) + F.when(F.col("id") % 3 == 0, F.col("id") % instants)
+                           .otherwise(F.pmod(F.col("id") * 7919, F.lit(600)) * 1_000_000)).alias("record_ts"),
+        (F.col("id") % 5).cast("int").alias("partition"), F.col("id").alias("offset"))
+    want = plain_running(rows.collect())
+    for block_rows in (16, 160, 10**6):
+        done = windows.early_signal(rows, block_rows=block_rows)
+        assert done.columns == [*rows.columns, "window_start", "running_total", "over_threshold"]
+        assert {r.payment_id: r.running_total for r in done.collect()} == want
+    keyed = windows.with_window_start(rows)
+    order = ("record_ts", "partition", "offset")
+    cut = ordered.even_blocks(keyed, windows.GROUP, order, 160, "cut")
+    sizes = [r["count"] for r in cut.groupBy(*windows.GROUP, "cut").count().where("user_id = 'hot'").collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 4 * 160 and 3000 / 160 / 2 < len(sizes) < 3000 / 160 * 2
+    numbers = [r.cut for r in cut.where("user_id = 'hot'").orderBy(*order).collect()]
+    assert numbers == sorted(numbers)
+
+
+def test_even_blocks_of_nulls_and_copies(make_payments):
+    rows = make_payments(("u", "1", D + "00:00:00"), ("u", "2", D + "00:00:01"), ("u", "4", D + "00:00:02"))
+    rows = rows.unionAll(rows).withColumn("offset", F.when(F.col("offset") != 1, F.col("offset")))
+    cut = ordered.even_blocks(rows, ["user_id"], ("record_ts", "offset"), 1, "cut")
+    assert cut.count() == 6 and cut.columns == [*rows.columns, "cut"]
+    assert ordered.even_blocks(rows.limit(0), ["user_id"], ("offset",), 5, "cut").collect() == []
+
+
 def test_topics_have_their_own_stream_time(make_payments):
     payments = make_payments(("u", "1", D + "00:00:00"), ("u", "1", D + "01:00:00"), ("u", "1", D + "00:00:02")).withColumn(
         "topic", F.when(F.col("offset") == 1, "a").otherwise("b"))
