@@ -15,7 +15,7 @@ PROMOTIONS = {
 
 
 def _readable(writer: str, reader: str, strict_types: bool) -> Column:
-    """Whether a reader's view of a field can read what the writer wrote; null means field absent."""
+    """Whether a reader's view of a field can read what the writer wrote, where both have the field."""
     wrote, reads = F.col(f"{writer}.type"), F.col(f"{reader}.type")
     types_fit = wrote == reads
     if not strict_types:
@@ -26,40 +26,57 @@ def _readable(writer: str, reader: str, strict_types: bool) -> Column:
         F.coalesce(f"{reader}.symbols", F.array().cast("array<string>")))) == 0
     # A reader with a default symbol reads any symbol it does not know as that one.
     symbols_fit = (wrote != "enum") | (reads != "enum") | known | F.col(f"{reader}.enum_default").isNotNull()
-    return (
-        F.when(F.col(reader).isNull(), F.lit(True))
-        .when(F.col(writer).isNull(), F.col(f"{reader}.has_default"))
-        .otherwise(types_fit & symbols_fit)
-    )
+    return types_fit & symbols_fit
 
 
-def schema_verdict(catalog: DataFrame, strict_types: bool = False) -> DataFrame:
+def schema_verdict(catalog: DataFrame, strict_types: bool = False, gathered: bool = False) -> DataFrame:
     """Verdict per subject and version against the existing version before it; versions may have gaps.
 
-    Each field row takes part twice, as the new side of its own version and as the old side of the next one. All
-    steps need the rows of a subject together, so the catalog is shuffled once.
+    All steps need the rows of a subject together, so the catalog is shuffled once, or not at all if it is `gathered`:
+    partitioned by subject already. A task sorts its fields by name and version, where each meets the one it had before,
+    and then the answers, a few flags per field, by version; everything else reads these two orders row by row.
     """
+    # By subject alone, as the next window: Spark would put a finer one behind it, where each needs its own sort again.
+    of_field = Window.partitionBy("subject").orderBy("field", "version")
+    by_version = Window.partitionBy("subject").orderBy("version")
+    of_version = Window.partitionBy("subject", "version")
     side = F.struct("type", "has_default", "symbols", "enum_default")
-    nothing = F.lit(None).cast(catalog.select(side.alias("s")).schema["s"].dataType)
-    later = Window.partitionBy("subject").orderBy("version").rangeBetween(1, Window.unboundedFollowing)
-    roles = F.explode(F.array(
-        F.struct(F.col("version").alias("at"), nothing.alias("old"), side.alias("new")),
-        F.struct(F.col("_next").alias("at"), side.alias("old"), nothing.alias("new")))).alias("_role")
-    fields = (
-        catalog.repartition("subject").withColumn("_next", F.min("version").over(later))
-        .select("subject", "field", roles).where("_role.at IS NOT NULL")
-        .groupBy("subject", F.col("_role.at").alias("version"), "field")
-        .agg(F.max("_role.old").alias("old"), F.max("_role.new").alias("new"))
+    same_before, same_after = (F.col("field").eqNullSafe(F.col(c)) for c in ("_field_before", "_field_after"))
+    answers = (
+        (catalog if gathered else catalog.repartition("subject"))
+        .groupBy("subject", "field", "version").agg(F.max(side).alias("new"))
+        .withColumns({
+            "_field_before": F.lag("field").over(of_field), "_field_after": F.lead("field").over(of_field),
+            "_from": F.lag("version").over(of_field), "_until": F.lead("version").over(of_field),
+            "old": F.lag("new").over(of_field)})
+        .select(
+            "subject", "version", F.when(same_before, F.col("_from")).alias("_from"),
+            F.when(same_after, F.col("_until")).alias("_until"),
+            (same_before & F.col("old").isNotNull()).alias("_had"), F.col("new.has_default").alias("_default"),
+            _readable("old", "new", strict_types).alias("_back"), _readable("new", "old", strict_types).alias("_forth"))
+    )
+    # A field that its next version lacks counts there: it is dropped after this one.
+    earlier = by_version.rangeBetween(Window.unboundedPreceding, -1)
+    later = by_version.rangeBetween(1, Window.unboundedFollowing)
+    kept = F.col("_had") & F.col("_from").eqNullSafe(F.col("_before"))
+    dropped = ~F.col("_until").eqNullSafe(F.col("_next"))
+    versions = (
+        answers.withColumns({
+            "_before": F.max("version").over(earlier), "_next": F.min("version").over(later),
+            "_rank": F.rank().over(by_version), "_row": F.row_number().over(by_version)})
+        .withColumns({
+            "_own_back": F.bool_and(F.when(kept, F.col("_back")).otherwise(F.col("_default"))).over(of_version),
+            "_own_forth": F.bool_and(F.when(kept, F.col("_forth")).otherwise(True)).over(of_version),
+            "_drops": F.bool_or(F.when(dropped, True)).over(of_version),
+            "_drops_forth": F.bool_and(F.when(dropped, F.col("_default"))).over(of_version)})
+        .where("_row = _rank")  # one row per version
     )
+    # Without a null the smaller of two flags is their conjunction; nulls are left out, as bool_and does.
     pairs = (
-        fields.groupBy("subject", "version")
-        .agg(
-            F.bool_and(_readable("old", "new", strict_types)).alias("backward"),
-            F.bool_and(_readable("new", "old", strict_types)).alias("forward"),
-            F.bool_or(F.col("old").isNotNull()).alias("_has_old"),
-            F.bool_or(F.col("new").isNotNull()).alias("_has_new"),
-        )
-        .where("_has_old AND _has_new")
+        versions.withColumns({
+            "backward": F.least("_own_back", F.lag("_drops").over(by_version)),
+            "forward": F.least("_own_forth", F.lag("_drops_forth").over(by_version))})
+        .where("_rank > 1 AND version IS NOT NULL")
     )
     verdict = (
         F.when(F.col("backward") & F.col("forward"), "FULL")

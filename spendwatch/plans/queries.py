@@ -304,19 +304,19 @@ def read_committed(spark, sf_dir):
 
 @query("q23_schema_compat")
 def schema_compat(spark, sf_dir):
-    return compatibility.schema_verdict(views.field_catalog(spark, sf_dir))
+    return compatibility.schema_verdict(views.field_catalog(spark, sf_dir), gathered=True)
 
 
 @query("q23_schema_compat_strict")
 def schema_compat_strict(spark, sf_dir):
-    return compatibility.schema_verdict(views.field_catalog(spark, sf_dir), strict_types=True)
+    return compatibility.schema_verdict(views.field_catalog(spark, sf_dir), strict_types=True, gathered=True)
 
 
 @query("q23_deleted_versions")
 def deleted_versions(spark, sf_dir):
     """Every third version was deleted from the registry, so the one before may be further back."""
     left = views.field_catalog(spark, sf_dir).where("(subject + version) % 3 <> 0")
-    return compatibility.schema_verdict(left)
+    return compatibility.schema_verdict(left, gathered=True)
 
 
 @query("q24_evolved_read")

@@ -152,13 +152,18 @@ def outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def field_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`lineitem` as a field catalog: an order is a subject, a line number a version."""
+    """`lineitem` as a field catalog: an order is a subject, a line number a version. Partitioned by subject.
+
+    The number of partitions follows the rows, so that what a task sorts does not grow with the table.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = max(-(-lines.count() // settings.CATALOG_TASK_ROWS), spark.sparkContext.defaultParallelism)
     kind = F.element_at(
         F.array(*[F.lit(t) for t in ("int", "long", "string", "bytes", "enum")]),
         (F.col("l_suppkey") % 5 + 1).cast("int"))
     symbols = F.transform(
         F.sequence(F.lit(0), (F.col("l_quantity") % 4).cast("int")), lambda i: F.concat(F.lit("S"), i))
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = lines.repartition(tasks, "l_orderkey").select(
         F.col("l_orderkey").alias("subject"), F.col("l_linenumber").alias("version"),
         F.concat(F.lit("f"), F.col("l_partkey") % 3).alias("field"),
         kind.alias("type"), (F.col("l_returnflag") == "N").alias("has_default"),
@@ -166,7 +171,7 @@ def field_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((kind == "enum") & (F.col("l_linestatus") == "O"), "S0").alias("enum_default"))
     # A field name occurs once per version: keep the smallest row.
     return (
-        rows.groupBy("subject", "version", "field")
+        rows.groupBy("subject", "field", "version")
         .agg(F.min(F.struct("type", "has_default", "symbols", "enum_default")).alias("_f"))
         .select("subject", "version", "field", "_f.*"))
 

@@ -47,3 +47,5 @@ BLOCK_OFFSETS = 1_000_000
 ID_BLOCK_OFFSETS = 10_000
 # Payments of one block of the running totals of a window.
 SIGNAL_BLOCK_ROWS = 1_000_000
+# Rows of the field catalog that one task gathers; its partitions are counted by it.
+CATALOG_TASK_ROWS = 1_000_000

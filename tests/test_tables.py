@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import ts
 from spendwatch import schemas
 from spendwatch.operators import compatibility, evolution, intake, landing, outbox, quarantine, upkeep
+from spendwatch.plans import views
+from spendwatch.plans.queries import QUERIES
 from spendwatch.sinks import topics as topic_sink, transactional
 from spendwatch.sources import requests as request_source, tables, topics as topic_source
 
@@ -256,6 +258,42 @@ def test_deleted_versions_and_enum_defaults(spark):
     assert [(r.version, r.backward, r.forward) for r in verdicts] == [(3, True, True), (7, True, True)]
 
 
+def lineitem(spark, folder, orders=100):
+    """Four versions of each order, two fields each; returns the folder of the tables."""
+    spark.range(orders * 8).selectExpr(
+        "id div 8 AS l_orderkey", "id AS l_partkey", "id * 7 AS l_suppkey", "CAST(id % 4 + 1 AS int) AS l_linenumber",
+        "CAST(id % 50 AS double) AS l_quantity", "IF(id % 3 = 0, 'N', 'R') AS l_returnflag",
+        "IF(id % 2 = 0, 'O', 'F') AS l_linestatus", "TIMESTAMP '2024-01-01 00:00:00' AS l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_a_field_catalog_has_as_many_partitions_as_its_rows_ask_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("spendwatch.settings.CATALOG_TASK_ROWS", 20, raising=False)
+    assert views.field_catalog(spark, lineitem(spark, tmp_path)).rdd.getNumPartitions() == 40
+
+
+@pytest.mark.parametrize("name", ["q23_schema_compat"])
+def test_verdicts_sort_the_catalog_twice_after_one_shuffle(spark, tmp_path, name):
+    plan = QUERIES[name](spark, lineitem(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("Exchange "), plan.count("Sort [")) == (1, 2)
+
+
+def test_a_version_without_a_number_comes_first_and_copies_count_once(spark):
+    rows = [
+        ("s", None, "a", "int", False, None, None),
+        ("s", 1, "a", "long", False, None, None), ("s", 1, "a", "int", True, None, None),  # the greater one holds
+        ("s", 4, None, "int", None, None, None), ("s", 4, None, "int", None, None, None),
+        ("t", 2, "a", "int", False, None, None),
+    ]
+    catalog = spark.createDataFrame(rows, schemas.FIELD_CATALOG)
+    for given in ({}, {"gathered": True}):
+        found = compatibility.schema_verdict(catalog.repartition(3, "subject"), **given).orderBy("version").collect()
+        # At 4, `a` is dropped (and had no default), and a field is new of which nobody knows whether it has one.
+        assert [(r.subject, r.version, r.backward, r.forward, r.verdict) for r in found] == [
+            ("s", 1, True, False, "BACKWARD"), ("s", 4, True, False, "BACKWARD")]
+
+
 def test_versions_read_as_one_table(spark, tmp_path):
     old, new = str(tmp_path / "v1"), str(tmp_path / "v2")
     spark.sql("SELECT 'a' AS payment_id, 'u' AS user_id").write.parquet(old)
