@@ -273,7 +273,7 @@ def test_a_field_catalog_has_as_many_partitions_as_its_rows_ask_for(spark, tmp_p
     assert views.field_catalog(spark, lineitem(spark, tmp_path)).rdd.getNumPartitions() == 40
 
 
-@pytest.mark.parametrize("name", ["q23_schema_compat", "q23_schema_compat_strict"])
+@pytest.mark.parametrize("name", ["q23_schema_compat", "q23_schema_compat_strict", "q23_deleted_versions"])
 def test_verdicts_sort_the_catalog_twice_after_one_shuffle(spark, tmp_path, name):
     plan = QUERIES[name](spark, lineitem(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
     assert (plan.count("Exchange "), plan.count("Sort [")) == (1, 2)
