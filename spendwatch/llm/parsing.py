@@ -96,6 +96,15 @@ def phrases(data: np.ndarray, offsets: np.ndarray, levels: int = LEVELS) -> list
     return out
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The different values in ascending order, by one sort: np.unique fills a hash table first, which took more than half
+    of the time of this module."""
+    values = np.sort(values)
+    first = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
+
+
 def sketches(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, levels: int = LEVELS) -> list[np.ndarray]:
     """The fingerprint of each text, as sorted unsigned 32-bit values."""
     n = len(offsets) - 1
@@ -106,7 +115,7 @@ def sketches(data: np.ndarray, offsets: np.ndarray, size: int = SIZE, levels: in
         doc = np.repeat(np.arange(n, dtype=np.uint64), np.diff(at))
         key = doc << np.uint64(32) | names >> np.uint64(32)
         keys.append(key[few[doc.astype(np.int64)]] if level == 1 else key)
-    key = np.unique(np.concatenate(keys))
+    key = _distinct(np.concatenate(keys))
     at = np.searchsorted(key, np.arange(n + 1, dtype=np.uint64) << np.uint64(32))
     values = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     return [values[a:min(b, a + size)] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
@@ -120,11 +129,13 @@ def likeness(a: np.ndarray, b: np.ndarray, size: int = SIZE) -> float:
     """Dice's measure from the smallest `size` values of the union; two empty texts are alike."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    union = np.union1d(a, b)
+    both = np.sort(np.concatenate((a, b)))
+    twice = np.flatnonzero(both[1:] == both[:-1])  # a value of both fingerprints stands twice
+    union = len(both) - len(twice)
     if len(a) >= size or len(b) >= size:  # beyond `size` values, a sketch is silent
-        union = union[:size]
-    common = int(np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).sum())
-    j = common / len(union)
+        union = min(union, size)
+    common = np.count_nonzero(twice - np.arange(len(twice)) < union)
+    j = common / union
     return 2 * j / (1 + j)
 
 

@@ -5,6 +5,7 @@ import html as references
 import json
 import math
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -404,6 +405,39 @@ def test_fingerprints_of_edits(table_of):
     assert alone.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest() and alone.near_next == 1
 
 
+def test_likeness_and_sketches_equal_plain_sets():
+    rng = np.random.default_rng(5)
+    for size in (1, 8, 64):
+        for a, b in ((0, 0), (0, 3), (5, 5), (5, 64), (64, 64)):
+            a, b = (np.unique(rng.integers(0, 90, n).astype(np.uint32))[:size] for n in (a, b))
+            union = sorted({*a.tolist(), *b.tolist()})
+            if max(len(a), len(b)) >= size:
+                union = union[:size]
+            j = len({*a.tolist()} & {*b.tolist()} & {*union}) / len(union) if len(a) and len(b) else float(len(a) == len(b))
+            assert parsing.likeness(a, b, size) == 2 * j / (1 + j)
+    texts = ["", "b", "same text here", "", "long " * 4000, bytes(rng.integers(97, 105, 9000, dtype=np.uint8)).decode()]
+    levels = parsing.phrases(*text_bytes(pa.array(texts)))
+    for i, found in enumerate(parsing._of_texts(texts)):
+        few = levels[1][1][i + 1] - levels[1][1][i] < parsing.FEW
+        names = {int(x) >> 32 for names, at in levels[0 if few else 1:] for x in names[at[i]:at[i + 1]]}
+        assert found.tolist() == sorted(names)[:parsing.SIZE]
+
+
+def test_choosing_the_smallest_names_costs_less_than_the_parse():
+    rng = np.random.default_rng(6)
+    data, offsets = rng.integers(97, 123, 2 << 20, dtype=np.uint8), np.linspace(0, 2 << 20, 1001).astype(np.int64)
+
+    def seconds(work):
+        spent = []
+        for _ in range(3):
+            began = time.process_time()
+            work(data, offsets)
+            spent.append(time.process_time() - began)
+        return min(spent)
+
+    assert seconds(parsing.sketches) < 1.8 * seconds(parsing.phrases)
+
+
 def test_edits_stay_near(spark, documents):
     rows = parsing.compare_with_edits(spark.createDataFrame([d[:2] for d in documents], "doc_id long, text string")).collect()
     long = [r for r in rows if r.n_chars >= 400]
