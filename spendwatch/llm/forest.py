@@ -6,7 +6,8 @@ of each length with its own. It starts at the longest prefix, and all trees asce
 their ranges hold `share` of the rows (and at least `least`); these candidates are compared exactly.
 
 The forest is cut into shards of about `shard_rows` different vectors, each with its own trees; every query, in
-blocks, asks every shard. Every row is indexed. Equal vectors are indexed once, with their k + 1 smallest ids, so a
+blocks, asks every shard. At most about `pass_bytes` of queries are broadcast at a time; more take more passes, which
+build the trees anew. Every row is indexed. Equal vectors are indexed once, with their k + 1 smallest ids, so a
 vector with very many copies costs as much as any other.
 
 `share` sets recall against cost: on 64 independent normal components, the hardest case, 64 trees and a share of 0.35
@@ -15,13 +16,12 @@ find 0.90 to 0.95 of the 5 nearest, 0.5 about 0.98; data with structure needs fa
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from spendwatch.llm.common import ship, stored
+from spendwatch.llm.common import PASS_BYTES, in_passes, partitions, pass_counts, ship, stored
 
 _SEED = 20_11
 
@@ -67,6 +67,49 @@ def candidates(strings: np.ndarray, order: np.ndarray, query: np.ndarray, bits:
     return found
 
 
+_FOUND = pa.schema([("dim", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("id", pa.int64()),
+                    ("score", pa.float64())])
+
+
+class Shard:
+    """The trees of a shard's vectors, each vector with its `kept` smallest ids."""
+
+    def __init__(self, group: pa.Table, trees: int, bits: int, kept: int):
+        group = group.sort_by([("key1", "ascending"), ("key2", "ascending")])
+        self.trees, self.bits, self.kept = trees, bits, kept
+        self.matrix = np.stack(group["vector"].to_numpy())
+        self.norms = np.sqrt((self.matrix * self.matrix).sum(axis=1))
+        strings = hash_strings(self.matrix, trees, bits).T
+        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.strings = np.take_along_axis(strings, self.order, 1)
+        self.ids = np.full((len(self.matrix), kept), -1, np.int64)
+        self.sizes = np.zeros(len(self.matrix), np.int8)
+        for i, own in enumerate(group["ids"].to_pylist()):
+            self.ids[i, :len(own)], self.sizes[i] = own, len(own)
+
+    def ask(self, row: dict, share: float, least: int) -> dict[str, list]:
+        """The best `kept` ids for each query of a block."""
+        dim, n, kept = row["dim"], len(self.matrix), self.kept
+        query = np.frombuffer(row["queries"]).reshape(-1, dim)
+        keys = (np.frombuffer(row[c], np.int64).tolist() for c in ("key1", "key2"))
+        out: dict[str, list] = {"dim": [], "key1": [], "key2": [], "id": [], "score": []}
+        wanted = min(n, max(least, int(share * n)))
+        lists = candidates(self.strings, self.order, hash_strings(query, self.trees, self.bits), self.bits, wanted)
+        for key1, key2, own, near in zip(*keys, query, lists):
+            score = (self.matrix[near] @ own) / (self.norms[near] * np.sqrt(own @ own))
+            if len(near) > kept:  # the best `kept` vectors, and all that tie with the last of them
+                good = score >= np.partition(score, -kept)[-kept]
+                near, score = near[good], score[good]
+            near_of = np.repeat(np.arange(len(near)), self.sizes[near])
+            flat = np.concatenate([self.ids[i, :self.sizes[i]] for i in near])
+            top = np.lexsort((flat, -score[near_of]))[:kept]
+            out["id"] += flat[top].tolist()
+            out["score"] += score[near_of[top]].tolist()
+            for name, value in (("dim", dim), ("key1", key1), ("key2", key2)):
+                out[name] += [value] * len(top)
+        return out
+
+
 def usable(vector: Column) -> Column:
     """Vectors that have a direction: not null or empty, all components finite, not all zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -80,7 +123,7 @@ def _key(vector: Column) -> list[Column]:
 
 def search(rows: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec_id", vector: str = "embedding",
            trees: int = 64, bits: int = 24, share: float = 0.5, least: int = 200, shard_rows: int = 8192,
-           query_rows: int = 1024) -> DataFrame:
+           query_rows: int = 1024, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """The k nearest found rows of each query by cosine: query_id, rank from 1, the id column, score.
 
     A query's own id is no candidate; ties go to the smaller id; fewer rows come back if there are fewer candidates.
@@ -106,79 +149,36 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "ve
     asked = stored(clean(queries).select("id", "vector", *_key(F.col("vector"))).distinct(), "queries")
     shards = max(1, -(-index.count() // shard_rows))
     vectors = asked.select("vector", "dim", "key1", "key2").dropDuplicates(["dim", "key1", "key2"])
-    blocks = max(1, -(-vectors.count() // query_rows))
-
-    def build(key: tuple, group: pa.Table) -> pa.Table:
-        group = group.sort_by([("key1", "ascending"), ("key2", "ascending")])
-        matrix = np.stack(group["vector"].to_numpy())
-        strings = hash_strings(matrix, trees, bits).T
-        order = np.argsort(strings, axis=1, kind="stable")
-        ids = np.full((len(matrix), kept), -1, np.int64)
-        sizes = np.zeros(len(matrix), np.int8)
-        for i, own in enumerate(group["ids"].to_pylist()):
-            ids[i, :len(own)], sizes[i] = own, len(own)
-        return pa.table({"dim": [key[0].as_py()], "shard": pa.array([key[1].as_py()], pa.int32()),
-                         "matrix": [matrix.tobytes()], "ids": [ids.tobytes()], "sizes": [sizes.tobytes()],
-                         "strings": [np.take_along_axis(strings, order, 1).astype(np.int64).tobytes()],
-                         "row_order": [order.astype(np.int32).tobytes()]}, schema=pa.schema([
-                             ("dim", pa.int32()), ("shard", pa.int32()), ("matrix", pa.binary()), ("ids", pa.binary()),
-                             ("sizes", pa.binary()), ("strings", pa.binary()), ("row_order", pa.binary())]))
+    n_vectors, n_bytes = vectors.agg(F.count("*"), F.sum(F.col("dim").cast("long") * 8 + 16)).first()
+    passes, blocks = pass_counts(n_vectors, n_bytes, query_rows, pass_bytes)
 
     def block(key: tuple, group: pa.Table) -> pa.Table:
         matrix = np.stack(group["vector"].to_numpy())
-        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()),
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "block": pa.array([key[1].as_py()], pa.int32()),
                          "queries": pa.array([matrix.tobytes()], pa.binary()),
-                         "key1": pa.array([group["key1"].to_pylist()], pa.list_(pa.int64())),
-                         "key2": pa.array([group["key2"].to_pylist()], pa.list_(pa.int64()))})
+                         **{c: pa.array([group[c].to_numpy().astype(np.int64).tobytes()], pa.binary())
+                            for c in ("key1", "key2")}})
 
-    sharded = (index.withColumn("shard", F.pmod("key1", F.lit(shards)).cast("int")).groupBy("dim", "shard")
-               .applyInArrow(build, "dim int, shard int, matrix binary, ids binary, sizes binary, strings binary, "
-                                    "row_order binary"))
+    sharded = (index.withColumn("shard", F.pmod("key1", F.lit(shards)).cast("int"))
+               .repartition(max(shards, partitions(spark)), "dim", "shard").groupBy("dim", "shard"))
     blocked = (vectors.withColumn("block", F.pmod("key2", F.lit(blocks)).cast("int")).groupBy("dim", "block")
-               .applyInArrow(block, "dim int, queries binary, key1 array<long>, key2 array<long>")
-               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    # The stated query set against all rows, in blocks: one row for each query block and shard.
-    met = sharded.join(blocked, ["dim", "shard"])
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield pa.RecordBatch.from_pydict(_ask(row, trees, bits, share, least, kept), schema=pa.schema([
-                    ("dim", pa.int32()), ("key1", pa.int64()), ("key2", pa.int64()), ("id", pa.int64()),
-                    ("score", pa.float64())]))
-
-    found = met.mapInArrow(ask, "dim int, key1 long, key2 long, id long, score double")
+               .applyInArrow(block, "dim int, block int, queries binary, key1 binary, key2 binary"))
+
     best = Window.partitionBy("dim", "key1", "key2").orderBy(F.desc("score"), "id")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= kept).drop("n")
+
+    def ask(held: Broadcast) -> DataFrame:
+        """The stated query set against all rows, in blocks: each shard builds its trees and meets every block held."""
+        def run(key: tuple, group: pa.Table) -> pa.Table:
+            dim = key[0].as_py()
+            shard = Shard(group, trees, bits, kept)
+            return pa.concat_tables([_FOUND.empty_table(), *(
+                pa.table(shard.ask(row, share, least), schema=_FOUND) for row in held.value if row["dim"] == dim)])
+
+        found = sharded.applyInArrow(run, "dim int, key1 long, key2 long, id long, score double")
+        return found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= kept).drop("n")
+
+    found = in_passes(blocked, passes, blocks, ask, "found")
     mine = Window.partitionBy("query_id", "dim", "key1", "key2").orderBy(F.desc("score"), "id")
     answers = (asked.select(F.col("id").alias("query_id"), "dim", "key1", "key2").join(found, ["dim", "key1", "key2"])
                .where(F.col("id") != F.col("query_id")).withColumn("rank", F.row_number().over(mine)))
     return answers.where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_column), "score")
-
-
-def _ask(row: dict, trees: int, bits: int, share: float, least: int, kept: int) -> dict[str, list]:
-    dim = row["dim"]
-    matrix = np.frombuffer(row["matrix"]).reshape(-1, dim)
-    n = len(matrix)
-    ids = np.frombuffer(row["ids"], np.int64).reshape(n, kept)
-    sizes = np.frombuffer(row["sizes"], np.int8)
-    strings = np.frombuffer(row["strings"], np.int64).reshape(trees, n)
-    order = np.frombuffer(row["row_order"], np.int32).reshape(trees, n)
-    query = np.frombuffer(row["queries"]).reshape(-1, dim)
-    norms = np.sqrt((matrix * matrix).sum(axis=1))
-    out: dict[str, list] = {"dim": [], "key1": [], "key2": [], "id": [], "score": []}
-    wanted = min(n, max(least, int(share * n)))
-    lists = candidates(strings, order, hash_strings(query, trees, bits), bits, wanted)
-    for key1, key2, own, near in zip(row["key1"], row["key2"], query, lists):
-        score = (matrix[near] @ own) / (norms[near] * np.sqrt(own @ own))
-        if len(near) > kept:  # the best `kept` vectors, and all that tie with the last of them
-            good = score >= np.partition(score, -kept)[-kept]
-            near, score = near[good], score[good]
-        near_of = np.repeat(np.arange(len(near)), sizes[near])
-        flat = np.concatenate([ids[i, :sizes[i]] for i in near])
-        top = np.lexsort((flat, -score[near_of]))[:kept]
-        out["id"] += flat[top].tolist()
-        out["score"] += score[near_of[top]].tolist()
-        for name, value in (("dim", dim), ("key1", key1), ("key2", key2)):
-            out[name] += [value] * len(top)
-    return out

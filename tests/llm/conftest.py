@@ -1,6 +1,7 @@
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark import SparkContext
 
 DATA = "/root/testdata/sf0.001"
 
@@ -24,3 +25,29 @@ def table_of(spark):
                  if c not in df.columns}
         return df.repartition(3).selectExpr("*", *(f"{v} as {k}" for k, v in clash.items()))
     return make
+
+
+@pytest.fixture
+def sent(monkeypatch):
+    """What a query broadcasts itself, in order."""
+    out, broadcast = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: out.append(value) or broadcast(self, value))
+    return out
+
+
+@pytest.fixture
+def sent_by_joins():
+    """The types of the columns that Spark broadcasts for the joins of a frame's plan, once it has run."""
+    def types(df):
+        df.collect()
+        nodes, out = [df._jdf.queryExecution().executedPlan().executedPlan()], set()
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("BroadcastExchange"):
+                out |= {kind for _, kind in (c.split(":", 1) for c in node.schema().simpleString()[7:-1].split(","))}
+            children = node.children()
+            nodes += [node.plan()] if node.nodeName().endswith("QueryStage") else [
+                children.apply(i) for i in range(children.length())]
+        return out
+
+    return types

@@ -62,6 +62,29 @@ def test_forest_of_copies_and_unusable_vectors(spark):
     assert forest.search(df, df.limit(0)).collect() == []
 
 
+def test_forest_leaves_no_blocks_to_joins(spark, sent_by_joins):
+    """A join of shards and blocks would broadcast every block, once for each shard."""
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((100, 8)))],
+                               "vec_id long, embedding array<double>")
+    assert sent_by_joins(forest.search(df, df, shard_rows=20)) == {"bigint", "int"}
+
+
+def test_forest_sends_queries_in_passes(spark, sent):
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((300, 8)))]
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate(rng.standard_normal((100, 3)))] + [(2000, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(tuple(r) for r in forest.search(df, df, shard_rows=50).collect())
+    assert len(want) == 5 * 401 and len(sent) == 1
+    sent.clear()
+    got = sorted(tuple(r) for r in forest.search(df, df, shard_rows=50, query_rows=20, pass_bytes=4096).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want], abs=1e-12)
+    sizes = [sum(len(x) for row in held for x in row.values() if isinstance(x, (bytes, bytearray))) for held in sent]
+    assert sum(sizes) == 300 * 80 + 100 * 40 and len(sizes) == 7 and max(sizes) < 2 * 4096
+
+
 # Scoring
 
 def plain_scores(texts, held, weights):
