@@ -6,21 +6,22 @@ x mean and of the product of the deviations, which lies between plus and minus t
 summaries bound every score from both sides.
 
 Rows are packed into shards of about `shard_rows`, anchors into blocks; every block meets every shard once for the
-positives and once for the negatives (the stated query set against all rows, in blocks). There the coarsest level bounds
-all scores, rows that cannot be among the wanted ones go, the next level bounds the rest, and only what is left after
+positives and once for the negatives (the stated query set against all rows, in blocks). At most about `pass_bytes` of
+anchors are broadcast at a time; more take more passes. Where block and shard meet, the coarsest level bounds all scores, rows that cannot be among the wanted ones go, the next level bounds the rest, and only what is left after
 the finest level is scored exactly. A row goes only if enough others are surely better, or if its bounds lie outside of
 every wanted range, so the results are exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, GroupedData, Window, functions as F
 
-from spendwatch.llm.common import ship, stored
+from spendwatch.llm.common import PASS_BYTES, in_passes, partitions, pass_counts, ship, stored
 
 LEVELS = (4, 16)
 
@@ -50,20 +51,23 @@ class Rows:
         self.lengths = np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=1))
 
     @classmethod
-    def pack(cls, group: pa.Table, dim: int) -> dict[str, list]:
+    def of(cls, group: pa.Table, dim: int) -> "Rows":
         group = group.sort_by("id")
         vectors = group["vector"].combine_chunks()
         matrix = np.asarray(vectors.flatten(), np.int64).reshape(len(vectors), dim)
-        return {"ids": [np.asarray(group["id"], np.int64).tobytes()],
-                "labels": [np.asarray(group["label"], np.int64).tobytes()], "matrix": [matrix.tobytes()],
-                "levels": [[summaries(matrix.astype(np.float64), s).tobytes() for s in LEVELS]]}
+        return cls(np.asarray(group["id"], np.int64), np.asarray(group["label"], np.int64), matrix,
+                   [summaries(matrix.astype(np.float64), s) for s in LEVELS])
+
+    def pack(self) -> dict[str, list]:
+        return {"ids": [self.ids.tobytes()], "labels": [self.labels.tobytes()], "matrix": [self.matrix.tobytes()],
+                "levels": [[x.tobytes() for x in self.levels]]}
 
     @classmethod
-    def unpack(cls, row: dict, dim: int, prefix: str = "") -> "Rows":
-        ids = np.frombuffer(row[prefix + "ids"], np.int64)
-        return cls(ids, np.frombuffer(row[prefix + "labels"], np.int64),
-                   np.frombuffer(row[prefix + "matrix"], np.int64).reshape(len(ids), dim),
-                   [np.frombuffer(x).reshape(len(ids), -1) for x in row[prefix + "levels"]])
+    def unpack(cls, row: dict) -> "Rows":
+        ids = np.frombuffer(row["ids"], np.int64)
+        return cls(ids, np.frombuffer(row["labels"], np.int64),
+                   np.frombuffer(row["matrix"], np.int64).reshape(len(ids), row["dim"]),
+                   [np.frombuffer(x).reshape(len(ids), -1) for x in row["levels"]])
 
     def bounds(self, others: np.ndarray, level: int, anchors: "Rows", i: int) -> tuple[np.ndarray, np.ndarray]:
         """Lower and upper bounds of the scores of rows `others` with anchor i."""
@@ -129,43 +133,42 @@ _PACKED = "ids binary, labels binary, matrix binary, levels array<binary>"
 _KINDS = {"ids": pa.binary(), "labels": pa.binary(), "matrix": pa.binary(), "levels": pa.list_(pa.binary())}
 
 
-def _pack_shard(key: tuple, group: pa.Table) -> pa.Table:
-    packed = Rows.pack(group, key[0].as_py())
-    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
-                     *(pa.array(packed[c], t) for c, t in _KINDS.items())], names=["dim", "shard", *_KINDS])
-
-
 def _pack_block(key: tuple, group: pa.Table) -> pa.Table:
-    """As a shard, with the scores of each anchor's positives."""
+    """The anchors of a block, with the scores of each anchor's positives."""
     group = group.sort_by("id")
-    packed = Rows.pack(group, key[0].as_py())
-    return pa.table([pa.array([key[0].as_py()], pa.int32()), *(pa.array(packed[c], t) for c, t in _KINDS.items()),
+    packed = Rows.of(group, key[0].as_py()).pack()
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([key[1].as_py()], pa.int32()),
+                     *(pa.array(packed[c], t) for c, t in _KINDS.items()),
                      pa.array([group["positives"].to_pylist()], pa.list_(pa.list_(pa.int64())))],
-                    names=["dim", *(f"anchor_{c}" for c in _KINDS), "positives"])
+                    names=["dim", "block", *_KINDS, "positives"])
 
 
-def _asked(shards: DataFrame, anchors: DataFrame, n_shards: int, block_rows: int, ask: Callable, schema: str,
-           names: list[str], kinds: list[pa.DataType]) -> DataFrame:
-    """`ask(rows, anchors, positives)` for each block of anchors and shard."""
-    blocks = max(1, -(-anchors.count() // block_rows))
+def _asked(sharded: GroupedData, anchors: DataFrame, block_rows: int, pass_bytes: int, ask: Callable,
+           best: Callable[[DataFrame], DataFrame], names: list[str], name: str) -> DataFrame:
+    """`best` of `ask(rows, anchors, positives)` for each block of anchors and shard, stored. All columns are whole numbers."""
+    width = 8 * sum(2 * s for s in LEVELS) + 16
+    passes, blocks = pass_counts(*anchors.agg(F.count("*"), F.sum(F.col("dim").cast("long") * 8 + width)).first(),
+                                 block_rows, pass_bytes)
     blocked = (anchors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("dim", "block")
-               .applyInArrow(_pack_block, "dim int, " + ", ".join(f"anchor_{c}" for c in _PACKED.split(", "))
-                             + ", positives array<array<long>>")
-               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))))
+               .applyInArrow(_pack_block, f"dim int, block int, {_PACKED}, positives array<array<long>>"))
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found = ask(Rows.unpack(row, row["dim"]), Rows.unpack(row, row["dim"], "anchor_"), row["positives"])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds)], names)
+    def meet(held: Broadcast) -> DataFrame:
+        def run(key: tuple, group: pa.Table) -> pa.Table:
+            dim = key[0].as_py()
+            own = Rows.of(group, dim)
+            found = (ask(own, Rows.unpack(row), row["positives"]) for row in held.value if row["dim"] == dim)
+            return pa.concat_tables([schema.empty_table(), *(pa.table(list(x), schema=schema) for x in found)])
 
-    return shards.join(blocked, ["dim", "shard"]).mapInArrow(run, schema)
+        return best(sharded.applyInArrow(run, ", ".join(f"{c} long" for c in names)))
+
+    return in_passes(blocked, passes, blocks, meet, name)
 
 
 def hard_negatives(rows: DataFrame, anchors: DataFrame, id_column: str = "vec_id", vector: str = "embedding",
                    label: str = "label", positives: int = 5, negatives: int = 3, least_percent: int = 50,
-                   most_percent: int = 95, scale: int = 256, shard_rows: int = 8192, block_rows: int = 256) -> DataFrame:
+                   most_percent: int = 95, scale: int = 256, shard_rows: int = 8192, block_rows: int = 256,
+                   pass_bytes: int = PASS_BYTES) -> DataFrame:
     """For each anchor and each of its first positives, the best rows of other labels in the wanted range of scores.
 
     A component x counts as floor(scale * x); a score is the inner product of two such vectors. An anchor's positives are
@@ -192,8 +195,8 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, id_column: str = "vec_id
     index = stored(clean(rows), "rows")
     asked = stored(clean(anchors), "anchors")
     shards = max(1, -(-index.count() // shard_rows))
-    packed = stored(index.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("dim", "shard")
-                    .applyInArrow(_pack_shard, f"dim int, shard int, {_PACKED}"), "shards")
+    sharded = (index.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+               .repartition(max(shards, partitions(spark)), "dim", "shard").groupBy("dim", "shard"))
 
     def find_positives(own: Rows, block: Rows, _: list) -> tuple[list, list, list]:
         out: tuple[list, list, list] = ([], [], [])
@@ -215,18 +218,21 @@ def hard_negatives(rows: DataFrame, anchors: DataFrame, id_column: str = "vec_id
                     column += values
         return out
 
-    longs = [pa.int64()] * 4
-    best = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
+    near_order = Window.partitionBy("anchor_id").orderBy(F.desc("positive_score"), "positive_id")
+    hard_order = Window.partitionBy("anchor_id", "positive_score").orderBy(F.desc("negative_score"), "negative_id")
+
+    def best_near(found: DataFrame) -> DataFrame:
+        return found.withColumn("n", F.row_number().over(near_order)).where(F.col("n") <= positives).drop("n")
+
+    def best_hard(found: DataFrame) -> DataFrame:
+        return found.withColumn("rank", F.row_number().over(hard_order)).where(F.col("rank") <= negatives)
+
     nothing = F.lit(None).cast("array<long>").alias("positives")
-    near = _asked(packed, asked.select("*", nothing), shards, block_rows, find_positives,
-                  "anchor_id long, positive_id long, positive_score long", ["anchor_id", "positive_id", "positive_score"],
-                  longs[:3])
-    near = stored(near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= positives).drop("n"), "positives")
+    near = _asked(sharded, asked.select("*", nothing), block_rows, pass_bytes, find_positives, best_near,
+                  ["anchor_id", "positive_id", "positive_score"], "positives")
     lists = near.groupBy(F.col("anchor_id").alias("id")).agg(F.collect_list("positive_score").alias("positives"))
-    hard = _asked(packed, asked.join(lists, "id"), shards, block_rows, find_negatives,
-                  "anchor_id long, positive_score long, negative_id long, negative_score long",
-                  ["anchor_id", "positive_score", "negative_id", "negative_score"], longs)
-    order = Window.partitionBy("anchor_id", "positive_score").orderBy(F.desc("negative_score"), "negative_id")
-    hard = hard.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= negatives)
+    # The size of stored vectors says little about their size in memory, so no side of this join may be broadcast.
+    hard = _asked(sharded, asked.join(lists.hint("merge"), "id"), block_rows, pass_bytes, find_negatives, best_hard,
+                  ["anchor_id", "positive_score", "negative_id", "negative_score"], "negatives")
     return near.join(hard, ["anchor_id", "positive_score"]).select(
         "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

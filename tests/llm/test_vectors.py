@@ -175,6 +175,25 @@ def test_negatives_of_odd_rows(spark):
     assert got_negatives(df, df.limit(0)) == []
 
 
+def test_negatives_leave_no_blocks_to_joins(spark, sent_by_joins):
+    """A join of shards and blocks would broadcast every block, once for each shard."""
+    rng = np.random.default_rng(7)
+    df = vectors(spark, [(i, v.tolist(), i % 3) for i, v in enumerate(rng.standard_normal((100, 8)))], KEYED)
+    assert sent_by_joins(negatives.hard_negatives(df, df, shard_rows=20)) == {"bigint"}
+
+
+def test_negatives_send_anchors_in_passes(spark, sent):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist(), int(rng.integers(0, 3))) for i, v in enumerate(rng.standard_normal((200, 8)))]
+    rows += [(1000 + i, v.tolist(), i % 2) for i, v in enumerate(rng.standard_normal((50, 3)))]
+    df = vectors(spark, rows, KEYED)
+    want = plain_negatives(rows, [r[0] for r in rows])
+    assert want and got_negatives(df, df, shard_rows=60, block_rows=9, pass_bytes=40_000) == want
+    sizes = [sum(len(row["matrix"]) for row in held) for held in sent]
+    # Two phases, each of three passes: 200 * 400 + 50 * 360 bytes with the summaries.
+    assert len(sizes) == 6 and sum(sizes) == 2 * (200 * 64 + 50 * 24) and max(sizes) < 2 * 14000 / 3
+
+
 def test_bounds_hold_every_score(spark):
     rng = np.random.default_rng(9)
     matrix = np.floor(256 * rng.standard_normal((50, 37))).astype(np.int64)
